@@ -7,6 +7,7 @@ doubles and dates and times as text, so that any engine's client can compare the
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -440,38 +441,41 @@ def two_runs(spark: SparkSession, retail: Retail) -> Lake:
     return lake
 
 
-@query
-def medallion_run_sales(spark, retail):
-    return (
-        spark.table(two_runs(spark, retail).table("gold", "fact_sales"))
-        .groupBy("year", "quarter", "month")
-        .agg(
-            F.count("*").alias("facts"),
-            F.countDistinct("order_id").alias("orders"),
-            F.sum("quantity").alias("pieces"),
-            F.sum("total").cast("decimal(30,4)").alias("total"),
-            F.sum("sk_customer_id").alias("customer_keys"),
-            F.sum("sk_product_id").alias("product_keys"),
-            F.sum("sk_staff_id").alias("staff_keys"),
-            F.sum("store_id").alias("store_ids"),
-        )
-    )
+def _slice(kind: str, df: DataFrame, by: list[str]) -> DataFrame:
+    """A table summed up by ``by``, in the form all tables share."""
+    have = dict(df.dtypes)
 
+    def total(column: str, type_: str):
+        value = F.sum(column).cast(type_) if column in have else F.lit(None).cast(type_)
+        return value.alias(f"sum_{column}")
 
-@query
-def medallion_run_stocks(spark, retail):
-    return (
-        spark.table(two_runs(spark, retail).table("gold", "fact_stocks"))
-        .groupBy("store_name", "year", "month")
-        .agg(
-            F.count("*").alias("facts"),
-            F.sum("quantity").alias("pieces"),
-            F.sum("value_stocked").cast("decimal(30,4)").alias("value_stocked"),
-            F.sum("sk_product_id").alias("product_keys"),
-        )
+    label = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in by]).alias("part")
+    return df.groupBy(label).agg(
+        F.lit(kind).alias("kind"),
+        F.count("*").alias("facts"),
+        total("quantity", "double"),
+        total("total", "double"),
+        total("value_stocked", "double"),
+        *[total(c, "bigint") for c in ("sk_customer_id", "sk_product_id", "sk_staff_id", "store_id")],
     )
 
 
 @query
-def medallion_run_states(spark, retail):
-    return spark.table(two_runs(spark, retail).table("gold", "sales_by_state"))
+def medallion_run(spark, retail):
+    """Facts by partition, the marts' rows and the dimensions by state of their flag."""
+    lake = two_runs(spark, retail)
+
+    def table(name: str) -> DataFrame:
+        return spark.table(lake.table("gold", name))
+
+    slices = [
+        _slice("fact_sales", table("fact_sales"), ["year", "quarter", "month"]),
+        _slice("fact_stocks", table("fact_stocks"), ["store_name", "year", "month"]),
+        _slice("sales_by_state", table("sales_by_state"), ["state"]),
+        _slice("sales_by_store", table("sales_by_store"), ["store_name"]),
+        _slice("sales_by_category", table("sales_by_category"), ["category_name"]),
+        _slice("most_sold_products", table("most_sold_products"), ["product_name"]),
+        *[_slice(f"dim_{n}", table(f"dim_{n}"), ["current_flag"]) for n in ("customers", "products", "staffs")],
+        _slice("dim_stores", table("dim_stores"), ["store_name"]),
+    ]
+    return reduce(DataFrame.union, slices)

@@ -10,24 +10,31 @@ from pyspark.sql import functions as F
 _SAMPLE_ROWS = 1_000_000
 
 
-def frequent_values(df: DataFrame, columns: Sequence[str], share: float = 0.01) -> dict[str, list]:
+def frequent_values(
+    df: DataFrame, columns: Sequence[str], share: float = 0.01, least_rows: int = _SAMPLE_ROWS
+) -> dict[str, list]:
     """Per column, the values (NULL included) holding at least ``share`` of the rows.
 
     Judged on a sample of about a million rows. The answer only decides how a join is
     carried out, never what it returns; per column it has at most ``1 / share`` values.
+    A frame below ``least_rows`` has none: any part of it suits one task.
     """
     found: dict[str, list] = {c: [] for c in columns}
     rows = df.count()
-    if not rows:
+    if rows < max(least_rows, 1):
         return found
     picked = df.select(*columns)
     if rows > _SAMPLE_ROWS:
         picked = picked.sample(fraction=_SAMPLE_ROWS / rows, seed=7)
-    for name in columns:
-        counts = picked.groupBy(name).count()
-        floor = share * min(rows, _SAMPLE_ROWS)
-        # At least floor rows each, so no more than 1 / share values come back.
-        found[name] = [row[0] for row in counts.where(F.col("count") >= floor).collect()]
+    # One pass counts every column by itself.
+    counts = picked.groupingSets([[c] for c in columns], *columns).agg(
+        F.count("*").alias("_rows"), *[F.grouping(c).alias(f"_absent_{c}") for c in columns]
+    )
+    floor = share * min(rows, _SAMPLE_ROWS)
+    for row in counts.where(F.col("_rows") >= floor).collect():
+        for name in columns:
+            if not row[f"_absent_{name}"]:
+                found[name].append(row[name])
     return found
 
 

@@ -282,17 +282,42 @@ _STATES = f"""SELECT c.state, {_TOTAL}
 FROM v_items_{{r}} i LEFT JOIN v_orders_{{r}} o ON i.order_id = o.order_id
 LEFT JOIN {{customers}} c ON o.customer_id = c.customer_id AND c.current_flag GROUP BY c.state"""
 ANSWERS["sales_by_state"] = _STATES.format(r=1, customers="customer_history")
-ANSWERS["medallion_run_states"] = _STATES.format(r=2, customers="customer_history_delta")
-ANSWERS["medallion_run_sales"] = """
-SELECT year, quarter, month, count(*) AS facts, count(DISTINCT order_id) AS orders,
-       CAST(sum(quantity) AS DOUBLE) AS pieces, CAST(CAST(sum(total) AS DECIMAL(30,4)) AS DOUBLE) AS total,
-       CAST(sum(sk_customer_id) AS BIGINT) AS customer_keys, CAST(sum(sk_product_id) AS BIGINT) AS product_keys,
-       CAST(sum(sk_staff_id) AS BIGINT) AS staff_keys, CAST(sum(store_id) AS BIGINT) AS store_ids
-FROM sales_facts_two_runs GROUP BY year, quarter, month"""
-ANSWERS["medallion_run_stocks"] = """
-SELECT store_name, year, month, count(*) AS facts, CAST(sum(quantity) AS DOUBLE) AS pieces,
-       CAST(sum(value_stocked) AS DOUBLE) AS value_stocked, CAST(sum(sk_product_id) AS BIGINT) AS product_keys
-FROM stock_facts_two_runs GROUP BY store_name, year, month"""
+_MEASURES = {
+    "quantity": "DOUBLE", "total": "DOUBLE", "value_stocked": "DOUBLE",
+    "sk_customer_id": "BIGINT", "sk_product_id": "BIGINT", "sk_staff_id": "BIGINT", "store_id": "BIGINT",
+}
+
+
+def _slice(kind: str, source: str, by: list[str], measures: list[str]) -> str:
+    part = " || '/' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in by)
+    sums = ", ".join(
+        f"CAST({f'sum({m})' if m in measures else 'NULL'} AS {t}) AS sum_{m}" for m, t in _MEASURES.items()
+    )
+    return f"SELECT '{kind}' AS kind, {part} AS part, count(*) AS facts, {sums} FROM {source} GROUP BY {', '.join(by)}"
+
+
+_state = _STATES.format(r=2, customers="customer_history_delta")
+_by_product = f"""SELECT p.{{0}}, {_TOTAL}
+FROM v_items_2 i LEFT JOIN product_history p ON i.product_id = p.product_id AND p.current_flag GROUP BY p.{{0}}"""
+_store = f"""SELECT s.store_name, {_TOTAL}
+FROM v_items_2 i LEFT JOIN v_orders_2 o ON i.order_id = o.order_id LEFT JOIN v_stores s ON o.store_id = s.store_id GROUP BY s.store_name"""
+_top = _by_product.format("product_name") + " ORDER BY total DESC, product_name LIMIT 10"
+ANSWERS["medallion_run"] = "\nUNION ALL\n".join(
+    [
+        _slice("fact_sales", "sales_facts_two_runs", ["year", "quarter", "month"],
+               ["quantity", "total", "sk_customer_id", "sk_product_id", "sk_staff_id", "store_id"]),
+        _slice("fact_stocks", "stock_facts_two_runs", ["store_name", "year", "month"],
+               ["quantity", "value_stocked", "sk_product_id", "store_id"]),
+        _slice("sales_by_state", f"({_state}) t", ["state"], ["total"]),
+        _slice("sales_by_store", f"({_store}) t", ["store_name"], ["total"]),
+        _slice("sales_by_category", f"({_by_product.format('category_name')}) t", ["category_name"], ["total"]),
+        _slice("most_sold_products", f"({_top}) t", ["product_name"], ["total"]),
+        _slice("dim_customers", "customer_history_delta", ["current_flag"], ["sk_customer_id"]),
+        _slice("dim_products", "product_history", ["current_flag"], ["sk_product_id"]),
+        _slice("dim_staffs", "staff_history", ["current_flag"], ["sk_staff_id"]),
+        _slice("dim_stores", "v_stores", ["store_name"], ["store_id"]),
+    ]
+)
 
 
 def _referred(text: str) -> list[str]:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.lake import Lake
+from tidemark.plans.together import together
 from tidemark.registry import TABLES, Table
 from tidemark.sinks import append_table, create_database
 from tidemark.sources import extract, layer_mark
@@ -41,7 +43,8 @@ def load_all(
 ) -> dict[str, bool]:
     """Load every registered table from the source of its system, those in ``whole`` in full."""
     create_database(spark, lake.database)
-    return {
-        t.name: load_table(spark, lake, sources[t.system], t, as_of, t.snapshot or t.name in whole)
-        for t in TABLES.values()
-    }
+
+    def load(table: Table) -> bool:
+        return load_table(spark, lake, sources[table.system], table, as_of, table.snapshot or table.name in whole)
+
+    return dict(zip(TABLES, together([partial(load, t) for t in TABLES.values()])))

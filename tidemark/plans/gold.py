@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,8 @@ from tidemark.lake import Lake
 from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, spread_left_join, stored
 from tidemark.plans.bronze import DAY
 from tidemark.plans.silver import STAMP as SILVER_STAMP
-from tidemark.sinks import append_partitions, in_partitions, overwrite_partitions, partitions_of, replace_table
+from tidemark.plans.together import together
+from tidemark.sinks import overwrite_partitions, partitions_of, replace_rows, replace_table
 from tidemark.sources import high_water_mark, layer_mark
 
 STAMP = "extraction_silver"
@@ -124,11 +125,14 @@ def newest_log_rows(log: DataFrame, key: Sequence[str]) -> DataFrame:
 def publish_dimensions(spark: SparkSession, lake: Lake) -> None:
     """Copy the dimensions to gold. A history's versions are distinct by construction."""
     silver = _Silver(spark, lake)
-    for name in ("products", "customers", "staffs", "stores"):
+
+    def publish(name: str) -> None:
         if silver.has(name):
             rows = newest_log_rows(silver[name], ["store_id"]) if name == "stores" else silver[name]
             replace_table(rows, lake.table("gold", f"dim_{name}"), lake.path("gold", f"dim_{name}"))
 
+    together([partial(publish, name) for name in ("products", "customers", "staffs", "stores")])
+
 
 def _fact_mark(spark: SparkSession, table: str) -> datetime | None:
     """How far silver had come when the fact table was last brought up to date."""
@@ -142,20 +146,12 @@ def _set_fact_mark(spark: SparkSession, table: str, mark: datetime) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_MARK_PROPERTY}' = '{mark.isoformat()}')")
 
 
-def _sales_inputs(items: DataFrame, orders: DataFrame, silver: _Silver) -> DataFrame:
-    hot = {
-        **frequent_values(items, ["order_id", "product_id"]),
-        **frequent_values(orders, ["customer_id", "staff_id"]),
-    }
-    return sales_facts(items, orders, silver["customers"], silver["products"], silver["staffs"], hot)
-
-
 def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     """Bring ``fact_sales`` up to date; running it again changes nothing.
 
     Only orders touched since the last load are recomputed: those with a new header, a
     new item, or a date past a change of one of their dimension rows. Their old rows
-    are replaced in the months they are or were in; no other month is read.
+    are replaced in the months they are in; no other month is rewritten.
     """
     silver = _Silver(spark, lake)
     table, path = lake.table("gold", "fact_sales"), lake.path("gold", "fact_sales")
@@ -166,30 +162,29 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     if reached is None or (mark is not None and reached <= mark):
         return
     items_log, orders_log = silver["order_items"], silver["orders"]
+    if mark is not None:
+        changed = stored(_changed_orders(silver, mark), "changed-orders")
+        items_log = stored(items_log.join(changed, "order_id", "left_semi"), "changed-items")
+        orders_log = stored(orders_log.join(changed, "order_id", "left_semi"), "changed-headers")
+    hot = {
+        **frequent_values(items_log, ["order_id", "product_id"]),
+        **frequent_values(orders_log, ["customer_id", "staff_id"]),
+    }
+    facts = sales_facts(
+        newest_log_rows(items_log, ["order_id", "item_id"]), newest_log_rows(orders_log, ["order_id"]),
+        silver["customers"], silver["products"], silver["staffs"], hot,
+    ).withColumn(STAMP, instant(as_of))
     if mark is None:
-        items = stored(newest_log_rows(items_log, ["order_id", "item_id"]), "items")
-        orders = stored(newest_log_rows(orders_log, ["order_id"]), "orders")
-        facts = _sales_inputs(items, orders, silver).withColumn(STAMP, instant(as_of))
+        # A table without a mark is the remains of a first load that broke off.
         overwrite_partitions(facts, table, path, SALES_PARTITIONS, _all_partitions(spark, table, SALES_PARTITIONS))
-        _set_fact_mark(spark, table, reached)
-        return
-
-    changed = stored(_changed_orders(silver, mark), "changed-orders")
-    if not changed.isEmpty():
-        old_orders = orders_log.join(changed, "order_id", "left_semi")
-        items = stored(
-            newest_log_rows(items_log.join(changed, "order_id", "left_semi"), ["order_id", "item_id"]), "items"
-        )
-        orders = stored(newest_log_rows(old_orders, ["order_id"]), "orders")
-        fresh = stored(_sales_inputs(items, orders, silver).withColumn(STAMP, instant(as_of)), "sales")
+    else:
         # Every header an order ever had tells a month its rows may lie in; without a
         # header they lie in the month NULL.
-        dated = with_calendar(old_orders.select("order_date"), "order_date")
-        wanted = {*partitions_of(dated, SALES_PARTITIONS), (None,) * len(SALES_PARTITIONS)}
-        there = set(_all_partitions(spark, table, SALES_PARTITIONS))
-        touched = sorted((wanted | set(partitions_of(fresh, SALES_PARTITIONS))) & there, key=str)
-        kept = in_partitions(spark.table(table), SALES_PARTITIONS, touched).join(changed, "order_id", "left_anti")
-        overwrite_partitions(kept.unionByName(fresh), table, path, SALES_PARTITIONS, touched)
+        dated = with_calendar(orders_log.select("order_date"), "order_date")
+        months = {*partitions_of(dated, SALES_PARTITIONS), (None,) * len(SALES_PARTITIONS)}
+        replace_rows(
+            stored(facts, "sales"), changed, ["order_id"], table, path, SALES_PARTITIONS, sorted(months, key=str)
+        )
     _set_fact_mark(spark, table, reached)
 
 
@@ -221,8 +216,8 @@ def _changed_orders(silver: _Silver, mark: datetime) -> DataFrame:
 def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     """Bring ``fact_stocks`` up to date; running it again changes nothing.
 
-    Months with a new snapshot are recomputed from silver, and so are months with rows
-    whose product version or store name changed.
+    New snapshots are added. Where a product version or a store name changed for earlier
+    snapshots, those stores' rows of those snapshots are replaced.
     """
     silver = _Silver(spark, lake)
     table, path = lake.table("gold", "fact_stocks"), lake.path("gold", "fact_stocks")
@@ -232,38 +227,31 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     reached = silver.newest_stamp(["stocks", "stores"], ["products"])
     if reached is None or (mark is not None and reached <= mark):
         return
-    stocks = with_calendar(silver["stocks"], "snapshot_time", quarter=False)
-    months: list[tuple] | None = None
+    log, key = silver["stocks"], ["store_id", "snapshot_time"]
     if mark is not None:
-        months = partitions_of(_changed_stocks(stocks, silver, mark), ["year", "month"])
-        if not months:
-            _set_fact_mark(spark, table, reached)
-            return
-        stocks = in_partitions(stocks, ["year", "month"], months)
-    rows = stored(
-        latest_per_key(
-            stocks.select("store_id", "product_id", "quantity", "snapshot_time", SILVER_STAMP),
-            ["store_id", "product_id", "snapshot_time"], [SILVER_STAMP],
-        ),
-        "stocks",
+        changed = stored(_changed_snapshots(silver, mark), "changed-snapshots")
+        log = stored(log.join(changed, key, "left_semi"), "changed-stocks")
+    hot = frequent_values(log, ["product_id", "store_id"])
+    rows = latest_per_key(
+        log.select(*key, "product_id", "quantity", SILVER_STAMP), [*key, "product_id"], [SILVER_STAMP]
     )
-    hot = frequent_values(rows, ["product_id", "store_id"])
     stores = newest_log_rows(silver["stores"], ["store_id"])
-    facts = stored(
-        stock_facts(rows, silver["products"], stores, hot).withColumn(STAMP, instant(as_of)), "stock-facts"
-    )
-    if spark.catalog.tableExists(table):
-        present = spark.table(table)
-        if months is not None:
-            present = in_partitions(present, ["year", "month"], months)
-        overwrite_partitions(facts, table, path, STOCK_PARTITIONS, partitions_of(present, STOCK_PARTITIONS))
+    facts = stock_facts(rows, silver["products"], stores, hot).withColumn(STAMP, instant(as_of))
+    if mark is None:
+        overwrite_partitions(facts, table, path, STOCK_PARTITIONS, _all_partitions(spark, table, STOCK_PARTITIONS))
     else:
-        append_partitions(facts, table, path, STOCK_PARTITIONS)
+        months = partitions_of(with_calendar(changed, "snapshot_time", quarter=False), ["year", "month"])
+        if months:
+            replace_rows(
+                stored(facts, "stock-facts"), changed, key, table, path, STOCK_PARTITIONS, months, by=["year", "month"]
+            )
     _set_fact_mark(spark, table, reached)
 
 
-def _changed_stocks(stocks: DataFrame, silver: _Silver, mark: datetime) -> DataFrame:
-    new = past_mark(stocks, SILVER_STAMP, mark, DAY).select("year", "month")
+def _changed_snapshots(silver: _Silver, mark: datetime) -> DataFrame:
+    """Store and snapshot of stock rows that are new or whose fact would differ now."""
+    stocks, key = silver["stocks"], ["store_id", "snapshot_time"]
+    new = past_mark(stocks, SILVER_STAMP, mark, DAY).select(key)
     changes = changed_keys(silver["products"], "product_id", mark)
     late = F.col("snapshot_time") >= F.col("_changed_from")
     repriced = stocks.join(changes, (F.col("product_id") == F.col("_changed_key")) & late, "left_semi")
@@ -274,4 +262,4 @@ def _changed_stocks(stocks: DataFrame, silver: _Silver, mark: datetime) -> DataF
     )
     renamed = seen.where((F.col("last") > instant(mark)) & (~F.col("one_name") | (F.col("first") > instant(mark))))
     moved = stocks.join(renamed, F.col("store_id") == F.col("_store_id"), "left_semi")
-    return new.union(repriced.select("year", "month")).union(moved.select("year", "month"))
+    return new.union(repriced.select(key)).union(moved.select(key)).distinct()

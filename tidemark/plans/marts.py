@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.lake import Lake
 from tidemark.operators import stored
 from tidemark.plans.gold import newest_log_rows
+from tidemark.plans.together import together
 from tidemark.sinks import replace_table
 
 # Every mart first adds the items up by the key it is about to join on. Those sums
@@ -80,5 +83,9 @@ def build_marts(spark: SparkSession, lake: Lake) -> None:
         "sales_by_store": sales_by_store(items, orders, stores),
         "sales_by_state": sales_by_state(items, orders, silver("customers")),
     }
-    for name, rows in marts.items():
-        replace_table(rows, lake.table("gold", name), lake.path("gold", f"marts/{name}"))
+    together(
+        [
+            partial(replace_table, rows, lake.table("gold", name), lake.path("gold", f"marts/{name}"))
+            for name, rows in marts.items()
+        ]
+    )

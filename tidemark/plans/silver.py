@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +17,11 @@ from tidemark.operators import (
     merge_versions,
     past_mark,
     spread_left_join,
+    stored,
 )
 from tidemark.plans.bronze import DAY
 from tidemark.plans.bronze import STAMP as RAW_STAMP
+from tidemark.plans.together import together
 from tidemark.registry import TABLES
 from tidemark.sinks import append_table, replace_table
 from tidemark.sources import layer_mark
@@ -128,6 +130,11 @@ class _Bronze:
         """The present state of the table."""
         return self._newest(name, None, last_load)
 
+    def lookup(self, name: str) -> DataFrame:
+        """:meth:`whole`, or no rows."""
+        rows = self.whole(name)
+        return rows if rows is not None else self.spark.createDataFrame([], TABLES[name].schema)
+
     def _newest(self, name: str, mark: datetime | None, last_load: bool = False) -> DataFrame | None:
         raw = self.lake.table("bronze", name)
         if not self.spark.catalog.tableExists(raw):
@@ -167,39 +174,43 @@ def refine_all(
     kinds = {name: "delta" for name in ("customers", "products", "staffs")} | dict(batch_kinds or {})
     bronze = _Bronze(spark, lake, as_of)
 
-    customers = bronze.batch("customers", last_load=kinds["customers"] == "snapshot")
-    if customers is not None:
-        _save_history(spark, lake, "customers", clean_customers(customers), as_of, kinds["customers"])
-
-    products = bronze.batch("products", last_load=kinds["products"] == "snapshot")
-    brands, categories = bronze.whole("brands"), bronze.whole("categories")
-    if products is not None:
-        brands = brands if brands is not None else _no_rows(spark, "brands")
-        categories = categories if categories is not None else _no_rows(spark, "categories")
-        named = denormalise_products(
-            products, brands, categories, frequent_values(products, ["brand_id", "category_id"])
-        )
-        _save_history(spark, lake, "products", named, as_of, kinds["products"])
-
-    # A renamed store or manager versions staffs that did not change themselves, so the
-    # batch is every staff; unchanged ones fall out in the merge.
-    staffs, stores = bronze.whole("staffs", kinds["staffs"] == "snapshot"), bronze.whole("stores")
-    if staffs is not None:
-        stores = stores if stores is not None else _no_rows(spark, "stores")
-        named = denormalise_staffs(staffs, stores, frequent_values(staffs, ["manager_id", "store_id"]))
-        _save_history(spark, lake, "staffs", named, as_of, kinds["staffs"])
-
-    for name, refine, mark_column in (
-        ("orders", refine_orders, RAW_STAMP),
-        ("order_items", refine_order_items, RAW_STAMP),
-        ("stores", refine_stores, RAW_STAMP),
-        ("stocks", refine_stocks, "snapshot_time"),
-    ):
+    def customers() -> None:
+        batch = bronze.batch("customers", last_load=kinds["customers"] == "snapshot")
+        if batch is not None:
+            _save_history(spark, lake, "customers", clean_customers(batch), as_of, kinds["customers"])
+
+    def products() -> None:
+        batch = bronze.batch("products", last_load=kinds["products"] == "snapshot")
+        if batch is not None:
+            batch = stored(batch, "products")
+            hot = frequent_values(batch, ["brand_id", "category_id"])
+            named = denormalise_products(batch, bronze.lookup("brands"), bronze.lookup("categories"), hot)
+            _save_history(spark, lake, "products", named, as_of, kinds["products"])
+
+    def staffs() -> None:
+        # A renamed store or manager versions staffs that did not change themselves, so
+        # the batch is every staff; unchanged ones fall out in the merge.
+        batch = bronze.whole("staffs", kinds["staffs"] == "snapshot")
+        if batch is not None:
+            batch = stored(batch, "staffs")
+            hot = frequent_values(batch, ["manager_id", "store_id"])
+            named = denormalise_staffs(batch, bronze.lookup("stores"), hot)
+            _save_history(spark, lake, "staffs", named, as_of, kinds["staffs"])
+
+    def log(name: str, refine: Callable[[DataFrame], DataFrame], mark_column: str = RAW_STAMP) -> None:
         batch = bronze.batch(name, mark_column, by_day=True)
         if batch is not None:
             rows = refine(batch).withColumn(DAY, F.col(STAMP).cast("date"))
             append_table(rows, lake.table("silver", name), lake.path("silver", name), [DAY])
 
-
-def _no_rows(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[name].schema)
+    together(
+        [
+            customers,
+            products,
+            staffs,
+            lambda: log("orders", refine_orders),
+            lambda: log("order_items", refine_order_items),
+            lambda: log("stores", refine_stores),
+            lambda: log("stocks", refine_stocks, "snapshot_time"),
+        ]
+    )

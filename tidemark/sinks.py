@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -83,13 +83,33 @@ def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
 
 def in_partitions(df: DataFrame, partition_by: Sequence[str], values: Sequence[tuple]) -> DataFrame:
     """The rows of the given partitions, by a filter that prunes folders."""
-    chosen = F.lit(False)
+    return df.where(_in_partitions(partition_by, values))
+
+
+def _in_partitions(partition_by: Sequence[str], values: Sequence[tuple]) -> Column:
+    """True for rows of the given partitions, false (never NULL) for others.
+
+    One term per combination of all columns but the most varied, which is a value list.
+    """
+    places = range(len(partition_by))
+    varied = max(places, key=lambda i: len({v[i] for v in values}))
+    lists: dict[tuple, list] = {}
     for value in values:
-        one = F.lit(True)
-        for column, part in zip(partition_by, value):
-            one = one & (F.col(column).isNull() if part is None else F.col(column) == F.lit(part))
-        chosen = chosen | one
-    return df.where(chosen)
+        lists.setdefault(tuple(value[i] for i in places if i != varied), []).append(value[varied])
+    others = [partition_by[i] for i in places if i != varied]
+    chosen = F.lit(False)
+    for fixed, members in lists.items():
+        term = _one_of(partition_by[varied], members)
+        for column, part in zip(others, fixed):
+            term = term & _one_of(column, [part])
+        chosen = chosen | term
+    return chosen
+
+
+def _one_of(column: str, members: Sequence) -> Column:
+    named = [m for m in members if m is not None]
+    term = F.col(column).isNotNull() & F.col(column).isin(named) if named else F.lit(False)
+    return term | F.col(column).isNull() if None in members else term
 
 
 def overwrite_partitions(
@@ -111,6 +131,36 @@ def overwrite_partitions(
         _empty_partitions(spark, table, partition_by, sorted(emptied, key=str))
 
 
+def replace_rows(
+    fresh: DataFrame,
+    stale: DataFrame,
+    key: Sequence[str],
+    table: str,
+    path: str,
+    partition_by: Sequence[str],
+    candidates: Sequence[tuple],
+    by: Sequence[str] | None = None,
+) -> None:
+    """Put ``fresh`` in the place of the rows whose key is in ``stale``.
+
+    Stale rows can only lie in the partitions ``candidates`` (values of ``by``, or
+    else of ``partition_by``). Of those, the ones that do hold stale rows are rewritten,
+    and fresh rows for any other partition are appended, so that news alone rewrite
+    nothing. After a broken attempt the same call completes the work, since it looks at
+    what the table holds.
+    """
+    whole = fresh.sparkSession.table(table)
+    present = in_partitions(whole, by or partition_by, candidates)
+    holding = partitions_of(present.join(stale, list(key), "left_semi"), partition_by)
+    if not holding:
+        append_partitions(fresh, table, path, partition_by)
+        return
+    kept = in_partitions(whole, partition_by, holding).join(stale, list(key), "left_anti")
+    inside = _in_partitions(partition_by, holding)
+    overwrite_partitions(kept.unionByName(fresh.where(inside)), table, path, partition_by, holding)
+    append_partitions(fresh.where(~inside), table, path, partition_by)
+
+
 def _empty_partitions(spark: SparkSession, table: str, partition_by: Sequence[str], values: Sequence[tuple]) -> None:
     rest = [c for c in spark.table(table).columns if c not in partition_by]
     types = dict(spark.table(table).dtypes)
