@@ -87,11 +87,10 @@ def changed_keys(history: DataFrame, key: str, mark: datetime) -> DataFrame:
     opened = F.when(F.col(SILVER_STAMP) > instant(mark), F.col("start_date"))
     ended = F.when(F.col("extraction_closed") > instant(mark), F.col("end_date"))
     since = F.least(opened, ended)
-    return (
-        history.where(since.isNotNull())
-        .groupBy(F.col(key).alias("_changed_key"))
-        .agg(F.min(since).alias("_changed_from"))
-    )
+    changes = history.where(since.isNotNull()).groupBy(F.col(key).alias("_changed_key")).agg(F.min(since).alias("_changed_from"))
+    # Written out, so that a join to it shuffles both sides and adaptive execution can
+    # split a key that is frequent in the facts.
+    return stored(changes, "changed-keys")
 
 
 # --- jobs -----------------------------------------------------------------------------

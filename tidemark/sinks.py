@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Spark's folder name for NULL as a partition value.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -128,7 +133,7 @@ def overwrite_partitions(
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         _balanced(df, partition_by).select(*columns).write.mode("overwrite").insertInto(table)
     if emptied:
-        _empty_partitions(spark, table, partition_by, sorted(emptied, key=str))
+        _empty_partitions(spark, table, path, partition_by, emptied)
 
 
 def replace_rows(
@@ -161,19 +166,16 @@ def replace_rows(
     append_partitions(fresh.where(~inside), table, path, partition_by)
 
 
-def _empty_partitions(spark: SparkSession, table: str, partition_by: Sequence[str], values: Sequence[tuple]) -> None:
-    rest = [c for c in spark.table(table).columns if c not in partition_by]
-    types = dict(spark.table(table).dtypes)
-    nothing = ", ".join(f"CAST(NULL AS {types[c]}) AS {c}" for c in rest)
-    for value in values:
-        spec = ", ".join(f"{c}={_sql_literal(v)}" for c, v in zip(partition_by, value))
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {nothing} WHERE false")
-
+def _empty_partitions(spark: SparkSession, table: str, path: str, partition_by: Sequence[str], values: set[tuple]) -> None:
+    """Leave the partitions in place without rows.
 
-def _sql_literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"'{escaped}'"
-    return str(value)
+    Written to their folders, as a partition clause in SQL cannot name a NULL.
+    """
+    schema = T.StructType([f for f in spark.table(table).schema if f.name not in partition_by])
+    nothing = spark.createDataFrame([], schema)
+    texts = {tuple(None if v is None else str(v) for v in value) for value in values}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        parts = [unquote(part.split("=", 1)[1]) for part in row["partition"].split("/")]
+        if tuple(None if p == _NULL_FOLDER else p for p in parts) in texts:
+            nothing.write.mode("overwrite").parquet(f"{path}/{row['partition']}")
+    spark.catalog.refreshTable(table)

@@ -32,6 +32,9 @@ class JdbcDatabase:
 
     def table_options(self, table: Table, bounds: tuple | None) -> dict[str, str]:
         options = {**self._login(), "dbtable": table.name, "fetchsize": str(self.fetch_size)}
+        # Source times carry no zone; read as such they compare to marks without a cast,
+        # which would keep the comparison from being sent to the database.
+        options["preferTimestampNTZ"] = "true"
         if bounds and bounds[0] is not None:
             # Rows outside the bounds are still read, by the first and last range.
             options |= {
