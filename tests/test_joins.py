@@ -61,7 +61,7 @@ def brute(rows, history):
     return found
 
 
-@pytest.mark.parametrize("hot", [(), (1,), (1, None), (None,), (1, 999)])
+@pytest.mark.parametrize("hot", [None, {1: 0.5}, {1: 0.4, None: 0.3}, {None: 0.3}, {1: 0.4, 2: 0.01, 999: 0.1}])
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
 def test_spreading_never_changes_the_result(spark, hot, threshold):
     rows, history = random_case(spark)
@@ -84,7 +84,7 @@ def test_hot_rows_are_dealt_over_partitions(spark):
         left = spark.range(0, 8000, 1, 16).select(F.when(F.col("id") % 2 == 0, 1).alias("k"), F.lit("same").alias("v"))
         right = spark.createDataFrame([(1, "one")], "rk int, name string")
         plain = spread_left_join(left, right, "k", "rk").groupBy(F.spark_partition_id().alias("p")).count().collect()
-        spread = spread_left_join(left, right, "k", "rk", hot=[1, None], pieces=64)
+        spread = spread_left_join(left, right, "k", "rk", hot={1: 0.5, None: 0.5}, partitions=64)
         dealt = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert max(r["count"] for r in plain) >= 4000
         assert max(r["count"] for r in dealt) < 4000 and len(dealt) == 4
@@ -100,9 +100,19 @@ def test_frequent_values(spark):
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("a"),
         F.when(F.col("id") % 4 != 0, F.col("id")).alias("b"),
     )
-    assert frequent_values(df, ["a", "b"], least_rows=0) == {"a": [7], "b": [None]}
-    assert frequent_values(df, ["a", "b"]) == {"a": [], "b": []}
-    assert frequent_values(df.limit(0), ["a"], least_rows=0) == {"a": []}
+    assert frequent_values(df, ["a", "b"], share=0.01, least_rows=0) == {"a": {7: 667 / 2000}, "b": {None: 0.25}}
+    assert frequent_values(df, ["a", "b"], least_rows=0)["a"] == {7: 667 / 2000}
+    assert frequent_values(df, ["a", "b"]) == {"a": {}, "b": {}}
+    assert frequent_values(df.limit(0), ["a"], least_rows=0) == {"a": {}}
+
+
+def test_copies_stay_few():
+    from tidemark.operators.skew import _by_pieces
+
+    shares = {i: 1 / 1000 for i in range(600)} | {"a third": 1 / 3}
+    groups = _by_pieces(shares, 1000)
+    assert sum(pieces * len(values) for pieces, values in groups.items()) <= 6 * 1000
+    assert "a third" in groups[1024] and len(groups[2]) == 600
 
 
 def test_adaptive_execution_splits_a_hot_key_by_itself(spark):

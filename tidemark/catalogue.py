@@ -124,13 +124,13 @@ def scan_parquet(spark, retail):
 
 @query
 def extract_full(spark, retail):
-    source = Frames(retail.tables(1))
+    source = Frames({"customers": retail.customers(1)})
     return extract(spark, source, TABLES["customers"], FIRST_RUN)
 
 
 @query
 def extract_since(spark, retail):
-    source = Frames(retail.tables(2))
+    source = Frames({"customers": retail.customers(2)})
     return extract(spark, source, TABLES["customers"], SECOND_RUN, mark=FIRST_RUN)
 
 

@@ -2,58 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SAMPLE_ROWS = 1_000_000
+_LEAST_SHARE = 1e-4
+
+# Value (NULL included) to the share of the rows that have it.
+Shares = Mapping[object, float]
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def frequent_values(
-    df: DataFrame, columns: Sequence[str], share: float = 0.01, least_rows: int = _SAMPLE_ROWS
-) -> dict[str, list]:
-    """Per column, the values (NULL included) holding at least ``share`` of the rows.
+    df: DataFrame, columns: Sequence[str], share: float | None = None, least_rows: int = _SAMPLE_ROWS
+) -> dict[str, Shares]:
+    """Per column, the values holding at least ``share`` of the rows, and how much.
 
-    Judged on a sample of about a million rows. The answer only decides how a join is
-    carried out, never what it returns; per column it has at most ``1 / share`` values.
-    A frame below ``least_rows`` has none: any part of it suits one task.
+    Without a ``share``, those that would fill a shuffle partition by themselves. Judged
+    on a sample of about a million rows: the answer only decides how a join is carried
+    out, never what it returns. There are at most ``1 / share`` values per column. A
+    frame below ``least_rows`` has none, as any part of it suits one task.
     """
-    found: dict[str, list] = {c: [] for c in columns}
+    found: dict[str, dict] = {c: {} for c in columns}
     rows = df.count()
     if rows < max(least_rows, 1):
         return found
+    share = share or max(1 / _shuffle_partitions(df.sparkSession), _LEAST_SHARE)
     picked = df.select(*columns)
     if rows > _SAMPLE_ROWS:
         picked = picked.sample(fraction=_SAMPLE_ROWS / rows, seed=7)
+    sampled = min(rows, _SAMPLE_ROWS)
     # One pass counts every column by itself.
     counts = picked.groupingSets([[c] for c in columns], *columns).agg(
         F.count("*").alias("_rows"), *[F.grouping(c).alias(f"_absent_{c}") for c in columns]
     )
-    floor = share * min(rows, _SAMPLE_ROWS)
-    for row in counts.where(F.col("_rows") >= floor).collect():
+    for row in counts.where(F.col("_rows") >= share * sampled).collect():
         for name in columns:
             if not row[f"_absent_{name}"]:
-                found[name].append(row[name])
+                found[name][row[name]] = row["_rows"] / sampled
     return found
 
 
+def _by_pieces(hot: Shares, partitions: int) -> dict[int, list]:
+    """The hot values by the number of pieces to deal them into, a power of two.
+
+    A value gets at least twice the pieces its share of the partitions comes to. Over
+    all values that is at most a few copies of a right row per shuffle partition.
+    """
+    groups: dict[int, list] = {}
+    for value, share in hot.items():
+        pieces = 2 ** max(1, ceil(log2(2 * share * partitions)))
+        groups.setdefault(pieces, []).append(value)
+    return groups
+
+
+def _piece_count(key: str, groups: Mapping[int, Sequence], with_null: bool) -> Column:
+    """How many pieces the row's key is dealt into; one for keys that are not hot."""
+    count = F.lit(1)
+    for pieces, values in groups.items():
+        named = [v for v in values if v is not None]
+        if named:
+            count = F.when(F.col(key).isin(named), pieces).otherwise(count)
+        if with_null and None in values:
+            count = F.when(F.col(key).isNull(), pieces).otherwise(count)
+    return count
+
+
 def spread_left_join(
     left: DataFrame,
     right: DataFrame,
     left_key: str,
     right_key: str,
-    hot: Sequence = (),
+    hot: Shares | None = None,
     extra: Column | None = None,
-    pieces: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on the keys (and ``extra``), without ``right_key``.
 
-    Rows of the ``hot`` left keys are dealt over ``pieces`` shuffle partitions, and the
-    right rows of just those keys are copied to each of them. NULL, which matches
-    nothing, is dealt out too and needs no copies. The right side must hold few rows
-    per key, as a lookup or a version history does, and share no column name with the
-    left.
+    Left rows of a hot key are dealt into pieces that go to different shuffle
+    partitions, and the right rows of just that key are copied to each piece. NULL,
+    which matches nothing, is dealt out too and needs no copies. The right side must
+    hold few rows per key, as a lookup or a version history does, and share no column
+    name with the left.
     """
     on = F.col(left_key) == F.col(right_key)
     if extra is not None:
@@ -61,19 +97,10 @@ def spread_left_join(
     if not hot:
         return left.join(right, on, "left").drop(right_key)
 
-    spark = left.sparkSession
-    pieces = pieces or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024)
-    named = [v for v in hot if v is not None]
-    is_hot = F.col(left_key).isin(named) if named else F.lit(False)
-    if None in hot:
-        is_hot = is_hot | F.col(left_key).isNull()
+    groups = _by_pieces(hot, partitions or _shuffle_partitions(left.sparkSession))
     # The partition number parts identical copies; it is the same on every retry.
-    deal = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(pieces)).cast("int")
-    dealt = left.withColumn("_piece", F.when(is_hot, deal).otherwise(F.lit(0)))
-    if named:
-        everywhere = F.sequence(F.lit(0), F.lit(pieces - 1))
-        copies = F.when(F.col(right_key).isin(named), everywhere).otherwise(F.array(F.lit(0)))
-        copied = right.withColumn("_copy", F.explode(copies))
-    else:
-        copied = right.withColumn("_copy", F.lit(0))
+    deal = F.xxhash64(*left.columns, F.spark_partition_id())
+    dealt = left.withColumn("_piece", F.pmod(deal, _piece_count(left_key, groups, True)).cast("int"))
+    copies = F.sequence(F.lit(0), _piece_count(right_key, groups, False) - 1)
+    copied = right.withColumn("_copy", F.explode(copies))
     return dealt.join(copied, on & (F.col("_piece") == F.col("_copy")), "left").drop("_piece", "_copy", right_key)

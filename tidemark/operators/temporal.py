@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import spread_left_join
+from tidemark.operators.skew import Shares, spread_left_join
 
 
 def join_as_of(
@@ -16,7 +16,7 @@ def join_as_of(
     key: str,
     at: str,
     take: Sequence[str],
-    hot: Sequence = (),
+    hot: Shares | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
     """Each fact with the columns ``take`` of its key's version valid at ``at``.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import instant, line_total, with_calendar
 from tidemark.lake import Lake
 from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, spread_left_join, stored
+from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY
 from tidemark.plans.silver import STAMP as SILVER_STAMP
 from tidemark.plans.together import together
@@ -23,7 +24,7 @@ SALES_PARTITIONS = ("year", "quarter", "month")
 STOCK_PARTITIONS = ("store_name", "year", "month")
 _MARK_PROPERTY = "tidemark.mark"
 
-Hot = Mapping[str, Sequence]
+Hot = Mapping[str, Shares]
 
 
 # --- fact frames ----------------------------------------------------------------------
@@ -46,16 +47,16 @@ def sales_facts(
     hot = hot or {}
     headers = orders.select("order_id", "customer_id", "staff_id", "store_id", "order_date")
     headers = join_as_of(
-        headers, customers, "customer_id", "order_date", ["sk_customer_id"], hot.get("customer_id", ()), inclusive
+        headers, customers, "customer_id", "order_date", ["sk_customer_id"], hot.get("customer_id"), inclusive
     )
-    headers = join_as_of(headers, staffs, "staff_id", "order_date", ["sk_staff_id"], hot.get("staff_id", ()), inclusive)
+    headers = join_as_of(headers, staffs, "staff_id", "order_date", ["sk_staff_id"], hot.get("staff_id"), inclusive)
     headers = headers.select(
         F.col("order_id").alias("_order_id"), "sk_customer_id", "store_id", "sk_staff_id", "order_date"
     )
     lines = items.select("order_id", "product_id", "quantity", "list_price", "discount")
-    lines = spread_left_join(lines, headers, "order_id", "_order_id", hot.get("order_id", ()))
+    lines = spread_left_join(lines, headers, "order_id", "_order_id", hot.get("order_id"))
     lines = join_as_of(
-        lines, products, "product_id", "order_date", ["sk_product_id"], hot.get("product_id", ()), inclusive
+        lines, products, "product_id", "order_date", ["sk_product_id"], hot.get("product_id"), inclusive
     )
     lines = lines.select(
         "order_id", "sk_customer_id", "store_id", "sk_staff_id", "order_date", "sk_product_id",
@@ -71,10 +72,10 @@ def stock_facts(
     hot = hot or {}
     rows = stocks.select("store_id", "product_id", "quantity", "snapshot_time")
     rows = join_as_of(
-        rows, products, "product_id", "snapshot_time", ["sk_product_id", "list_price"], hot.get("product_id", ()), inclusive
+        rows, products, "product_id", "snapshot_time", ["sk_product_id", "list_price"], hot.get("product_id"), inclusive
     )
     names = stores.select(F.col("store_id").alias("_store_id"), "store_name")
-    rows = spread_left_join(rows, names, "store_id", "_store_id", hot.get("store_id", ()))
+    rows = spread_left_join(rows, names, "store_id", "_store_id", hot.get("store_id"))
     rows = rows.select(
         "store_id", "sk_product_id", "store_name", "quantity", "list_price",
         (F.col("quantity") * F.col("list_price")).alias("value_stocked"), "snapshot_time",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from tidemark.operators import (
     spread_left_join,
     stored,
 )
+from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY
 from tidemark.plans.bronze import STAMP as RAW_STAMP
 from tidemark.plans.together import together
@@ -47,27 +48,27 @@ def _stamps(df: DataFrame) -> list[str]:
     return [c for c in (*_AUDIT, RAW_STAMP, STAMP) if c in df.columns]
 
 
-def _lookup(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, take: Mapping[str, str], hot: Sequence) -> DataFrame:
+def _lookup(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, take: Mapping[str, str], hot: Shares | None) -> DataFrame:
     """Left join of ``take`` (column: new name) from a table with one row per key."""
     picked = lookup.select(F.col(lookup_key).alias("_lookup_key"), *[F.col(c).alias(n) for c, n in take.items()])
     return spread_left_join(df, picked, key, "_lookup_key", hot)
 
 
 def denormalise_products(
-    products: DataFrame, brands: DataFrame, categories: DataFrame, hot: Mapping[str, Sequence] | None = None
+    products: DataFrame, brands: DataFrame, categories: DataFrame, hot: Mapping[str, Shares] | None = None
 ) -> DataFrame:
     """Products with the names of their brand and category in place of the ids."""
     hot = hot or {}
-    named = _lookup(products, brands, "brand_id", "brand_id", {"brand_name": "brand_name"}, hot.get("brand_id", ()))
+    named = _lookup(products, brands, "brand_id", "brand_id", {"brand_name": "brand_name"}, hot.get("brand_id"))
     named = _lookup(
-        named, categories, "category_id", "category_id", {"category_name": "category_name"}, hot.get("category_id", ())
+        named, categories, "category_id", "category_id", {"category_name": "category_name"}, hot.get("category_id")
     )
     return named.select(
         "product_id", "product_name", "model_year", "list_price", "brand_name", "category_name", *_stamps(products)
     )
 
 
-def denormalise_staffs(staffs: DataFrame, stores: DataFrame, hot: Mapping[str, Sequence] | None = None) -> DataFrame:
+def denormalise_staffs(staffs: DataFrame, stores: DataFrame, hot: Mapping[str, Shares] | None = None) -> DataFrame:
     """Staffs with their store's and manager's names.
 
     A renamed store or manager changes the staff row as well, so its ``updated_at`` is
@@ -75,9 +76,9 @@ def denormalise_staffs(staffs: DataFrame, stores: DataFrame, hot: Mapping[str, S
     """
     hot = hot or {}
     managers = {"first_name": "manager_first_name", "last_name": "manager_last_name", "updated_at": "_manager_at"}
-    named = _lookup(staffs, staffs, "manager_id", "staff_id", managers, hot.get("manager_id", ()))
+    named = _lookup(staffs, staffs, "manager_id", "staff_id", managers, hot.get("manager_id"))
     named = _lookup(
-        named, stores, "store_id", "store_id", {"store_name": "store_name", "updated_at": "_store_at"}, hot.get("store_id", ())
+        named, stores, "store_id", "store_id", {"store_name": "store_name", "updated_at": "_store_at"}, hot.get("store_id")
     )
     return (
         named.withColumn("updated_at", F.greatest("updated_at", "_manager_at", "_store_at"))
@@ -201,7 +202,7 @@ def refine_all(
         batch = bronze.batch(name, mark_column, by_day=True)
         if batch is not None:
             rows = refine(batch).withColumn(DAY, F.col(STAMP).cast("date"))
-            append_table(rows, lake.table("silver", name), lake.path("silver", name), [DAY])
+            append_table(rows, lake.table("silver", name), lake.path("silver", name), [DAY], known_rows=True)
 
     together(
         [

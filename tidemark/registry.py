@@ -29,6 +29,12 @@ class Table:
     snapshot: bool = False
     # Columns whose change opens a new version (type 2 history); none: no history.
     tracked: tuple[str, ...] = ()
+    # Whole-number column to split a parallel read by; none: the first key column.
+    split: str | None = None
+
+    @property
+    def split_column(self) -> str:
+        return self.split or self.key[0]
 
     @property
     def csv_columns(self) -> list[str]:
@@ -70,7 +76,7 @@ _ALL = [
                   ("quantity", MONEY), ("list_price", MONEY), ("discount", RATE))),
     Table("stocks", "mysql", ("store_id", "product_id"),
           _schema(("store_id", _LONG), ("product_id", _LONG), ("quantity", MONEY)),
-          snapshot=True),
+          snapshot=True, split="product_id"),
 ]
 
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}

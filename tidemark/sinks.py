@@ -18,9 +18,14 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def append_table(df: DataFrame, table: str, path: str, partition_by: Sequence[str] = ()) -> bool:
-    """Append to an external table, creating it at first. An empty batch writes nothing."""
-    if df.isEmpty():
+def append_table(
+    df: DataFrame, table: str, path: str, partition_by: Sequence[str] = (), known_rows: bool = False
+) -> bool:
+    """Append to an external table, creating it at first. An empty batch writes nothing.
+
+    ``known_rows`` spares the look for a first row, which may cost a costly frame twice.
+    """
+    if not known_rows and df.isEmpty():
         return False
     writer = df.write.mode("append").format("parquet").option("path", path)
     if partition_by:
@@ -77,8 +82,13 @@ def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
-def append_partitions(df: DataFrame, table: str, path: str, partition_by: Sequence[str]) -> bool:
-    return append_table(_balanced(df, partition_by), table, path, partition_by)
+def append_partitions(
+    df: DataFrame, table: str, path: str, partition_by: Sequence[str], known_rows: bool = False
+) -> bool:
+    """:func:`append_table` with the rows gathered by partition."""
+    if not known_rows and df.isEmpty():
+        return False
+    return append_table(_balanced(df, partition_by), table, path, partition_by, known_rows=True)
 
 
 def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
@@ -126,7 +136,7 @@ def overwrite_partitions(
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        append_partitions(df, table, path, partition_by)
+        append_partitions(df, table, path, partition_by, known_rows=True)
         return
     columns = spark.table(table).columns
     emptied = set(touched) - set(partitions_of(df, partition_by)) if touched else set()

@@ -13,7 +13,7 @@ DRIVERS = {"mysql": "com.mysql.cj.jdbc.Driver", "postgres": "org.postgresql.Driv
 
 @dataclass(frozen=True)
 class JdbcDatabase:
-    """One database; tables are read in parallel ranges of their first key column."""
+    """One database; tables are read in parallel ranges of a key column."""
 
     url: str
     user: str
@@ -27,7 +27,7 @@ class JdbcDatabase:
 
     def bounds_options(self, table: Table) -> dict[str, str]:
         """Options that read the smallest and largest key, an index lookup at the source."""
-        key = table.key[0]
+        key = table.split_column
         return {**self._login(), "query": f"SELECT min({key}) AS low, max({key}) AS high FROM {table.name}"}
 
     def table_options(self, table: Table, bounds: tuple | None) -> dict[str, str]:
@@ -38,7 +38,7 @@ class JdbcDatabase:
         if bounds and bounds[0] is not None:
             # Rows outside the bounds are still read, by the first and last range.
             options |= {
-                "partitionColumn": table.key[0],
+                "partitionColumn": table.split_column,
                 "lowerBound": str(bounds[0]),
                 "upperBound": str(bounds[1] + 1),
                 "numPartitions": str(self.connections),
