@@ -57,6 +57,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def gaps(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole-number columns that may be NULL as doubles, the form clients agree on for them."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def query(build: Callable[[SparkSession, Retail], DataFrame]):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return plain(build(spark, Retail(spark, folder)))
@@ -373,15 +378,17 @@ def dim_publish(spark, retail):
 def pit_join_customers(spark, retail):
     orders = retail.orders().select("order_id", "customer_id", "order_date")
     hot = frequent_values(orders, ["customer_id"])["customer_id"]
-    return join_as_of(orders, _customer_history(retail), "customer_id", "order_date", ["sk_customer_id", "street"], hot)
+    joined = join_as_of(orders, _customer_history(retail), "customer_id", "order_date", ["sk_customer_id", "street"], hot)
+    return gaps(joined, "sk_customer_id")
 
 
 @query
 def pit_join_inclusive(spark, retail):
     orders = retail.orders().select("order_id", "customer_id", "order_date")
-    return join_as_of(
+    joined = join_as_of(
         orders, _customer_history(retail), "customer_id", "order_date", ["sk_customer_id"], inclusive=True
     )
+    return gaps(joined, "sk_customer_id")
 
 
 @query
@@ -392,14 +399,15 @@ def fact_sales(spark, retail):
         **frequent_values(orders, ["customer_id", "staff_id"]),
     }
     staffs = first_versions(_staffs(retail), "staff_id")
-    return gold.sales_facts(items, orders, _customer_history(retail), _product_history(retail), staffs, hot)
+    facts = gold.sales_facts(items, orders, _customer_history(retail), _product_history(retail), staffs, hot)
+    return gaps(facts, "sk_customer_id", "sk_staff_id", "sk_product_id")
 
 
 @query
 def fact_stocks(spark, retail):
     stocks = _stocks(retail)
     hot = frequent_values(stocks, ["product_id", "store_id"])
-    return gold.stock_facts(stocks, _product_history(retail), retail.stores(), hot)
+    return gaps(gold.stock_facts(stocks, _product_history(retail), retail.stores(), hot), "sk_product_id")
 
 
 # --- marts ----------------------------------------------------------------------------
@@ -456,7 +464,7 @@ def _slice(kind: str, df: DataFrame, by: list[str]) -> DataFrame:
         total("quantity", "double"),
         total("total", "double"),
         total("value_stocked", "double"),
-        *[total(c, "bigint") for c in ("sk_customer_id", "sk_product_id", "sk_staff_id", "store_id")],
+        *[total(c, "double") for c in ("sk_customer_id", "sk_product_id", "sk_staff_id", "store_id")],
     )
 
 

@@ -253,18 +253,19 @@ ANSWERS["stock_snapshots"] = """SELECT store_id, product_id, CAST(quantity AS DO
        '1999-01-01 00:00:00' AS snapshot_time FROM v_stocks"""
 ANSWERS["pit_join_customers"] = """
 SELECT o.order_id, o.customer_id, CAST(o.order_date AS VARCHAR) AS order_date,
-       CAST(c.sk_customer_id AS BIGINT) AS sk_customer_id, c.street
+       CAST(c.sk_customer_id AS DOUBLE) AS sk_customer_id, c.street
 FROM v_orders_1 o LEFT JOIN customer_history c
   ON o.customer_id = c.customer_id AND o.order_date >= c.start_date AND o.order_date < c.end_date"""
 ANSWERS["pit_join_inclusive"] = """
 SELECT o.order_id, o.customer_id, CAST(o.order_date AS VARCHAR) AS order_date,
-       CAST(c.sk_customer_id AS BIGINT) AS sk_customer_id
+       CAST(c.sk_customer_id AS DOUBLE) AS sk_customer_id
 FROM v_orders_1 o LEFT JOIN customer_history c
   ON o.customer_id = c.customer_id AND o.order_date BETWEEN c.start_date AND c.end_date"""
-ANSWERS["fact_sales"] = f"""SELECT order_id, sk_customer_id, store_id, sk_staff_id, CAST(order_date AS VARCHAR) AS order_date,
-       sk_product_id, {_MONEY}, CAST(discount AS DOUBLE) AS discount, CAST(total AS DOUBLE) AS total, year, quarter, month, day
+ANSWERS["fact_sales"] = f"""SELECT order_id, CAST(sk_customer_id AS DOUBLE) AS sk_customer_id, store_id,
+       CAST(sk_staff_id AS DOUBLE) AS sk_staff_id, CAST(order_date AS VARCHAR) AS order_date,
+       CAST(sk_product_id AS DOUBLE) AS sk_product_id, {_MONEY}, CAST(discount AS DOUBLE) AS discount, CAST(total AS DOUBLE) AS total, year, quarter, month, day
 FROM sales_facts"""
-ANSWERS["fact_stocks"] = f"""SELECT store_id, sk_product_id, store_name, {_MONEY}, CAST(value_stocked AS DOUBLE) AS value_stocked,
+ANSWERS["fact_stocks"] = f"""SELECT store_id, CAST(sk_product_id AS DOUBLE) AS sk_product_id, store_name, {_MONEY}, CAST(value_stocked AS DOUBLE) AS value_stocked,
        {_time('snapshot_time')} AS snapshot_time, year, month, day FROM stock_facts"""
 _TOTAL = "CAST(ceiling(SUM(i.total)) AS BIGINT) AS total"
 ANSWERS["sales_by_category"] = f"""SELECT p.category_name, {_TOTAL}
@@ -282,16 +283,13 @@ _STATES = f"""SELECT c.state, {_TOTAL}
 FROM v_items_{{r}} i LEFT JOIN v_orders_{{r}} o ON i.order_id = o.order_id
 LEFT JOIN {{customers}} c ON o.customer_id = c.customer_id AND c.current_flag GROUP BY c.state"""
 ANSWERS["sales_by_state"] = _STATES.format(r=1, customers="customer_history")
-_MEASURES = {
-    "quantity": "DOUBLE", "total": "DOUBLE", "value_stocked": "DOUBLE",
-    "sk_customer_id": "BIGINT", "sk_product_id": "BIGINT", "sk_staff_id": "BIGINT", "store_id": "BIGINT",
-}
+_MEASURES = ("quantity", "total", "value_stocked", "sk_customer_id", "sk_product_id", "sk_staff_id", "store_id")
 
 
 def _slice(kind: str, source: str, by: list[str], measures: list[str]) -> str:
     part = " || '/' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in by)
     sums = ", ".join(
-        f"CAST({f'sum({m})' if m in measures else 'NULL'} AS {t}) AS sum_{m}" for m, t in _MEASURES.items()
+        f"CAST({f'sum({m})' if m in measures else 'NULL'} AS DOUBLE) AS sum_{m}" for m in _MEASURES
     )
     return f"SELECT '{kind}' AS kind, {part} AS part, count(*) AS facts, {sums} FROM {source} GROUP BY {', '.join(by)}"
 
