@@ -100,6 +100,13 @@ def test_incremental_load_takes_changes_once(spark, lake):
     assert sorted(r.brand_id for r in spark.table(name).collect()) == [1, 2]
 
 
+def test_runs_cannot_go_back_in_time(spark, lake):
+    source = Frames({"brands": brands(spark, (1, "a", "2019-01-01", "2019-01-01"))})
+    bronze.load_table(spark, lake, source, TABLES["brands"], "2020-01-02 00:00:00")
+    with pytest.raises(ValueError, match="loaded as of"):
+        bronze.load_table(spark, lake, source, TABLES["brands"], "2020-01-01 00:00:00", snapshot=True)
+
+
 def test_days_already_read_are_pruned(spark, lake):
     from tidemark.operators import past_mark
 

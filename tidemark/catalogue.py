@@ -73,7 +73,7 @@ def query(build: Callable[[SparkSession, Retail], DataFrame]):
 def new_lake(spark: SparkSession) -> Lake:
     """An empty lake of its own for one query, on the cluster's scratch folder."""
     lake = Lake(scratch_path(spark, "lake"), f"tidemark_{uuid4().hex[:12]}")
-    sinks.create_database(spark, lake.database)
+    sinks.create_database(spark, lake.database, lake.path("catalog", lake.database))
     return lake
 
 
@@ -157,6 +157,22 @@ def extract_incremental(spark, retail):
     )
 
 
+@query
+def extract_all(spark, retail):
+    """All nine tables, whole and then by their changes; rows per table and load."""
+    lake = new_lake(spark)
+    for round_, as_of in ((1, FIRST_RUN), (2, SECOND_RUN)):
+        source = Frames(retail.tables(round_))
+        bronze.load_all(spark, lake, {"mysql": source, "postgres": source}, as_of)
+    counts = [
+        spark.table(lake.table("bronze", name))
+        .groupBy("raw_extraction_time")
+        .agg(F.lit(name).alias("name"), F.count("*").alias("row_count"), F.max("updated_at").alias("newest"))
+        for name in TABLES
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 @query
 def csv_load(spark, retail):
     table, path = TABLES["customers"], scratch_path(spark, "customers-csv")
@@ -354,7 +370,7 @@ def order_items_refine(spark, retail):
 
 @query
 def stores_refine(spark, retail):
-    return silver.refine_stores(retail.stores()).select("store_id", "store_name", "state")
+    return silver.refine_stores(retail.outlets()).select("store_id", "store_name", "city", "state")
 
 
 @query

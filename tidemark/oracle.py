@@ -197,6 +197,32 @@ SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, store_id, '1990-01-0
 UNION ALL
 SELECT order_id, CAST(order_date AS VARCHAR), store_id, '1998-06-01 00:00:00', '1999-06-01 00:00:00'
 FROM v_orders_2 WHERE order_id % 50 = 0"""
+_FIRST_LOADS = {
+    "categories": "(SELECT DISTINCT p_type FROM part) t", "brands": "(SELECT DISTINCT p_brand FROM part) t", "products": "part",
+    "customers": "customer", "stores": "nation", "staffs": "supplier", "orders": "orders", "order_items": "lineitem",
+    "stocks": "v_stocks",
+}
+_SECOND_LOADS = {
+    "products": "v_products_2 WHERE product_id % 4 = 0",
+    "customers": "v_customers_2 WHERE updated_at > TIMESTAMP '1998-01-01 00:00:00'",
+    "orders": "orders WHERE o_orderkey % 50 = 0", "order_items": "lineitem WHERE l_orderkey % 30 = 0",
+    "stocks": "v_stocks",
+}
+_LOADED = """SELECT '{name}' AS name, '{run}' AS raw_extraction_time, count(*) AS row_count, '{newest}' AS newest
+FROM {source} HAVING count(*) > 0"""
+ANSWERS["extract_all"] = "\nUNION ALL\n".join(
+    [
+        _LOADED.format(name=n, run="1998-01-01 00:00:00", newest="1990-01-01 00:00:00", source=t)
+        for n, t in _FIRST_LOADS.items()
+    ]
+    + [
+        _LOADED.format(
+            name=n, run="1999-06-01 00:00:00", source=t,
+            newest="1990-01-01 00:00:00" if n == "stocks" else "1998-06-01 00:00:00",
+        )
+        for n, t in _SECOND_LOADS.items()
+    ]
+)
 ANSWERS["csv_load"] = f"""SELECT {_CUSTOMER}, '2015-01-01 00:00:00' AS created_at, '1998-01-01 00:00:00' AS updated_at
 FROM v_customers_1"""
 ANSWERS["high_water_mark"] = f"SELECT {_time('max(shipped_at)')} AS mark FROM v_items_1"
@@ -248,7 +274,8 @@ ANSWERS["orders_refine"] = """SELECT order_id, customer_id, order_status, CAST(o
 _MONEY = "CAST(quantity AS DOUBLE) AS quantity, CAST(list_price AS DOUBLE) AS list_price"
 ANSWERS["order_items_refine"] = f"""SELECT order_id, product_id, {_MONEY}, CAST(discount AS DOUBLE) AS discount,
        CAST(total AS DOUBLE) AS total FROM v_items_1"""
-ANSWERS["stores_refine"] = "SELECT store_id, store_name, state FROM v_stores"
+ANSWERS["stores_refine"] = """SELECT s_suppkey AS store_id, concat('Outlet ', s_name) AS store_name, n_name AS city, r_name AS state
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
 ANSWERS["stock_snapshots"] = """SELECT store_id, product_id, CAST(quantity AS DOUBLE) AS quantity,
        '1999-01-01 00:00:00' AS snapshot_time FROM v_stocks"""
 ANSWERS["pit_join_customers"] = """

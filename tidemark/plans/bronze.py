@@ -25,12 +25,16 @@ def load_table(
     """Append one table's changes since the last load, or the whole table as a snapshot.
 
     False if there was nothing to append. Runs are kept apart in one folder per day, so
-    later layers read only the days they have not seen.
+    later layers read only the days they have not seen. An ``as_of`` before the last
+    load is refused: later layers would take its rows for old ones.
     """
     name, path = lake.table("bronze", table.name), lake.path("bronze", table.name)
+    mark = layer_mark(spark, name, STAMP, DAY)
+    if mark is not None and datetime.fromisoformat(str(as_of)) < mark:
+        raise ValueError(f"{name} was loaded as of {mark}, after {as_of}")
     whole = table.snapshot if snapshot is None else snapshot
-    mark = None if whole else layer_mark(spark, name, STAMP, DAY)
-    rows = extract(spark, source, table, as_of, mark).withColumn(DAY, F.col(STAMP).cast("date"))
+    since = None if whole else mark
+    rows = extract(spark, source, table, as_of, since).withColumn(DAY, F.col(STAMP).cast("date"))
     return append_table(rows, name, path, [DAY])
 
 

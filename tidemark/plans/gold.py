@@ -209,6 +209,7 @@ def _changed_orders(silver: _Silver, mark: datetime) -> DataFrame:
         .groupBy(F.col("order_id").alias("_sold_order"))
         .agg(F.min("_changed_from").alias("_changed_from"))
     )
+    sold = stored(sold, "sold")
     found.append(orders.join(sold, (F.col("order_id") == F.col("_sold_order")) & late, "left_semi").select("order_id"))
     return reduce(DataFrame.union, found).distinct()
 
@@ -261,5 +262,6 @@ def _changed_snapshots(silver: _Silver, mark: datetime) -> DataFrame:
         (F.min("store_name").eqNullSafe(F.max("store_name"))).alias("one_name"),
     )
     renamed = seen.where((F.col("last") > instant(mark)) & (~F.col("one_name") | (F.col("first") > instant(mark))))
+    renamed = stored(renamed.select("_store_id"), "renamed")
     moved = stocks.join(renamed, F.col("store_id") == F.col("_store_id"), "left_semi")
     return new.union(repriced.select(key)).union(moved.select(key)).distinct()

@@ -84,6 +84,20 @@ class Retail:
         )
         return self._dated(rows)
 
+    def outlets(self) -> DataFrame:
+        """Stores as above, one per supplier, so that they grow with the data."""
+        nation, region = self.raw("nation"), self.raw("region")
+        places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        rows = self.raw("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
+            F.col("s_suppkey").alias("store_id"),
+            F.concat(F.lit("Outlet "), F.col("s_name")).alias("store_name"),
+            *[F.lit(None).cast("string").alias(c) for c in ("phone", "email", "street")],
+            F.col("n_name").alias("city"),
+            F.col("r_name").alias("state"),
+            F.lit(None).cast("string").alias("zip_code"),
+        )
+        return self._dated(rows)
+
     def staffs(self, round_: int = 1) -> DataFrame:
         key = F.col("s_suppkey")
         return self._dated(

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def append_table(
