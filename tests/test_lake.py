@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import gold, marts, run
+from tidemark.plans import bronze, gold, marts, run, silver
 from tidemark.registry import TABLES
 from tidemark.sources import Frames
 
@@ -131,11 +131,17 @@ def test_runs_with_changes(spark, lake):
     assert (customer.first_name, customer.last_name, customer.email, customer.phone) == ("Ann", "Lee", "unknown", "unknown")
     assert spark.table(lake.table("gold", "dim_products")).where("product_id = 3").first().category_name is None
 
-    # Nothing changed but the stocks, of which each run takes a snapshot.
+    # Nothing changed but the stocks, of which each run takes a snapshot. Other tables
+    # are not even written.
+    kept = [lake.table("gold", n) for n in GOLD if n != "fact_stocks"] + [
+        lake.table("silver", n) for n in ("customers", "products", "staffs")
+    ]
+    files = {n: set(spark.table(n).inputFiles()) for n in kept}
     before = {n: content(spark, lake.table("gold", n)) for n in GOLD}
     go(spark, lake, shop, "2016-02-11 00:00:00")
     after = {n: content(spark, lake.table("gold", n)) for n in GOLD}
     assert {n for n in GOLD if before[n] != after[n]} == {"fact_stocks"}
+    assert {n: set(spark.table(n).inputFiles()) for n in kept} == files
     assert sum(after["fact_stocks"].values()) == 2 * sum(before["fact_stocks"].values())
 
     change_everything(shop)
@@ -173,12 +179,16 @@ def test_load_that_breaks_before_its_mark_is_repeated(spark, lake, monkeypatch):
     def broken(*args):
         raise RuntimeError("lost the driver")
 
-    keep = gold._set_fact_mark
+    keep = gold.set_mark
     for as_of in ("2016-02-10 00:00:00", "2016-08-01 00:00:00"):
-        monkeypatch.setattr(gold, "_set_fact_mark", broken)
-        with pytest.raises(RuntimeError):
-            go(spark, lake, shop, as_of)
-        monkeypatch.setattr(gold, "_set_fact_mark", keep)
+        source = shop.frames(spark)
+        bronze.load_all(spark, lake, {"mysql": source, "postgres": source}, as_of)
+        silver.refine_all(spark, lake, as_of)
+        monkeypatch.setattr(gold, "set_mark", broken)
+        for load in (gold.load_sales, gold.load_stocks):
+            with pytest.raises(RuntimeError):
+                load(spark, lake, as_of)
+        monkeypatch.setattr(gold, "set_mark", keep)
         gold.load_sales(spark, lake, as_of)
         gold.load_stocks(spark, lake, as_of)
         assert content(spark, lake.table("gold", "fact_sales")) == rebuilt_sales(spark, lake)
@@ -198,8 +208,6 @@ def test_snapshot_loads_close_missing_keys(spark, lake):
 
 
 def test_two_snapshots_between_refinements_keep_to_the_last(spark, lake):
-    from tidemark.plans import bronze, silver
-
     shop, kinds = Shop(), {"customers": "snapshot"}
     go(spark, lake, shop, "2016-02-10 00:00:00", batch_kinds=kinds)
     for as_of, drop in (("2016-02-11 00:00:00", None), ("2016-02-12 00:00:00", (2,))):

@@ -30,6 +30,7 @@ from tidemark.operators import (
 from tidemark.operators.staging import scratch_path
 from tidemark.plans import bronze, gold, marts, silver
 from tidemark.plans.run import run_lake
+from tidemark.plans.together import together
 from tidemark.registry import TABLES
 from tidemark.retail import Retail
 from tidemark.sources import Frames, extract, load_csv
@@ -414,8 +415,14 @@ def fact_sales(spark, retail):
         **frequent_values(items, ["order_id", "product_id"]),
         **frequent_values(orders, ["customer_id", "staff_id"]),
     }
-    staffs = first_versions(_staffs(retail), "staff_id")
-    facts = gold.sales_facts(items, orders, _customer_history(retail), _product_history(retail), staffs, hot)
+    customers, products, staffs = together(
+        [
+            lambda: _customer_history(retail),
+            lambda: _product_history(retail),
+            lambda: first_versions(_staffs(retail), "staff_id"),
+        ]
+    )
+    facts = gold.sales_facts(items, orders, customers, products, staffs, hot)
     return gaps(facts, "sk_customer_id", "sk_staff_id", "sk_product_id")
 
 

@@ -78,7 +78,8 @@ def merge_versions(
     ``version_start="created_at"`` starts every new version at ``created_at`` instead;
     intervals may then overlap.
 
-    A small batch is broadcast to the open history, which is then not shuffled at all.
+    A small batch is broadcast to the open history, which is then not shuffled at all. A
+    delta without news gives back ``history`` itself.
     """
     if batch_kind not in ("delta", "snapshot"):
         raise ValueError(f"unknown batch kind {batch_kind!r}")
@@ -94,6 +95,8 @@ def merge_versions(
     kept = _close_changed(current, batch, key, tracked, run, batch_kind)
     fresh = _new_versions(current, closed, batch, key, tracked, run, version_start)
     fresh = number_rows(fresh, ["_rank", key], surrogate, start=highest, drop=["_rank"])
+    if batch_kind == "delta" and fresh.isEmpty():
+        return history
     columns = history.columns
     return closed.unionByName(kept).select(columns).unionByName(fresh.select(columns))
 

@@ -14,15 +14,14 @@ from tidemark.lake import Lake
 from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, spread_left_join, stored
 from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY
+from tidemark.plans.progress import Silver, is_current, mark_of, newest_log_rows, set_mark
 from tidemark.plans.silver import STAMP as SILVER_STAMP
 from tidemark.plans.together import together
 from tidemark.sinks import overwrite_partitions, partitions_of, replace_rows, replace_table
-from tidemark.sources import high_water_mark, layer_mark
 
 STAMP = "extraction_silver"
 SALES_PARTITIONS = ("year", "quarter", "month")
 STOCK_PARTITIONS = ("store_name", "year", "month")
-_MARK_PROPERTY = "tidemark.mark"
 
 Hot = Mapping[str, Shares]
 
@@ -97,55 +96,26 @@ def changed_keys(history: DataFrame, key: str, mark: datetime) -> DataFrame:
 # --- jobs -----------------------------------------------------------------------------
 
 
-class _Silver:
-    def __init__(self, spark: SparkSession, lake: Lake):
-        self.spark, self.lake = spark, lake
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.table(self.lake.table("silver", name))
-
-    def has(self, *names: str) -> bool:
-        return all(self.spark.catalog.tableExists(self.lake.table("silver", n)) for n in names)
-
-    def newest_stamp(self, logs: Sequence[str], histories: Sequence[str]) -> datetime | None:
-        """The newest silver run any of the tables has taken part in."""
-        marks = [layer_mark(self.spark, self.lake.table("silver", n), SILVER_STAMP, DAY) for n in logs]
-        for name in histories:
-            latest = F.greatest(F.col(SILVER_STAMP), F.col("extraction_closed"))
-            marks.append(high_water_mark(self[name].select(latest.alias("stamp")), "stamp"))
-        return max((m for m in marks if m is not None), default=None)
-
-
-def newest_log_rows(log: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The present rows of an appended silver table."""
-    order = [c for c in ("raw_extraction_time", SILVER_STAMP) if c not in key]
-    return latest_per_key(log.drop(DAY), key, order)
-
-
 def publish_dimensions(spark: SparkSession, lake: Lake) -> None:
-    """Copy the dimensions to gold. A history's versions are distinct by construction."""
-    silver = _Silver(spark, lake)
+    """Copy the dimensions that changed to gold.
+
+    A history's versions are distinct by construction.
+    """
+    silver = Silver(spark, lake)
 
     def publish(name: str) -> None:
-        if silver.has(name):
-            rows = newest_log_rows(silver[name], ["store_id"]) if name == "stores" else silver[name]
-            replace_table(rows, lake.table("gold", f"dim_{name}"), lake.path("gold", f"dim_{name}"))
+        if not silver.has(name):
+            return
+        table, log = lake.table("gold", f"dim_{name}"), name == "stores"
+        reached = silver.newest_stamp([name], []) if log else silver.newest_stamp([], [name])
+        if not is_current(spark, table, reached):
+            rows = newest_log_rows(silver[name], ["store_id"]) if log else silver[name]
+            replace_table(rows, table, lake.path("gold", f"dim_{name}"))
+            set_mark(spark, table, reached)
 
     together([partial(publish, name) for name in ("products", "customers", "staffs", "stores")])
 
 
-def _fact_mark(spark: SparkSession, table: str) -> datetime | None:
-    """How far silver had come when the fact table was last brought up to date."""
-    if not spark.catalog.tableExists(table):
-        return None
-    row = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _MARK_PROPERTY).first()
-    return datetime.fromisoformat(row["value"]) if row else None
-
-
-def _set_fact_mark(spark: SparkSession, table: str, mark: datetime) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_MARK_PROPERTY}' = '{mark.isoformat()}')")
-
-
 def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     """Bring ``fact_sales`` up to date; running it again changes nothing.
 
@@ -153,14 +123,14 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     new item, or a date past a change of one of their dimension rows. Their old rows
     are replaced in the months they are in; no other month is rewritten.
     """
-    silver = _Silver(spark, lake)
+    silver = Silver(spark, lake)
     table, path = lake.table("gold", "fact_sales"), lake.path("gold", "fact_sales")
     if not silver.has("order_items", "orders", "customers", "products", "staffs"):
         return
-    mark = _fact_mark(spark, table)
     reached = silver.newest_stamp(["order_items", "orders"], ["customers", "products", "staffs"])
-    if reached is None or (mark is not None and reached <= mark):
+    if is_current(spark, table, reached):
         return
+    mark = mark_of(spark, table)
     items_log, orders_log = silver["order_items"], silver["orders"]
     if mark is not None:
         changed = stored(_changed_orders(silver, mark), "changed-orders")
@@ -185,7 +155,7 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
         replace_rows(
             stored(facts, "sales"), changed, ["order_id"], table, path, SALES_PARTITIONS, sorted(months, key=str)
         )
-    _set_fact_mark(spark, table, reached)
+    set_mark(spark, table, reached)
 
 
 def _all_partitions(spark: SparkSession, table: str, partition_by: Sequence[str]) -> list[tuple]:
@@ -193,7 +163,7 @@ def _all_partitions(spark: SparkSession, table: str, partition_by: Sequence[str]
     return partitions_of(spark.table(table), partition_by) if spark.catalog.tableExists(table) else []
 
 
-def _changed_orders(silver: _Silver, mark: datetime) -> DataFrame:
+def _changed_orders(silver: Silver, mark: datetime) -> DataFrame:
     items, orders = silver["order_items"], silver["orders"]
     found = [
         past_mark(items, SILVER_STAMP, mark, DAY).select("order_id"),
@@ -220,14 +190,14 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     New snapshots are added. Where a product version or a store name changed for earlier
     snapshots, those stores' rows of those snapshots are replaced.
     """
-    silver = _Silver(spark, lake)
+    silver = Silver(spark, lake)
     table, path = lake.table("gold", "fact_stocks"), lake.path("gold", "fact_stocks")
     if not silver.has("stocks", "products", "stores"):
         return
-    mark = _fact_mark(spark, table)
     reached = silver.newest_stamp(["stocks", "stores"], ["products"])
-    if reached is None or (mark is not None and reached <= mark):
+    if is_current(spark, table, reached):
         return
+    mark = mark_of(spark, table)
     log, key = silver["stocks"], ["store_id", "snapshot_time"]
     if mark is not None:
         changed = stored(_changed_snapshots(silver, mark), "changed-snapshots")
@@ -246,10 +216,10 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
             replace_rows(
                 stored(facts, "stock-facts"), changed, key, table, path, STOCK_PARTITIONS, months, by=["year", "month"]
             )
-    _set_fact_mark(spark, table, reached)
+    set_mark(spark, table, reached)
 
 
-def _changed_snapshots(silver: _Silver, mark: datetime) -> DataFrame:
+def _changed_snapshots(silver: Silver, mark: datetime) -> DataFrame:
     """Store and snapshot of stock rows that are new or whose fact would differ now."""
     stocks, key = silver["stocks"], ["store_id", "snapshot_time"]
     new = past_mark(stocks, SILVER_STAMP, mark, DAY).select(key)

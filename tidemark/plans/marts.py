@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.lake import Lake
 from tidemark.operators import stored
-from tidemark.plans.gold import newest_log_rows
+from tidemark.plans.progress import Silver, is_current, newest_log_rows, set_mark
 from tidemark.plans.together import together
 from tidemark.sinks import replace_table
 
@@ -58,34 +58,33 @@ def sales_by_state(items: DataFrame, orders: DataFrame, customers: DataFrame, cu
     return _ranked(_order_totals(items, orders, "customer_id").join(states, "customer_id", "left"), "state")
 
 
-def build_marts(spark: SparkSession, lake: Lake) -> None:
-    """Recreate the four marts from the present silver rows."""
+MARTS = ("sales_by_category", "most_sold_products", "sales_by_store", "sales_by_state")
 
-    def silver(name: str) -> DataFrame:
-        return spark.table(lake.table("silver", name))
 
-    needed = ("order_items", "orders", "products", "customers", "stores")
-    if not all(spark.catalog.tableExists(lake.table("silver", n)) for n in needed):
+def build_marts(spark: SparkSession, lake: Lake) -> None:
+    """Recreate the four marts from the present silver rows, if any have changed."""
+    silver = Silver(spark, lake)
+    if not silver.has("order_items", "orders", "products", "customers", "stores"):
+        return
+    reached = silver.newest_stamp(["order_items", "orders", "stores"], ["products", "customers"])
+    if all(is_current(spark, lake.table("gold", name), reached) for name in MARTS):
         return
+    stamps = ["raw_extraction_time", "extraction_bronze", "extraction_day"]
     # The one pass over all items; every mart reads only these columns of its result.
-    log = silver("order_items").select(
-        "order_id", "item_id", "product_id", "total", "raw_extraction_time", "extraction_bronze", "extraction_day"
-    )
+    log = silver["order_items"].select("order_id", "item_id", "product_id", "total", *stamps)
     items = stored(newest_log_rows(log, ["order_id", "item_id"]).select("order_id", "product_id", "total"), "items")
-    headers = silver("orders").select(
-        "order_id", "store_id", "customer_id", "raw_extraction_time", "extraction_bronze", "extraction_day"
-    )
-    orders = newest_log_rows(headers, ["order_id"])
-    stores = newest_log_rows(silver("stores"), ["store_id"])
-    marts = {
-        "sales_by_category": sales_by_category(items, silver("products")),
-        "most_sold_products": most_sold_products(items, silver("products")),
+    orders = newest_log_rows(silver["orders"].select("order_id", "store_id", "customer_id", *stamps), ["order_id"])
+    stores = newest_log_rows(silver["stores"], ["store_id"])
+    rows = {
+        "sales_by_category": sales_by_category(items, silver["products"]),
+        "most_sold_products": most_sold_products(items, silver["products"]),
         "sales_by_store": sales_by_store(items, orders, stores),
-        "sales_by_state": sales_by_state(items, orders, silver("customers")),
+        "sales_by_state": sales_by_state(items, orders, silver["customers"]),
     }
-    together(
-        [
-            partial(replace_table, rows, lake.table("gold", name), lake.path("gold", f"marts/{name}"))
-            for name, rows in marts.items()
-        ]
-    )
+
+    def build(name: str) -> None:
+        table = lake.table("gold", name)
+        replace_table(rows[name], table, lake.path("gold", f"marts/{name}"))
+        set_mark(spark, table, reached)
+
+    together([partial(build, name) for name in MARTS])

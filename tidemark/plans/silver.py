@@ -158,7 +158,10 @@ def _save_history(
 ) -> None:
     table, (key,) = lake.table("silver", name), TABLES[name].key
     if spark.catalog.tableExists(table):
-        rows = merge_versions(spark.table(table), rows, key, TABLES[name].tracked, as_of, batch_kind)
+        history = spark.table(table)
+        rows = merge_versions(history, rows, key, TABLES[name].tracked, as_of, batch_kind)
+        if rows is history:
+            return
     else:
         rows = first_versions(rows, key)
     replace_table(rows, table, lake.path("silver", name))
