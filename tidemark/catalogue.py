@@ -203,7 +203,7 @@ def append_table(spark, retail):
     name, path = lake.table("silver", "orders"), lake.path("silver", "orders")
     orders = retail.orders()
     early = F.col("order_date") < "1998-01-01"
-    for batch in (orders.where(early), orders.where(~early), orders.limit(0)):
+    for batch in (orders.where(early), orders.where(~early), orders.where("order_id IS NULL")):
         sinks.append_table(batch, name, path)
     return spark.table(name).select("order_id", "customer_id", "order_date")
 
@@ -386,7 +386,13 @@ def stock_snapshots(spark, retail):
 def dim_publish(spark, retail):
     lake = new_lake(spark)
     name = lake.table("silver", "customers")
-    sinks.replace_table(_customer_history(retail), name, lake.path("silver", "customers"))
+    first, second = (
+        _customers(retail, r).withColumn(silver.STAMP, instant(at)) for r, at in ((1, FIRST_RUN), (2, SECOND_RUN))
+    )
+    history = merge_versions(
+        first_versions(first, "customer_id"), second, "customer_id", _CUSTOMER_TRACKED, MERGED_AT, "snapshot"
+    )
+    sinks.replace_table(history, name, lake.path("silver", "customers"))
     gold.publish_dimensions(spark, lake)
     return spark.table(lake.table("gold", "dim_customers")).select(_HISTORY_COLUMNS)
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
+_lock = Lock()
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -21,7 +23,10 @@ def scratch_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return _own_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
+    with _lock:
+        if context.applicationId not in _own_folder:
+            _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        return _own_folder[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
