@@ -8,6 +8,7 @@ a number of the caller's, or the mark itself.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from tidemark.llm.words import U64, mix, signed
 #: Marks a task holds before it sends them on.
 HELD = 1 << 21
 #: Bytes of text whose marks share a bucket; a reducer holds one bucket at a time.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 32 << 20
 
 _PLAIN, _WITNESS, _KNOWN = 0, 1, 2
 PACKED = (
@@ -38,9 +39,14 @@ def with_owner(docs: DataFrame, *keep: Column) -> DataFrame:
 
 
 def let_go(spark: SparkSession) -> None:
-    """Let the driver collect its garbage, so that shuffle files nobody reads again go."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver collect its garbage, so that shuffle files nobody reads again go.
+
+    Twice: the first time frees what holds on to the shuffles.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def bucket_count(docs: DataFrame, column: str = "text") -> int:

@@ -48,9 +48,9 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most_bytes`` of text each; a longer text stands alone."""
-    sizes = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64)
+def slices(*texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most_bytes`` of text each; a longer row stands alone."""
+    sizes = np.cumsum(sum(np.asarray(pc.binary_length(column)) for column in texts), dtype=np.int64)
     begin = 0
     while begin < len(sizes):
         before = sizes[begin - 1] if begin else 0
