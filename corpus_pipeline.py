@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.decontamination import benchmark_passages
+from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.operators.staging import stored
 
@@ -15,10 +20,42 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+def _among(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of documents with ids in a column ``id``; null equals null."""
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), how)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go; the verdict depends on text and language."""
+    key = F.struct(F.xxhash64("text", "lang").alias("a"), F.hash("lang", "text").alias("b"))
+    judged = quality_rules(docs.select(key.alias("doc_id"), "text", "lang"))
+    rejected = stored(judged.where(~F.col("kept")).select("doc_id.*").distinct(), "rejected")
+    same = (F.xxhash64(docs["text"], docs["lang"]) == rejected["a"]) & (
+        F.hash(docs["lang"], docs["text"]) == rejected["b"]
+    )
+    return docs.join(rejected, same, "left_anti")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (5 words, 0.8) the document with the least doc_id stays.
+
+    Of rows equal in doc_id and text one stays; rows that share a doc_id only are versions
+    of one document and share its fate. Rows without a doc_id or without words stay.
+    """
+    fates = stored(
+        near_duplicates(docs, k=5, percent=80)
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(F.count("*").alias("n"), F.bool_and("kept").alias("kept")),
+        "fates",
+    )
+    left = _among(docs, fates.where(~F.col("kept")).select("id"), "left_anti")
+    repeated = fates.where("kept AND n > 1").select("id")
+    once = _among(left, repeated, "left_anti")
+    return once.unionByName(_among(left, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages leave the texts; a text without any stays as it is, byte by byte."""
-    from pyspark.sql import functions as F
-
     cut = remove_repeats(docs)
     changed = F.col("kept_text").isNotNull()
     return cut.select(
@@ -28,7 +65,28 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ).select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("substring_dedup", substring_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    key = F.xxhash64("doc_id", "text")
+    found = benchmark_passages(
+        docs.select(key.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    leaks = stored(found.select(F.col("doc_id").alias("leak")).distinct(), "leaks")
+    return docs.join(leaks, F.xxhash64(docs["doc_id"], docs["text"]) == leaks["leak"], "left_anti")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of all documents in sequences of at most 2048."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("minhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", decontamination),
+    ("best_fit_packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
