@@ -1,7 +1,9 @@
 """Quality classifier: averaged subword embeddings, softmax, stochastic gradient descent.
 
 A text is the average of learned vectors of its words and of the character n-grams of its
-words, hashed into a fixed number of buckets; a softmax over two classes stands on top.
+words, hashed into a fixed number of buckets; a softmax over two classes stands on top. A
+word that repeats the one before it also counts as the bigram of a word with itself, which
+has one vector for all words.
 One task trains on a bounded sample; all tasks score. With two classes the score of an
 average is the average of one number per bucket, so scoring looks up one number a feature.
 """
@@ -29,8 +31,10 @@ def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words and n-grams of some texts, and the text each belongs to."""
     shift = U64(64 - bits)
     words = Words.of(texts)
-    buckets = [(words.hashes() >> shift).astype(np.int32)]
-    of = [words.text_of_words()]
+    hashes, text = words.hashes(), words.text_of_words()
+    again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1]))
+    buckets = [(hashes >> shift).astype(np.int32), np.full(len(again), int(_SPREAD >> shift), np.int32)]
+    of = [text, text[again]]
     each = [f" {text} ".encode("utf-32-le") for text in texts.to_pylist()]
     chars = np.frombuffer(b"".join(each), "<u4")
     ends = np.cumsum([len(x) // 4 for x in each])
@@ -52,7 +56,9 @@ def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(of)
 
 
-def train(texts: list, labels: np.ndarray, bits: int, size: int, epochs: int, rate: float, seed: int) -> bytes:
+def train(
+    texts: list, labels: np.ndarray, bits: int, size: int, epochs: int, least_steps: int, rate: float, seed: int
+) -> bytes:
     """The log-odds of class 1 per bucket, then the bias, as float32."""
     bags = []
     for text in texts:
@@ -61,6 +67,7 @@ def train(texts: list, labels: np.ndarray, bits: int, size: int, epochs: int, ra
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / size, 1 / size, (1 << bits, size)).astype(np.float32)
     out, bias = np.zeros((2, size), np.float32), np.zeros(2, np.float32)
+    epochs = max(epochs, -(-least_steps // max(len(bags), 1)))
     steps, done = max(1, epochs * len(bags)), 0
     for _ in range(epochs):
         for i in random.permutation(len(bags)):
@@ -110,20 +117,22 @@ def score_quality(
     bits: int = 18,
     size: int = 16,
     epochs: int = 5,
+    least_steps: int = 20000,
     rate: float = 0.5,
 ) -> DataFrame:
     """``(doc_id, held_out, score, predicted)``, one row per row of ``docs``.
 
     Learns ``label`` (0 or 1) from at most ``most`` rows of ``labels`` outside the fold
     ``held_out`` of ``folds``; ``score`` is the probability of 1, for the whole text.
-    ``2 ** bits`` buckets of ``size`` numbers; ``rate`` falls to 0 over ``epochs``.
+    ``2 ** bits`` buckets of ``size`` numbers; ``rate`` falls to 0 over ``epochs``, of
+    which a small sample gets more, until ``least_steps`` rows have been seen.
 
     Null and empty texts get the score of no features, from the bias alone. Without any
     labelled row every score is 0.5. Null and repeated ids are scored row by row.
     """
     sample = labelled_sample(docs, labels, label, folds, held_out, most)
     # one task, since gradient descent is sequential; bounded by ``most`` documents
-    settings = {"bits": bits, "size": size, "epochs": epochs, "rate": rate, "seed": 7}
+    settings = {"bits": bits, "size": size, "epochs": epochs, "least_steps": least_steps, "rate": rate, "seed": 7}
     trained = sample.repartition(1).mapInArrow(
         partial(_train, **settings), "model binary"
     ).first()
