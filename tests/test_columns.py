@@ -41,5 +41,11 @@ def test_conform_names_missing_columns(spark):
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
     with pytest.raises(ValueError, match="orders: .*b"):
         conform(spark.range(1).withColumnRenamed("id", "a"), schema, "orders")
-    extra = spark.range(1).select(F.col("id").cast("int").alias("a"), F.lit("x").alias("b"), F.lit(1).alias("c"))
-    assert conform(extra, schema).schema.simpleString() == schema.simpleString()
+    narrow = spark.range(1).select(F.lit("x").alias("b"), F.col("id").cast("int").alias("a"))
+    assert conform(narrow, schema).schema.simpleString() == schema.simpleString()
+
+
+def test_conform_names_unknown_columns(spark):
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    with pytest.raises(ValueError, match="orders: .*not registered: c"):
+        conform(spark.range(1).select(F.col("id").alias("a"), F.lit(1).alias("c")), schema, "orders")

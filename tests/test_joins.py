@@ -100,10 +100,11 @@ def test_frequent_values(spark):
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("a"),
         F.when(F.col("id") % 4 != 0, F.col("id")).alias("b"),
     )
-    assert frequent_values(df, ["a", "b"], share=0.01, least_rows=0) == {"a": {7: 667 / 2000}, "b": {None: 0.25}}
-    assert frequent_values(df, ["a", "b"], least_rows=0)["a"] == {7: 667 / 2000}
-    assert frequent_values(df, ["a", "b"]) == {"a": {}, "b": {}}
-    assert frequent_values(df.limit(0), ["a"], least_rows=0) == {"a": {}}
+    assert frequent_values(df, ["a", "b"], share=0.01) == {"a": {7: 667 / 2000}, "b": {None: 0.25}}
+    assert frequent_values(df, ["a", "b"])["a"] == {7: 667 / 2000}
+    assert frequent_values(df, ["a"], least_share=0.5) == {"a": {}}
+    assert set(frequent_values(df, ["a"], sample_rows=500)["a"]) == {7}
+    assert frequent_values(df.limit(0), ["a"]) == {"a": {}}
 
 
 def test_copies_stay_few():
@@ -141,3 +142,10 @@ def test_adaptive_execution_splits_a_hot_key_by_itself(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_are_dealt_out_by_the_engine_itself(spark):
+    from tidemark.catalogue import QUERIES
+
+    plan = QUERIES["fact_sales_hot_keys"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_piece" in plan

@@ -219,6 +219,64 @@ def test_two_snapshots_between_refinements_keep_to_the_last(spark, lake):
     assert [r.customer_id for r in closed] == [2]
 
 
+def refine(spark, lake, shop, as_of, kinds=None):
+    source = shop.frames(spark)
+    whole = [name for name, kind in (kinds or {}).items() if kind == "snapshot"]
+    bronze.load_all(spark, lake, {"mysql": source, "postgres": source}, as_of, whole)
+    silver.refine_all(spark, lake, as_of, kinds)
+
+
+def versions(spark, lake, name, key):
+    rows = spark.table(lake.table("silver", name)).select(key, "start_date", "end_date", "current_flag").collect()
+    return sorted(tuple(row) for row in rows)
+
+
+def test_delta_runs_after_a_snapshot_leave_deleted_keys_closed(spark, lake):
+    shop = Shop()
+    whole = {"customers": "snapshot", "products": "snapshot", "staffs": "snapshot"}
+    refine(spark, lake, shop, "2016-02-10 00:00:00")
+    then = {"updated_at": at("2016-02-15")}
+    shop.put("customers", customer_id=3, phone="555", **then)  # not tracked: no new version
+    refine(spark, lake, shop, "2016-02-16 00:00:00")
+    for name, key in (("customers", 3), ("products", 3), ("staffs", 2)):
+        del shop.rows[name][(key,)]
+    refine(spark, lake, shop, "2016-02-20 00:00:00", whole)
+    keys = {"customers": ("customer_id", 3), "products": ("product_id", 3), "staffs": ("staff_id", 2)}
+    closed = {n: versions(spark, lake, n, k) for n, (k, _) in keys.items()}
+    for name, (_, gone) in keys.items():
+        assert [v[2:] for v in closed[name] if v[0] == gone] == [(at("2016-02-20"), False)]
+        assert all(v[3] for v in closed[name] if v[0] != gone)
+    for as_of in ("2016-02-21 00:00:00", "2016-02-22 00:00:00"):
+        refine(spark, lake, shop, as_of)
+        assert {n: versions(spark, lake, n, k) for n, (k, _) in keys.items()} == closed
+    # back in the source: open again, from its new change on
+    shop.put("customers", customer_id=3, first_name="ann", last_name="lee", state="NY", updated_at=at("2016-02-23"))
+    refine(spark, lake, shop, "2016-02-24 00:00:00")
+    again = [v for v in versions(spark, lake, "customers", "customer_id") if v[0] == 3]
+    assert [v[1] for v in again if v[3]] == [at("2016-02-23")] and len(again) == 2
+
+
+def test_snapshot_without_rows_closes_every_key(spark, lake):
+    shop = Shop()
+    refine(spark, lake, shop, "2016-02-10 00:00:00")
+    shop.rows["staffs"].clear()
+    refine(spark, lake, shop, "2016-02-20 00:00:00", {"staffs": "snapshot"})
+    refine(spark, lake, shop, "2016-02-21 00:00:00")
+    assert [v[2:] for v in versions(spark, lake, "staffs", "staff_id")] == [(at("2016-02-20"), False)] * 2
+
+
+@pytest.mark.parametrize("names", [(None, "Store One"), ("Store 1", None)])
+def test_store_named_or_unnamed_moves_its_stock_rows(spark, lake, names):
+    shop = Shop()
+    shop.put("stores", store_id=1, store_name=names[0])
+    refine(spark, lake, shop, "2016-02-10 00:00:00")
+    gold.load_stocks(spark, lake, "2016-02-10 00:00:00")
+    shop.put("stores", store_id=1, store_name=names[1], updated_at=at("2016-02-15"))
+    refine(spark, lake, shop, "2016-02-20 00:00:00")
+    gold.load_stocks(spark, lake, "2016-02-20 00:00:00")
+    assert content(spark, lake.table("gold", "fact_stocks")) == rebuilt_stocks(spark, lake)
+
+
 def test_marts_count_every_version_on_request(spark):
     items = spark.createDataFrame([(1, 1, 5.0)], "order_id long, product_id long, total double")
     products = spark.createDataFrame(

@@ -34,6 +34,7 @@ from tidemark.plans.together import together
 from tidemark.registry import TABLES
 from tidemark.retail import Retail
 from tidemark.sources import Frames, extract, load_csv
+from tidemark.sources import marks as marks_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -185,7 +186,9 @@ def csv_load(spark, retail):
 
 @query
 def high_water_mark(spark, retail):
-    return retail.order_items().agg(F.max("shipped_at").alias("mark"))
+    items = retail.order_items()
+    mark = T.StructType([T.StructField("mark", items.schema["shipped_at"].dataType)])
+    return spark.createDataFrame([(marks_of.high_water_mark(items, "shipped_at"),)], mark)
 
 
 @query
@@ -202,7 +205,7 @@ def append_table(spark, retail):
     lake = new_lake(spark)
     name, path = lake.table("silver", "orders"), lake.path("silver", "orders")
     orders = retail.orders()
-    early = F.col("order_date") < "1998-01-01"
+    early = F.coalesce(F.col("order_date") < "1998-01-01", F.lit(False))
     for batch in (orders.where(early), orders.where(~early), orders.where("order_id IS NULL")):
         sinks.append_table(batch, name, path)
     return spark.table(name).select("order_id", "customer_id", "order_date")
@@ -250,7 +253,7 @@ def ctas_replace(spark, retail):
 @query
 def empty_batch_guard(spark, retail):
     lake = new_lake(spark)
-    name, path = lake.table("silver", "stores"), lake.path("silver", "customers")
+    name, path = lake.table("silver", "customers"), lake.path("silver", "customers")
     customers = retail.customers().select("customer_id", "city", "state")
     sinks.append_table(customers, name, path)
     written = sinks.append_table(customers.where("customer_id IS NULL"), name, path)
@@ -414,9 +417,8 @@ def pit_join_inclusive(spark, retail):
     return gaps(joined, "sk_customer_id")
 
 
-@query
-def fact_sales(spark, retail):
-    items, orders = _items(retail), retail.orders()
+def _sales_facts(retail: Retail, items: DataFrame) -> DataFrame:
+    orders = retail.orders()
     hot = {
         **frequent_values(items, ["order_id", "product_id"]),
         **frequent_values(orders, ["customer_id", "staff_id"]),
@@ -432,6 +434,18 @@ def fact_sales(spark, retail):
     return gaps(facts, "sk_customer_id", "sk_staff_id", "sk_product_id")
 
 
+@query
+def fact_sales(spark, retail):
+    return _sales_facts(retail, _items(retail))
+
+
+@query
+def fact_sales_hot_keys(spark, retail):
+    """One product on a third of the items and none on another third."""
+    product = F.expr("CASE order_id % 3 WHEN 0 THEN 1 WHEN 1 THEN NULL ELSE product_id END")
+    return _sales_facts(retail, _items(retail).withColumn("product_id", product))
+
+
 @query
 def fact_stocks(spark, retail):
     stocks = _stocks(retail)

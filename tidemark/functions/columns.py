@@ -70,10 +70,13 @@ def with_calendar(df: DataFrame, column: str, quarter: bool = True) -> DataFrame
 def conform(df: DataFrame, schema: T.StructType, table: str = "table") -> DataFrame:
     """``df`` with exactly the columns and types of ``schema``.
 
-    A missing column fails here, with its name, rather than as a torn append later.
-    Extra columns are dropped.
+    A missing or an unknown column fails here, with its name, rather than as a torn
+    append or as lost data later.
     """
     missing = [name for name in schema.names if name not in df.columns]
+    unknown = [name for name in df.columns if name not in schema.names]
     if missing:
         raise ValueError(f"{table}: columns missing from the source: {', '.join(missing)}")
+    if unknown:
+        raise ValueError(f"{table}: columns of the source that are not registered: {', '.join(unknown)}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -8,9 +8,6 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SAMPLE_ROWS = 1_000_000
-_LEAST_SHARE = 1e-4
-
 # Value (NULL included) to the share of the rows that have it.
 Shares = Mapping[object, float]
 
@@ -20,24 +17,28 @@ def _shuffle_partitions(spark: SparkSession) -> int:
 
 
 def frequent_values(
-    df: DataFrame, columns: Sequence[str], share: float | None = None, least_rows: int = _SAMPLE_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    share: float | None = None,
+    least_share: float = 1e-4,
+    sample_rows: int = 1_000_000,
 ) -> dict[str, Shares]:
     """Per column, the values holding at least ``share`` of the rows, and how much.
 
-    Without a ``share``, those that would fill a shuffle partition by themselves. Judged
-    on a sample of about a million rows: the answer only decides how a join is carried
-    out, never what it returns. There are at most ``1 / share`` values per column. A
-    frame below ``least_rows`` has none, as any part of it suits one task.
+    Without a ``share``, those that would fill a shuffle partition by themselves, but
+    none below ``least_share``. Judged on a sample of about ``sample_rows`` rows: the
+    answer only decides how a join is carried out, never what it returns. There are at
+    most ``1 / share`` values per column, whatever the size of the frame.
     """
     found: dict[str, dict] = {c: {} for c in columns}
     rows = df.count()
-    if rows < max(least_rows, 1):
+    if not rows:
         return found
-    share = share or max(1 / _shuffle_partitions(df.sparkSession), _LEAST_SHARE)
+    share = share or max(1 / _shuffle_partitions(df.sparkSession), least_share)
     picked = df.select(*columns)
-    if rows > _SAMPLE_ROWS:
-        picked = picked.sample(fraction=_SAMPLE_ROWS / rows, seed=7)
-    sampled = min(rows, _SAMPLE_ROWS)
+    if rows > sample_rows:
+        picked = picked.sample(fraction=sample_rows / rows, seed=7)
+    sampled = min(rows, sample_rows)
     # One pass counts every column by itself.
     counts = picked.groupingSets([[c] for c in columns], *columns).agg(
         F.count("*").alias("_rows"), *[F.grouping(c).alias(f"_absent_{c}") for c in columns]

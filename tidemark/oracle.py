@@ -165,6 +165,9 @@ LEFT JOIN {customers} c ON o.customer_id = c.customer_id AND o.order_date >= c.s
 LEFT JOIN product_history p ON i.product_id = p.product_id AND o.order_date >= p.start_date AND o.order_date < p.end_date
 LEFT JOIN staff_history s ON o.staff_id = s.staff_id AND o.order_date >= s.start_date AND o.order_date < s.end_date"""
 VIEWS["sales_facts"] = _SALES.format(r=1, customers="customer_history")
+VIEWS["hot_items"] = """SELECT * REPLACE (CASE order_id % 3 WHEN 0 THEN 1 WHEN 1 THEN NULL ELSE product_id END AS product_id)
+FROM v_items_1"""
+VIEWS["sales_facts_hot"] = VIEWS["sales_facts"].replace("v_items_1 i", "hot_items i")
 VIEWS["sales_facts_two_runs"] = _SALES.format(r=2, customers="customer_history_delta")
 
 _STOCKS = """
@@ -292,6 +295,7 @@ ANSWERS["fact_sales"] = f"""SELECT order_id, CAST(sk_customer_id AS DOUBLE) AS s
        CAST(sk_staff_id AS DOUBLE) AS sk_staff_id, CAST(order_date AS VARCHAR) AS order_date,
        CAST(sk_product_id AS DOUBLE) AS sk_product_id, {_MONEY}, CAST(discount AS DOUBLE) AS discount, CAST(total AS DOUBLE) AS total, year, quarter, month, day
 FROM sales_facts"""
+ANSWERS["fact_sales_hot_keys"] = ANSWERS["fact_sales"].replace("FROM sales_facts", "FROM sales_facts_hot")
 ANSWERS["fact_stocks"] = f"""SELECT store_id, CAST(sk_product_id AS DOUBLE) AS sk_product_id, store_name, {_MONEY}, CAST(value_stocked AS DOUBLE) AS value_stocked,
        {_time('snapshot_time')} AS snapshot_time, year, month, day FROM stock_facts"""
 _TOTAL = "CAST(ceiling(SUM(i.total)) AS BIGINT) AS total"

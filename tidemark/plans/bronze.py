@@ -13,10 +13,11 @@ from tidemark.lake import Lake
 from tidemark.plans.together import together
 from tidemark.registry import TABLES, Table
 from tidemark.sinks import append_table, create_database
-from tidemark.sources import extract, layer_mark
+from tidemark.sources import extract, latest_of, layer_mark, record_mark, recorded_mark
 
 STAMP = "raw_extraction_time"
 DAY = "extraction_day"
+_WHOLE_LOAD = "tidemark.whole_load"
 
 
 def load_table(
@@ -27,15 +28,26 @@ def load_table(
     False if there was nothing to append. Runs are kept apart in one folder per day, so
     later layers read only the days they have not seen. An ``as_of`` before the last
     load is refused: later layers would take its rows for old ones.
+
+    The instant of the last whole load is recorded even if it brought no rows: what it
+    and the loads after it lack is gone from the source.
     """
     name, path = lake.table("bronze", table.name), lake.path("bronze", table.name)
-    mark = layer_mark(spark, name, STAMP, DAY)
+    mark = latest_of(layer_mark(spark, name, STAMP, DAY), whole_load_mark(spark, name))
     if mark is not None and datetime.fromisoformat(str(as_of)) < mark:
         raise ValueError(f"{name} was loaded as of {mark}, after {as_of}")
     whole = table.snapshot if snapshot is None else snapshot
     since = None if whole else mark
     rows = extract(spark, source, table, as_of, since).withColumn(DAY, F.col(STAMP).cast("date"))
-    return append_table(rows, name, path, [DAY])
+    appended = append_table(rows, name, path, [DAY])
+    if since is None and spark.catalog.tableExists(name):
+        record_mark(spark, name, _WHOLE_LOAD, datetime.fromisoformat(str(as_of)))
+    return appended
+
+
+def whole_load_mark(spark: SparkSession, table: str) -> datetime | None:
+    """When a bronze table was last loaded whole."""
+    return recorded_mark(spark, table, _WHOLE_LOAD)
 
 
 def load_all(

@@ -229,7 +229,8 @@ def _changed_snapshots(silver: Silver, mark: datetime) -> DataFrame:
     seen = silver["stores"].groupBy(F.col("store_id").alias("_store_id")).agg(
         F.max(SILVER_STAMP).alias("last"),
         F.min(SILVER_STAMP).alias("first"),
-        (F.min("store_name").eqNullSafe(F.max("store_name"))).alias("one_name"),
+        # structs, as a minimum of plain names would pass over NULL
+        (F.min(F.struct("store_name")) == F.max(F.struct("store_name"))).alias("one_name"),
     )
     renamed = seen.where((F.col("last") > instant(mark)) & (~F.col("one_name") | (F.col("first") > instant(mark))))
     renamed = stored(renamed.select("_store_id"), "renamed")

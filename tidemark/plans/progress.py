@@ -12,7 +12,7 @@ from tidemark.lake import Lake
 from tidemark.operators import latest_per_key
 from tidemark.plans.bronze import DAY
 from tidemark.plans.silver import STAMP as SILVER_STAMP
-from tidemark.sources import high_water_mark, layer_mark
+from tidemark.sources import high_water_mark, latest_of, layer_mark, record_mark, recorded_mark
 
 _PROPERTY = "tidemark.mark"
 
@@ -35,7 +35,7 @@ class Silver:
         for name in histories:
             latest = F.greatest(F.col(SILVER_STAMP), F.col("extraction_closed"))
             marks.append(high_water_mark(self[name].select(latest.alias("stamp")), "stamp"))
-        return max((m for m in marks if m is not None), default=None)
+        return latest_of(*marks)
 
 
 def newest_log_rows(log: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -46,14 +46,11 @@ def newest_log_rows(log: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def mark_of(spark: SparkSession, table: str) -> datetime | None:
     """How far silver had come when the table was last brought up to date."""
-    if not spark.catalog.tableExists(table):
-        return None
-    row = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _PROPERTY).first()
-    return datetime.fromisoformat(row["value"]) if row else None
+    return recorded_mark(spark, table, _PROPERTY)
 
 
 def set_mark(spark: SparkSession, table: str, mark: datetime) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PROPERTY}' = '{mark.isoformat()}')")
+    record_mark(spark, table, _PROPERTY, mark)
 
 
 def is_current(spark: SparkSession, table: str, reached: datetime | None) -> bool:

@@ -20,14 +20,15 @@ from tidemark.operators import (
     stored,
 )
 from tidemark.operators.skew import Shares
-from tidemark.plans.bronze import DAY
+from tidemark.plans.bronze import DAY, whole_load_mark
 from tidemark.plans.bronze import STAMP as RAW_STAMP
 from tidemark.plans.together import together
 from tidemark.registry import TABLES
 from tidemark.sinks import append_table, replace_table
-from tidemark.sources import layer_mark
+from tidemark.sources import latest_of, layer_mark, record_mark, recorded_mark
 
 STAMP = "extraction_bronze"
+_SEEN = "tidemark.seen"
 _AUDIT = ("created_at", "updated_at")
 
 
@@ -112,39 +113,53 @@ def refine_stocks(stocks: DataFrame) -> DataFrame:
 
 
 class _Bronze:
-    """The bronze tables as a run at ``as_of`` sees them."""
+    """The bronze tables as a run at ``as_of`` sees them.
+
+    The present state of a table is the newest row per key from its last whole load on;
+    keys that only older rows have are gone from the source.
+    """
 
     def __init__(self, spark: SparkSession, lake: Lake, as_of: str | datetime):
         self.spark, self.lake, self.as_of = spark, lake, as_of
 
-    def batch(
-        self, name: str, mark_column: str = RAW_STAMP, by_day: bool = False, last_load: bool = False
-    ) -> DataFrame | None:
-        """Rows the silver table has not seen, newest per key; None if there are none.
+    def log_batch(self, name: str, mark_column: str = RAW_STAMP) -> DataFrame | None:
+        """Rows the silver log has not seen, newest per key; None if there are none."""
+        return self._newest(name, layer_mark(self.spark, self.lake.table("silver", name), mark_column, DAY))
 
-        ``last_load`` keeps to the newest extraction: what it lacks is gone.
+    def changes(self, name: str) -> DataFrame | None:
+        """Rows the silver history has not seen, newest per key; None if there are none.
+
+        Rows from before the last whole load do not count.
         """
-        mark = layer_mark(self.spark, self.lake.table("silver", name), mark_column, DAY if by_day else None)
-        return self._newest(name, mark, last_load)
+        seen = recorded_mark(self.spark, self.lake.table("silver", name), _SEEN)
+        return self._newest(name, seen, whole_load_mark(self.spark, self.lake.table("bronze", name)))
 
-    def whole(self, name: str, last_load: bool = False) -> DataFrame | None:
-        """The present state of the table."""
-        return self._newest(name, None, last_load)
+    def reached(self, name: str) -> datetime | None:
+        """The newest load of the table, with or without rows."""
+        raw = self.lake.table("bronze", name)
+        return latest_of(layer_mark(self.spark, raw, RAW_STAMP, DAY), whole_load_mark(self.spark, raw))
+
+    def whole(self, name: str, if_empty: bool = False) -> DataFrame | None:
+        """The present state of the table; None if it has no rows, unless ``if_empty``."""
+        return self._newest(name, None, whole_load_mark(self.spark, self.lake.table("bronze", name)), if_empty)
 
     def lookup(self, name: str) -> DataFrame:
         """:meth:`whole`, or no rows."""
         rows = self.whole(name)
         return rows if rows is not None else self.spark.createDataFrame([], TABLES[name].schema)
 
-    def _newest(self, name: str, mark: datetime | None, last_load: bool = False) -> DataFrame | None:
+    def _newest(
+        self, name: str, mark: datetime | None, first: datetime | None = None, if_empty: bool = False
+    ) -> DataFrame | None:
+        """The newest rows per key past ``mark`` and not before ``first``."""
         raw = self.lake.table("bronze", name)
         if not self.spark.catalog.tableExists(raw):
             return None
         rows = past_mark(self.spark.table(raw), RAW_STAMP, mark, DAY)
-        if last_load:
-            rows = rows.where(F.col(RAW_STAMP) == instant(layer_mark(self.spark, raw, RAW_STAMP, DAY)))
+        if first is not None:
+            rows = rows.where((F.col(RAW_STAMP) >= instant(first)) & (F.col(DAY) >= instant(first).cast("date")))
         rows = rows.drop(DAY)
-        if rows.isEmpty():
+        if not if_empty and rows.isEmpty():
             return None
         table = TABLES[name]
         # Every snapshot of a snapshot table counts, not just the last one.
@@ -178,31 +193,47 @@ def refine_all(
     kinds = {name: "delta" for name in ("customers", "products", "staffs")} | dict(batch_kinds or {})
     bronze = _Bronze(spark, lake, as_of)
 
-    def customers() -> None:
-        batch = bronze.batch("customers", last_load=kinds["customers"] == "snapshot")
+    def history(name: str, save: Callable[[DataFrame], None], every_row: bool = False) -> None:
+        table = lake.table("silver", name)
+        reached = bronze.reached(name)
+        # A snapshot without rows closes all keys, if there are any.
+        closing = kinds[name] == "snapshot" and spark.catalog.tableExists(table)
+        whole = every_row or kinds[name] == "snapshot"
+        batch = bronze.whole(name, if_empty=closing) if whole else bronze.changes(name)
         if batch is not None:
+            save(batch)
+        # Batches without news move the mark too: their rows are never read again.
+        if spark.catalog.tableExists(table) and recorded_mark(spark, table, _SEEN) != reached:
+            record_mark(spark, table, _SEEN, reached)
+
+    def customers() -> None:
+        def save(batch: DataFrame) -> None:
             _save_history(spark, lake, "customers", clean_customers(batch), as_of, kinds["customers"])
 
+        history("customers", save)
+
     def products() -> None:
-        batch = bronze.batch("products", last_load=kinds["products"] == "snapshot")
-        if batch is not None:
+        def save(batch: DataFrame) -> None:
             batch = stored(batch, "products")
             hot = frequent_values(batch, ["brand_id", "category_id"])
             named = denormalise_products(batch, bronze.lookup("brands"), bronze.lookup("categories"), hot)
             _save_history(spark, lake, "products", named, as_of, kinds["products"])
 
+        history("products", save)
+
     def staffs() -> None:
-        # A renamed store or manager versions staffs that did not change themselves, so
-        # the batch is every staff; unchanged ones fall out in the merge.
-        batch = bronze.whole("staffs", kinds["staffs"] == "snapshot")
-        if batch is not None:
+        def save(batch: DataFrame) -> None:
             batch = stored(batch, "staffs")
             hot = frequent_values(batch, ["manager_id", "store_id"])
             named = denormalise_staffs(batch, bronze.lookup("stores"), hot)
             _save_history(spark, lake, "staffs", named, as_of, kinds["staffs"])
 
+        # A renamed store or manager versions staffs that did not change themselves, so
+        # the batch is every present staff; unchanged ones fall out in the merge.
+        history("staffs", save, every_row=True)
+
     def log(name: str, refine: Callable[[DataFrame], DataFrame], mark_column: str = RAW_STAMP) -> None:
-        batch = bronze.batch(name, mark_column, by_day=True)
+        batch = bronze.log_batch(name, mark_column)
         if batch is not None:
             rows = refine(batch).withColumn(DAY, F.col(STAMP).cast("date"))
             append_table(rows, lake.table("silver", name), lake.path("silver", name), [DAY], known_rows=True)
