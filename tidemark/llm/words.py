@@ -67,10 +67,11 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    offsets: np.ndarray | None = None  # where the texts begin in ``data``, and the last ends
 
     @classmethod
-    def of(cls, texts: pa.Array, lower: bool = False) -> Words:
-        """From :func:`texts_of`; ``lower`` lower-cases A-Z."""
+    def of(cls, texts: pa.Array, lower: bool = False, apart: np.ndarray = _SPACE) -> Words:
+        """From :func:`texts_of`; ``lower`` lower-cases A-Z, ``apart`` tells the bytes between words."""
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         data = np.zeros(int(offsets[-1] - offsets[0]) + 8, np.uint8)
@@ -79,7 +80,7 @@ class Words:
         offsets = offsets - offsets[0]
         if lower:
             data = _LOWER[data]
-        inside = ~_SPACE[data[:-8]]
+        inside = ~apart[data[:-8]]
         begins, stops = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         stops[:-1] &= ~inside[1:]
@@ -88,7 +89,7 @@ class Words:
         edges = offsets[1:][offsets[:-1] < offsets[1:]] - 1
         stops[edges] = inside[edges]
         starts = np.flatnonzero(begins)
-        return cls(data, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets))
+        return cls(data, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets), offsets)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
