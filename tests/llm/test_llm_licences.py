@@ -1,6 +1,14 @@
-"""Licences expected per wording."""
+"""Licence wordings, wrapped and inline notices, and windows against brute force."""
 
-from tidemark.llm.license_scan import scan_licenses, templates
+import random
+import textwrap
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+
+from tidemark.llm.license_scan import Templates, _matches, scan_licenses, templates
+from tidemark.llm.words import texts_of
 
 WORDINGS = {
     "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
@@ -14,11 +22,77 @@ WORDINGS = {
     "This project is licensed under the MIT License.": "MIT",
     "This software is licensed under the Apache License, Version 2.0": "Apache-2.0",
 }
+HEADERS = {
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+    "with the License.": "Apache-2.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction": "MIT",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:": "BSD-3-Clause",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+    "later version.": "GPL-2.0",
+}
+
+
+def prose(rng, n):
+    return " ".join(f"word{rng.randrange(500)}" for _ in range(n))
 
 
-def test_wordings(spark):
-    docs = [(i, f"some words\n{text}\nmore words") for i, text in enumerate(WORDINGS)]
+def test_wordings_wrapped_and_inline(spark):
+    rng, docs, wanted = random.Random(7), [], []
+    for text, name in {**WORDINGS, **HEADERS}.items():
+        wrapped = "\n".join(" * " + x for x in textwrap.wrap(text, 30))
+        for shape in (f"{prose(rng, 90)}\n{text}\n{prose(rng, 80)}", f"{prose(rng, 90)}\n{wrapped}\n{prose(rng, 80)}",
+                      f"{prose(rng, 90)} {text} {prose(rng, 80)}"):
+            docs.append((len(docs), shape))
+            wanted.append(name)
+    clean = len(docs)
+    docs += [(clean + i, f"{prose(rng, 150)} this work is licensed under the other thing {prose(rng, 9)}") for i in range(5)]
     best = {}
     for r in scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), templates(spark)).collect():
         best[r.doc_id] = max(best.get(r.doc_id, (0.0, "")), (r.dice, r.license))
-    assert best == {i: (1.0, name) for i, name in enumerate(WORDINGS.values())}
+        assert r.unit in (0, 2, -1, -2)
+    assert {i: name for i, (_, name) in best.items()} == dict(enumerate(wanted))
+    assert all(dice == 1.0 for dice, _ in best.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_units_and_windows_by_brute_force(seed):
+    rng, least = random.Random(seed), 0.8
+
+    def bag(words):
+        return Counter(zip(words, words[1:])) if len(words) > 1 else Counter([tuple(words)] if words else [])
+
+    def dice(a, b):
+        return 2.0 * sum((a & b).values()) / max(sum(a.values()) + sum(b.values()), 1)
+
+    held = [(f"L{i}", [rng.choice("abcdef") for _ in range(rng.choice([1, 2, 3, 6, 12, 25]))]) for i in range(12)]
+    texts = []
+    for _ in range(60):
+        words = [rng.choice("abcdefgh") for _ in range(rng.randrange(40))]
+        for _ in range(rng.randrange(3)):
+            copy = list(rng.choice(held)[1])
+            for _ in range(rng.randrange(1 + len(copy) // 6)):
+                copy.insert(rng.randrange(len(copy)), "z")
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = copy
+        texts.append("".join(w + rng.choice([" ", " ", ", ", "\n"]) for w in words))
+    wanted = {}
+    for i, text in enumerate(texts):
+        words = text.replace(",", " ").split()
+        lines = text.split("\n")
+        units = [text, *lines] if len(lines) > 1 else [text]
+        for name, template in held:
+            for u in units:
+                score = dice(bag(u.replace(",", " ").split()), bag(template))
+                wanted[i, name] = max(wanted.get((i, name), 0.0), score)
+            size = len(template) - 1
+            for s in range(size, int(size * 1.5 + 1e-9) + 1) if size else ():
+                for a in range(len(words) - s):
+                    wanted[i, name] = max(wanted[i, name], dice(bag(words[a : a + s + 1]), bag(template)))
+    got = {}
+    blocks = [Templates([n for n, _ in half], [" ".join(t) for _, t in half], least) for half in (held[:5], held[5:])]
+    for i, name, _, score in _matches(texts_of(pa.array(texts)), blocks):
+        got[i, name] = max(got.get((i, name), 0.0), score)
+    assert got == {k: v for k, v in wanted.items() if v >= least} and got

@@ -1,11 +1,12 @@
-"""Licence scans: texts and their lines against licence templates, by Dice coefficient.
+"""Licence scans: texts, their lines and windows of them against licence templates, by Dice.
 
 Text is normalised to lower-case words of letters and digits. Of two bags of word bigrams,
 the Dice coefficient is twice the common ones over the sum of both sizes; at a threshold t
 only sizes between t / (2 - t) and (2 - t) / t of each other can reach it.
 
 A match holds so many bigrams of its template that one of the template's rarest is among
-them. Templates whose rare bigrams a batch lacks aren't compared, which loses no match.
+them. Templates whose rare bigrams a batch lacks aren't compared; of the others only the
+places are that hold enough of their bigrams close together. Neither loses a match.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from math import ceil
+from math import ceil, floor
 from pathlib import Path
 
 import numpy as np
@@ -234,6 +235,47 @@ class Templates:
         match = np.flatnonzero(fits & (dice >= self.least))
         return zip(match, dice[match])
 
+    def window_scores(self, t: int, at: np.ndarray, pair: np.ndarray, text: np.ndarray):
+        """Per text ``(text, dice, word)`` of the best window that is no shorter than the
+        template, with the first word of the template's bigrams in it."""
+        size, counts, least = int(self.sizes[t]), self.counts[t].astype(np.int64), self.least
+        need, most = ceil(least * size - 1e-9), floor(size * (2 - least) / least + 1e-9)
+        n = len(at)
+        if n < need:
+            return
+        close = (at[need - 1 :] - at[: n - need + 1] < most) & (text[need - 1 :] == text[: n - need + 1])
+        starts = np.flatnonzero(close)
+        if not len(starts):
+            return
+        # a bigram counts in a window unless as many equal ones as the template has stand before it there
+        order = np.argsort(pair, kind="stable")
+        back = np.arange(n) - counts[pair[order]]
+        held = (back >= 0) & (pair[order][np.maximum(back, 0)] == pair[order])
+        full = np.empty(n, np.int64)
+        full[order] = np.where(held, order[np.maximum(back, 0)], -1)
+        nth, best, word, doc = 0, 0.0, 0, text[starts[0]]
+        while nth < len(starts):
+            first = starts[nth]
+            if text[first] != doc:
+                if best >= least:
+                    yield doc, best, word
+                best, doc = 0.0, text[first]
+            stop = np.searchsorted(at, at[first] + 2 * most)
+            stop = min(stop, np.searchsorted(text, doc, "right"))
+            both = np.cumsum(full[first:stop] < first)
+            dice = 2.0 * both / (size + np.maximum(at[first:stop] - at[first] + 1, size))
+            top = float(dice.max())
+            if top > best:
+                best, word = top, int(at[first])
+            if best >= 1.0:
+                nth = np.searchsorted(text[starts], doc, "right")
+                continue
+            # d words on, no window is better than this one's score times 1 + d / (2 size)
+            step = min((max(best, least) / top - 1) * 2 * size - 1e-6, most)
+            nth = max(nth + 1, int(np.searchsorted(at[starts], at[first] + step)))
+        if best >= least:
+            yield doc, best, word
+
 
 def _scan(batches: Iterator[pa.RecordBatch], blocks: list[Templates]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -255,7 +297,7 @@ def _scan(batches: Iterator[pa.RecordBatch], blocks: list[Templates]) -> Iterato
 
 
 def _matches(texts: pa.Array, blocks: list[Templates]) -> Iterator[tuple[int, str, int, float]]:
-    """``(text, license, unit, dice)`` of all matches."""
+    """``(text, license, unit, dice)`` of all matches of units, and of the best windows."""
     words = plain_words(texts)
     if not len(words.starts):
         return
@@ -292,19 +334,27 @@ def _matches(texts: pa.Array, blocks: list[Templates]) -> Iterator[tuple[int, st
             for begin, end, called in units:
                 for u, dice in held.unit_scores(t, here, what, begin, end):
                     yield int(text[begin[u]]), held.names[t], int(called[u]), float(dice)
+            roomy = words.counts()[text[here]] > held.sizes[t]
+            here, what = here[roomy], what[roomy]
+            for i, dice, word in held.window_scores(t, here, what, text[here]):
+                yield int(i), held.names[t], -int(number[word]), dice
 
 
 def scan_licenses(docs: DataFrame, templates: DataFrame, least: float = 0.8, block: int = BLOCK) -> DataFrame:
     """``(doc_id, license, unit, dice)``: per document and licence, the best unit's score.
 
     ``docs`` needs ``doc_id`` and ``text``, ``templates`` ``license`` and ``template``. The
-    units of a document are its lines, numbered from 1, and the whole text, 0; of equal
-    scores the least number is told. Bigrams are counted as often as they stand. Only scores
-    of ``least`` or more are matches. Notices that differ in few words, such as versions of
-    one licence, match together; the best score tells which one it is.
+    units of a document are its lines, numbered from 1, the whole text, 0, and all windows
+    of words of it, whatever its line breaks, from the template's size up to the most that
+    can reach ``least``. A window is told by minus the number of the line in which the
+    notice begins. Of equal scores lines and whole texts go before windows, then the least
+    number is told. Bigrams are counted as often as they stand. Only scores of ``least`` or
+    more are matches. Notices that differ in few words, such as versions of one licence,
+    match together; the best score tells which one it is.
 
-    Null and empty texts match nothing, and so do templates without words. Rows
-    with a null or repeated doc_id are told together, with the best of their scores.
+    Null and empty texts match nothing, and so do templates without words; templates of
+    one word have no windows. Rows with a null or repeated doc_id are told together, with
+    the best of their scores.
     """
     rows = templates.where("license IS NOT NULL AND template IS NOT NULL").select("license", "template")
     held = sorted(tuple(r) for r in rows.distinct().collect())
@@ -315,7 +365,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, least: float = 0.8, blo
         .select("doc_id", "text")
         .mapInArrow(partial(_scan, blocks=blocks), f"doc_id {kind}, license string, unit long, dice double")
     )
-    best = F.max(F.struct("dice", (-F.col("unit")).alias("turn"))).alias("best")
+    best = F.max(F.struct("dice", F.col("unit") >= 0, -F.abs("unit"), "unit")).alias("best")
     return scores.groupBy("doc_id", "license").agg(best).select(
-        "doc_id", "license", (-F.col("best.turn")).alias("unit"), F.col("best.dice").alias("dice")
+        "doc_id", "license", F.col("best.unit").alias("unit"), F.col("best.dice").alias("dice")
     )
