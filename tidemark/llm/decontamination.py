@@ -6,6 +6,12 @@ frequencies of its words is small, so it is not met by chance, however often a l
 itself is copied. Around the seeds that a document holds, its words are aligned with the
 item's; the score is the best local alignment over the score of the item with itself.
 
+Edits spread evenly can break every rare seed. Yet an alignment that lacks a share x of the
+item's own score lacks at most 4 x / 3 n of its n - 1 pairs of neighbours: a word lost in it
+costs 3 and breaks two pairs, one lost at an end costs 2 and breaks one, and so do two words
+put between a pair. The other pairs stand in the passage with one word between them at most.
+So places where an item has that many pairs close together, rare or not, are aligned too.
+
 The items go to the tasks in blocks of a bounded number of words, each of which is held
 against all documents.
 """
@@ -20,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import U64, Words, signed, slices, texts_of
+from tidemark.llm.words import U64, Words, mix, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of the shortest and longest seed; shorter items are one seed.
-SEED_WORDS = (3, 8)
+SEED_WORDS = (2, 8)
 #: A seed's chance to start at a word of the corpus, if words were independent.
 RARE = 1e-8
+#: Pairs of a higher chance aren't counted, as far as an item can do without.
+COMMON = 1e-4
 #: Words of the items that a pass over the documents looks for.
 BLOCK_WORDS = 1 << 20
 
@@ -82,6 +90,11 @@ def _count_words(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Itera
     )
 
 
+def word_pairs(hashes: np.ndarray, apart: int) -> np.ndarray:
+    """A hash of each word and the one ``apart`` words on."""
+    return mix(hashes[:-apart] * U64(0x5851F42D4C957F2D) + hashes[apart:])
+
+
 class Items:
     """A block of benchmark items: their words and their seeds."""
 
@@ -93,8 +106,9 @@ class Items:
     def words_of(self, item: int) -> np.ndarray:
         return self.hashes[self.first[item] : self.first[item + 1]]
 
-    def choose_seeds(self, frequency: dict[int, float], rare: float) -> None:
-        """``seeds``: by number of words, the n-grams and the words of the block they start at."""
+    def choose_seeds(self, frequency: dict[int, float], rare: float, least: float) -> None:
+        """``seeds``: by number of words, the n-grams and the words of the block they start at;
+        ``pairs``: the pairs to count, and their items."""
         chance = np.log(np.array([max(frequency.get(int(h), 0.0), 1e-12) for h in signed(self.hashes)] or [1.0]))
         sums = np.concatenate([[0.0], np.cumsum(chance)])
         shortest, longest = SEED_WORDS
@@ -120,8 +134,55 @@ class Items:
                 grams = self.words.runs(self.hashes, n)[starts]
                 order = np.argsort(grams, kind="stable")
                 self.seeds[n] = (Lookup(grams), grams[order], starts[order])
+        self._choose_pairs(chance, least)
         self.words = None  # only hashes go to the tasks
 
+    def _choose_pairs(self, chance: np.ndarray, least: float) -> None:
+        lengths = np.diff(self.first)
+        #: Pairs that a passage of the item has at least, and words it has at most.
+        self.need = lengths - 1 - np.floor(4 * lengths * (1 - least) / 3 + 1e-9).astype(np.int64)
+        self.span = np.floor(lengths * (3 - 2 * least) + 1e-9).astype(np.int64)
+        values, owners = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for item in np.flatnonzero(self.need > 0):
+            begin, end = self.first[item], self.first[item + 1]
+            pairs = word_pairs(self.hashes[begin:end], 1)
+            both = chance[begin : end - 1] + chance[begin + 1 : end]
+            common = np.argsort(-both, kind="stable")[: (self.need[item] - 1) // 2]
+            common = common[both[common] > np.log(COMMON)]
+            self.need[item] -= len(common)
+            pairs = np.unique(np.delete(pairs, common))
+            values.append(pairs)
+            owners.append(np.full(len(pairs), item))
+        values, owners = np.concatenate(values), np.concatenate(owners)
+        order = np.argsort(values, kind="stable")
+        self.pairs = (Lookup(values), values[order], owners[order])
+
+    def crowded(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Text, item, begin and end of the places that hold as many pairs of an item as needed."""
+        lookup, values, owners = self.pairs
+        found = [np.zeros((2, 0), np.int64)]
+        for apart in (1, 2):
+            if len(hashes) <= apart or not len(values):
+                continue
+            at, number = lookup.find(word_pairs(hashes, apart))
+            whole = words.full_runs(apart + 1)[at]
+            at, pair = at[whole], lookup.numbers[number[whole]]
+            low = np.searchsorted(values, pair, "left")
+            times = np.searchsorted(values, pair, "right") - low
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            found.append(np.stack([owners[np.repeat(low, times) + nth], np.repeat(at, times)]))
+        item, at = np.concatenate(found, axis=1)
+        key = np.unique(item * (len(hashes) + 1) + at)
+        item, at = np.divmod(key, len(hashes) + 1)
+        text = np.searchsorted(words.first, at, "right") - 1
+        last = np.arange(len(at)) + self.need[item] - 1
+        inside = last < len(at)
+        last = np.minimum(last, max(len(at) - 1, 0))
+        close = inside & (item[last] == item) & (text[last] == text) & (at[last] - at < self.span[item])
+        text, item, at, last = text[close], item[close], at[close], at[last[close]]
+        begin = np.maximum(last - self.span[item] + 1, words.first[text])
+        return text, item, begin, np.minimum(at + self.span[item], words.first[text + 1])
+
     def hits(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all seeds found: the item, the word of the texts, and the item's word there."""
         found = [(np.zeros(0, np.int64),) * 3]
@@ -163,6 +224,12 @@ def _regions(items: Items, words: Words, hits: tuple[np.ndarray, ...]) -> Iterat
     text = np.searchsorted(words.first, at, "right") - 1
     begin = np.maximum(at - offset - lengths // 2, words.first[text])
     end = np.minimum(at - offset + lengths + lengths // 2, words.first[text + 1])
+    return _joined(text, item, begin, end)
+
+
+def _joined(
+    text: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray
+) -> Iterator[tuple[int, int, int, int]]:
     order = np.lexsort((begin, item, text))
     held = None
     for here in zip(*(x[order].tolist() for x in (text, item, begin, end))):
@@ -176,6 +243,23 @@ def _regions(items: Items, words: Words, hits: tuple[np.ndarray, ...]) -> Iterat
         yield held
 
 
+def _passage(items: Items, item: int, passage: np.ndarray, least: float) -> tuple[float, int, int] | None:
+    """Score, begin and end of the best alignment of an item, if it is good enough."""
+    whole = items.words_of(item)
+    if MATCH * np.isin(passage, whole).sum() < least * MATCH * len(whole):
+        return None
+    score, stop = local_alignment(whole, passage)
+    if score < least * MATCH * len(whole):
+        return None
+    # the same alignment read backwards ends where this one starts
+    back = local_alignment(whole[::-1], passage[:stop][::-1])[1]
+    return score / (MATCH * len(whole)), stop - back, stop
+
+
+def _placed(row: tuple[float, int, int], begin: int) -> tuple[float, int, int]:
+    return row[0], begin + row[1], begin + row[2]
+
+
 def _align(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
@@ -183,15 +267,20 @@ def _align(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Ite
         for first, last in slices(texts):
             words = bare_words(texts[first:last])
             hashes = words.hashes()
+            told: dict[tuple[int, int], list[tuple[int, int]]] = {}
             for text, item, begin, end in _regions(items, words, items.hits(words, hashes)):
-                whole, passage = items.words_of(item), hashes[begin:end]
-                score, stop = local_alignment(whole, passage)
-                if score >= least * MATCH * len(whole):
-                    # the same alignment read backwards ends where this one starts
-                    back = local_alignment(whole[::-1], passage[:stop][::-1])[1]
-                    start = begin + stop - back - words.first[text]
-                    stop = begin + stop - words.first[text]
-                    rows.append((first + text, items.ids[item], score / (MATCH * len(whole)), start, stop))
+                if row := _passage(items, item, hashes[begin:end], least):
+                    told.setdefault((text, item), []).append((begin, end))
+                    rows.append((first + text, items.ids[item], *_placed(row, begin - words.first[text])))
+            for text, item, begin, end in _joined(*items.crowded(words, hashes)):
+                passage = hashes[begin:end]
+                # what a seed has told isn't told again
+                for start, stop in told.get((text, item), ()):
+                    if passage.base is not None:
+                        passage = passage.copy()
+                    passage[max(start - begin, 0) : max(stop - begin, 0)] = 0
+                if row := _passage(items, item, passage, least):
+                    rows.append((first + text, items.ids[item], *_placed(row, begin - words.first[text])))
         if rows:
             at, item_id, score, start, stop = zip(*rows)
             yield pa.RecordBatch.from_arrays(
@@ -218,7 +307,8 @@ def benchmark_passages(
 
     Null and empty texts, and items without words, match nothing. Null and repeated ids
     are carried as they are: each row of ``docs`` and of ``benchmark`` stands for itself.
-    A passage whose edits leave no rare n-gram of 3 words whole isn't found.
+    Items of so few words that a passage may have none of their pairs (3 at ``least`` 0.5) are
+    found only by a rare n-gram of 2 words, or by all their words.
     """
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
@@ -238,7 +328,7 @@ def benchmark_passages(
             .groupBy("word").agg(F.sum("n")).collect()
         )
         total = max(counts.pop(0, 0), 1)
-        held.choose_seeds({word: n / total for word, n in counts.items()}, rare)
+        held.choose_seeds({word: n / total for word, n in counts.items()}, rare, least)
         here = texts.mapInArrow(partial(_align, items=held, least=least), schema)
         if blocks > 1:
             here = stored(here, "passages")
