@@ -3,7 +3,8 @@
 Pieces arrive in the order of a hash. A packer keeps a fixed number of open bins in
 stacks by free space, and one integer whose bits tell which stacks hold a bin, so the
 tightest bin that still fits is one shift and one bit trick away. A piece that fits
-nowhere opens a bin; if that is one too many, the fullest open bin closes first.
+nowhere opens a bin; if that is one too many, the fullest open bin closes first. A full
+piece closes none, as its own bin never stays open.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ class BestFit:
             free = length + (fits & -fits).bit_length() - 1
             bin_ = self._take(free)
         else:
-            if self.open == self.open_bins:
+            if self.open == self.open_bins and length < self.size:
                 self._take((self.bits & -self.bits).bit_length() - 1)
             bin_, free = self.opened, self.size
             self.opened += 1
