@@ -59,3 +59,22 @@ least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id,
        d.doc_id = coalesce(l.component, d.doc_id) AS kept
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = d.doc_id"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ANSWERS["op13_lexical_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+totals AS (SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM docs),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs) GROUP BY ALL),
+items AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS t FROM benchmark),
+asked AS (SELECT DISTINCT i, item_id, unnest(t) AS term FROM items),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals WHERE term IN (SELECT term FROM asked) GROUP BY term),
+factors AS (SELECT r, doc_id, 10 + (90 * len(t) * docs) // terms AS m FROM docs, totals WHERE len(t) > 0),
+scores AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN factors USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS INT) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10"""

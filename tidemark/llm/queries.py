@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.chat_format import format_chats
 from tidemark.llm.decontamination import benchmark_passages
+from tidemark.llm.lexical_search import ranked_search
 from tidemark.llm.license_scan import scan_licenses, templates
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
@@ -90,3 +91,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
