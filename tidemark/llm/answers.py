@@ -78,3 +78,28 @@ scores AS (
   FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN factors USING (r) GROUP BY ALL)
 SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS INT) AS rank, doc_id, score
 FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
+ANSWERS["op12_phrase_collocations"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS s FROM documents),
+worded AS (SELECT lang, regexp_extract_all(s, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM worded, range(1, 5) AS sizes(size))),
+counted AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, size, phrase, f AS a FROM counted WHERE size >= 2),
+kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates x WHERE x.lang = c.lang AND x.size > c.size
+    AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * x.a >= 80 * c.a)),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM kept)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts JOIN counted x ON x.lang = cuts.lang AND x.phrase = first
+  JOIN counted y ON y.lang = cuts.lang AND y.phrase = rest),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
