@@ -38,27 +38,36 @@ fitting AS (
 best AS (SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fitting GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)"""
 
-ANSWERS["op3_minhash_near_dedup"] = f"""
+
+
+def _linked(k: int, percent: int) -> str:
+    """Documents with the least doc_id that they reach by similar sets of ``k``-word shingles."""
+    return f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[p:p+3], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM words WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + {k - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {k - 2}, 2))) AS p FROM words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b
   ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (
   SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+  WHERE 100 * c >= {percent} * (x.n + y.n - c)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(node, seen) AS (
   SELECT a, a FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.seen),
-least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
-SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id,
-       d.doc_id = coalesce(l.component, d.doc_id) AS kept
-FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = d.doc_id"""
+least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node),
+found AS (
+  SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id
+  FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = d.doc_id)"""
+
+
+ANSWERS["op3_minhash_near_dedup"] = _linked(4, 80) + " SELECT *, doc_id = component_id AS kept FROM found"
+
+ANSWERS["op11_jaccard_join"] = _linked(3, 90) + " SELECT * FROM found"
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.chat_format import format_chats
 from tidemark.llm.collocations import collocations
 from tidemark.llm.decontamination import benchmark_passages
+from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.lexical_search import ranked_search
 from tidemark.llm.license_scan import scan_licenses, templates
 from tidemark.llm.near_dedup import near_duplicates
@@ -94,6 +95,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 @query
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
