@@ -38,7 +38,7 @@ def test_answer(spark, name):
 
 
 def test_registered():
-    assert len(QUERIES) == 10 and "pipeline" in contract.queries()
+    assert len(QUERIES) == 13 and "pipeline" in contract.queries()
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality_rules"
 
 

@@ -25,15 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bits import bit_table, held
 from tidemark.llm.words import U64, Words, mix, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
 #: Words of the longest phrase.
 LONGEST = 4
-#: Bits of a table of phrases that may be frequent, as a power of two: 4 MB.
-TABLE_BITS = 25
 #: Bytes of text whose stripes a task merges before it sends them.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 _APART = np.zeros(256, bool)
 _APART[[0x20, 0x09, *range(0x0A, 0x0E), *b".,;:!?"]] = True
@@ -52,8 +51,8 @@ class Phrases:
         self.lang = np.asarray(known.indices)[self.words.text_of_words()]
         salts = [xxhash.xxh3_64_intdigest(x.as_py().encode()) for x in self.langs]
         self.salt = np.array(salts, U64)[self.lang] if len(salts) else np.zeros(0, U64)
-        ends = np.concatenate([[0], np.cumsum(_ENDS[self.words.data])])
-        piece = ends[self.words.starts] + self.words.text_of_words()
+        ends = np.flatnonzero(_ENDS[self.words.data])
+        piece = np.searchsorted(ends, self.words.starts) + self.words.text_of_words()
         self.linked = piece[1:] == piece[:-1]
         self.hashes = self.words.hashes()
 
@@ -73,7 +72,7 @@ class Phrases:
         """Whether each word and the next one are in the table."""
         out = np.zeros(len(self.hashes), bool)
         at = self.at(2)
-        out[at] = _held(table, self.keys(2, at))
+        out[at] = held(table, self.keys(2, at))
         return out
 
     def strings(self, at: np.ndarray) -> pa.Array:
@@ -87,11 +86,6 @@ class Phrases:
         )
 
 
-def _held(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys >> U64(64 - TABLE_BITS)
-    return (table[(place >> U64(6)).astype(np.int64)] >> (place & U64(63))) & U64(1) == 1
-
-
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Phrases]:
     for batch in batches:
         langs, texts = batch.column(0), texts_of(batch.column(1))
@@ -105,7 +99,7 @@ def _count_keys(batches: Iterator[pa.RecordBatch], size: int, words: np.ndarray
         at = part.at(size)
         if words is not None:
             every = np.arange(len(part.hashes))
-            may = _held(words, part.keys(1, every))
+            may = held(words, part.keys(1, every))
             at = at[may[at] & may[at + 1]]
         keys, n = np.unique(part.keys(size, at), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n.astype(np.int64))], ["key", "n"])
@@ -126,7 +120,7 @@ def _stripes(batches: Iterator[pa.RecordBatch], words: np.ndarray, pairs: np.nda
         for size in range(1, LONGEST + 1):
             at = part.at(size)
             if size == 1:
-                at = at[_held(words, part.keys(1, at))]
+                at = at[held(words, part.keys(1, at))]
             for j in range(size - 1):
                 at = at[may[at + j]]
             keys, check = part.keys(size, at), part.keys(size, at, second, 1)
@@ -154,28 +148,17 @@ def _stripes(batches: Iterator[pa.RecordBatch], words: np.ndarray, pairs: np.nda
             )
 
 
-def _table(counted: DataFrame, least: int) -> np.ndarray:
-    """The bits of the hashes that are frequent; ``2 ** TABLE_BITS`` at most."""
-    frequent = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    place = F.shiftrightunsigned("key", 64 - TABLE_BITS)
-    rows = (
-        frequent.select(F.shiftright(place, 6).alias("at"), F.expr(f"shiftleft(1L, cast({_BIT} as int))").alias("bit"))
-        .groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
-    )
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    table[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return table.view(U64)
-
-
-_BIT = f"shiftrightunsigned(key, {64 - TABLE_BITS}) & 63"
+def _frequent(counted: DataFrame, least: int) -> np.ndarray:
+    """A table of the hashes that are frequent."""
+    return bit_table(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "key")
 
 
 def stripes(docs: DataFrame, least: int) -> DataFrame:
     """``(lang, size, phrase, prefix, next, n)``: all phrases of 1 to 4 words that occur
     ``least`` times or more, and per language the number of words under size 0."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = _table(texts.mapInArrow(partial(_count_keys, size=1, words=None), "key long, n long"), least)
-    pairs = _table(texts.mapInArrow(partial(_count_keys, size=2, words=words), "key long, n long"), least)
+    words = _frequent(texts.mapInArrow(partial(_count_keys, size=1, words=None), "key long, n long"), least)
+    pairs = _frequent(texts.mapInArrow(partial(_count_keys, size=2, words=words), "key long, n long"), least)
     entries = texts.mapInArrow(
         partial(_stripes, words=words, pairs=pairs), "lang string, size int, prefix string, next string, n long"
     )

@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bits import bit_table, held
 from tidemark.llm.components import components
 from tidemark.llm.near_dedup import shingles
 from tidemark.llm.words import U64, Words, signed, slices, texts_of
@@ -41,38 +42,65 @@ SAMPLED = 4
 HUB_ROUNDS = 2
 
 
-def _scan(batches: Iterator[pa.RecordBatch], k: int, sampled: int) -> Iterator[pa.RecordBatch]:
-    """Per row its doc_id, number of tokens, print of the set, and the tokens sampled."""
-    below = U64((1 << 64) // sampled - 1)
+def token_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different shingle hashes of each text in order, where each text's begin, and two
+    halves of a print of each set."""
+    marks, of = shingles(Words.of(texts, lower=True), k)
+    order = np.lexsort((marks, of))
+    marks, of = marks[order], of[order]
+    new = np.ones(len(marks), bool)
+    new[1:] = (marks[1:] != marks[:-1]) | (of[1:] != of[:-1])
+    marks, of = marks[new], of[new]
+    first = np.searchsorted(of, np.arange(len(texts) + 1))
+    raw = marks.tobytes()
+    prints = np.frombuffer(
+        b"".join(xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(first[:-1], first[1:])), "<i8"
+    )
+    return marks, first, prints.reshape(-1, 2)
+
+
+def _prints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
         for begin, end in slices(texts):
-            marks, of = shingles(Words.of(texts[begin:end], lower=True), k)
-            order = np.lexsort((marks, of))
-            marks, of = marks[order], of[order]
-            new = np.ones(len(marks), bool)
-            new[1:] = (marks[1:] != marks[:-1]) | (of[1:] != of[:-1])
-            marks, of = marks[new], of[new]
-            first = np.searchsorted(of, np.arange(end - begin + 1))
-            raw = marks.tobytes()
-            prints = np.frombuffer(
-                b"".join(xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(first[:-1], first[1:])), "<i8"
-            )
-            held = np.concatenate([[0], np.cumsum(marks <= below)])[first]
-            tokens = signed(marks[marks <= below])
+            _, first, prints = token_sets(texts[begin:end], k)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[begin:end],
                     pa.array(np.diff(first).astype(np.int64)),
-                    pa.array(prints[0::2]),
-                    pa.array(prints[1::2]),
-                    pa.ListArray.from_arrays(pa.array(held.astype(np.int32)), pa.array(tokens)),
+                    pa.array(prints[:, 0]),
+                    pa.array(prints[:, 1]),
                 ],
-                ["doc_id", "n", "high", "low", "tokens"],
+                ["doc_id", "n", "high", "low"],
             )
 
 
-_SCANNED = "doc_id long, n long, high long, low long, tokens array<long>"
+def _sampled_tokens(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """One token in ``SAMPLED`` of each text, with the print of its set."""
+    below = U64((1 << 64) // SAMPLED - 1)
+    for batch in batches:
+        texts = texts_of(batch.column(0))
+        for begin, end in slices(texts):
+            marks, first, prints = token_sets(texts[begin:end], k)
+            take = marks <= below
+            high = np.repeat(prints[:, 0], np.diff(first))
+            yield pa.RecordBatch.from_arrays([pa.array(high[take]), pa.array(signed(marks[take]))], ["high", "token"])
+
+
+def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The sets whose print the table holds."""
+    for batch in batches:
+        texts = texts_of(batch.column(0))
+        for begin, end in slices(texts):
+            marks, first, prints = token_sets(texts[begin:end], k)
+            here = held(wanted, np.ascontiguousarray(prints[:, 0]).view(U64))
+            sizes = np.where(here, np.diff(first), 0)
+            tokens = signed(marks[np.repeat(here, np.diff(first))])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(tokens))
+            columns = [pa.array(prints[:, 0]), pa.array(prints[:, 1]), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["high", "low", "tokens"]).filter(pa.array(here))
+
+
 _SET = ["high", "low"]
 
 
@@ -90,29 +118,36 @@ def _enough(percent: int, n: str, m: str, common: str) -> str:
     return f"100 * {common} >= {percent} * ({n} + {m} - {common})"
 
 
-def _candidate_sets(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``(cls, n, tokens)`` of the classes with few enough sampled tokens of their own."""
-    own = (
-        classes.select("cls", F.explode("tokens").alias("token"))
-        .groupBy("token").agg(F.count("*").alias("holders"), F.min("cls").alias("cls"))
-        .where("holders = 1").groupBy("cls").agg(F.count("*").alias("own"))
-    )
-    likely = stored(
-        classes.drop("tokens").join(own, "cls", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent)).drop("own"),
-        "likely",
+def _own(tokens: DataFrame, holder: str) -> DataFrame:
+    """``own``, the number of tokens that only this set has, per ``holder``."""
+    return (
+        tokens.groupBy("token").agg(F.min(holder).alias(holder), F.max(holder).alias("other"))
+        .where(f"{holder} = other").groupBy(holder).agg(F.count("*").alias("own"))
     )
-    ids = likely.select(F.col("rep").alias("doc_id")).distinct()
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """``(cls, n, tokens)`` of the classes ``(cls, n, high, low)``."""
+    wanted = bit_table(classes, "high")
     sets = (
-        docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-        .mapInArrow(partial(_scan, k=k, sampled=1), _SCANNED)
+        docs.select("text").mapInArrow(partial(_wanted_sets, k=k, wanted=wanted), "high long, low long, tokens array<long>")
         .groupBy(*_SET).agg(F.any_value("tokens").alias("tokens"))
     )
-    return stored(likely.join(sets, _SET).select("cls", "n", "tokens"), "sets")
+    return classes.select("cls", "n", *_SET).join(sets, _SET).select("cls", "n", "tokens")
+
+
+def without_strangers(sets: DataFrame, percent: int) -> DataFrame:
+    """``(cls, n, tokens, own)``: the sets that have few enough tokens of their own."""
+    own = _own(sets.select("cls", F.explode("tokens").alias("token")), "cls")
+    return (
+        sets.join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+        .where(F.col("own") <= _spare(percent))
+    )
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """``(token, cls, n, own, pos)``: each set under the tokens of its prefix that other sets
-    have too. ``own`` tokens are no other set's; they come first in the order."""
+    have too. ``own`` tokens, that no other set has, come first in the order."""
     tokens = sets.select("cls", "n", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
     ordered = (
@@ -199,10 +234,14 @@ def _block_pairs(entries: DataFrame, hubs: DataFrame, percent: int) -> DataFrame
     )
 
 
-def similar_sets(sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(u, v)`` of the sets ``(cls, n, tokens)``: enough for all components of the
-    relation ``100 * intersection >= percent * union``, and none that is not in it."""
-    postings = stored(_postings(sets, percent), "postings")
+def similar_sets(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(u, v)`` of the sets ``(cls, n, tokens)`` that meet in a list of the index
+    ``postings``: enough for all components of the relation ``100 * intersection >=
+    percent * union``, and none that is not in it.
+
+    ``postings`` are ``(token, cls, n, own, pos)``: the list, and how many tokens of a set
+    come before its entry there or are no other set's.
+    """
     links, hubs = None, None
     for _ in range(HUB_ROUNDS):
         entries = stored(_labelled(postings, links), "labelled")
@@ -240,14 +279,16 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     doc_id are linked with nothing and have no component. Rows that share a doc_id are one
     document: a link of one of them links all.
     """
-    scanned = stored(docs.select("doc_id", "text").mapInArrow(partial(_scan, k=k, sampled=SAMPLED), _SCANNED), "tokens")
+    texts = docs.select("doc_id", "text")
+    scanned = stored(texts.mapInArrow(partial(_prints, k=k), "doc_id long, n long, high long, low long"), "prints")
     known = scanned.where("doc_id IS NOT NULL AND n > 0")
-    classes = known.groupBy(*_SET).agg(
-        F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")
-    )
+    classes = known.groupBy(*_SET).agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"))
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    sets = _candidate_sets(docs, classes, k, percent)
-    links = similar_sets(sets, percent)
+    own = _own(texts.select("text").mapInArrow(partial(_sampled_tokens, k=k), "high long, token long"), "high")
+    likely = classes.join(own, "high", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent))
+    likely = stored(likely.drop("own"), "likely")
+    sets = stored(without_strangers(stored(sets_of(docs, likely, k), "likely-sets"), percent), "sets")
+    links = similar_sets(stored(_postings(sets, percent), "postings"), sets, percent)
 
     names = classes.select("cls", "rep", *_SET)
     by_id = links.join(names.select(F.col("cls").alias("u"), F.col("rep").alias("a")), "u").join(
