@@ -8,9 +8,9 @@ total of the empty prefix is the number of words; and the greatest entry of a ph
 stripe, or of those that end in it, tells whether a longer phrase subsumes it.
 
 Entries below the least frequency are of no use, and a phrase is at most as frequent as
-its parts. So two narrow passes over hashes come first: words, then pairs of words that may
-be frequent. Their outcome is a table of bits of a fixed size, which never misses a
-frequent pair, and the stripes leave out what it rules out.
+its parts. So three narrow passes over hashes come first: words, pairs of frequent words, and
+longer phrases of frequent pairs. The outcome of each is a table of bits of a fixed size,
+which never misses a frequent phrase; the stripes leave out what the tables rule out.
 """
 
 from __future__ import annotations
@@ -32,13 +32,14 @@ from tidemark.operators.staging import stored
 #: Words of the longest phrase.
 LONGEST = 4
 #: Bytes of text whose stripes a task merges before it sends them.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _APART = np.zeros(256, bool)
 _APART[[0x20, 0x09, *range(0x0A, 0x0E), *b".,;:!?"]] = True
 _ENDS = _APART.copy()
 _ENDS[[0x20, 0x09]] = False
 _LONE = U64(0x2545F4914F6CDD1D)
+_TOP = U64(0xFFFFFFFFFF000000)
 
 
 class Phrases:
@@ -55,6 +56,7 @@ class Phrases:
         piece = np.searchsorted(ends, self.words.starts) + self.words.text_of_words()
         self.linked = piece[1:] == piece[:-1]
         self.hashes = self.words.hashes()
+        self.found: dict[int, np.ndarray] = {}
 
     def at(self, size: int) -> np.ndarray:
         """Where a phrase of ``size`` words starts."""
@@ -68,12 +70,13 @@ class Phrases:
         runs = self.words.runs(self.hashes if hashes is None else hashes, size, lane)
         return mix(runs[at] ^ self.salt[at] ^ _LONE)
 
-    def may_pair(self, table: np.ndarray) -> np.ndarray:
-        """Whether each word and the next one are in the table."""
-        out = np.zeros(len(self.hashes), bool)
-        at = self.at(2)
-        out[at] = held(table, self.keys(2, at))
-        return out
+    def may(self, size: int, table: np.ndarray) -> np.ndarray:
+        """Whether the phrase of ``size`` words from each word on is in the table."""
+        if size not in self.found:
+            self.found[size] = np.zeros(len(self.hashes), bool)
+            at = self.at(size)
+            self.found[size][at] = held(table, self.keys(size, at))
+        return self.found[size]
 
     def strings(self, at: np.ndarray) -> pa.Array:
         """The words at the given places."""
@@ -93,19 +96,27 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Phrases]:
             yield Phrases(texts[begin:end], langs[begin:end])
 
 
-def _count_keys(batches: Iterator[pa.RecordBatch], size: int, words: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """How often each phrase of ``size`` words occurs in the task, by its hash."""
+def _likely(part: Phrases, size: int, tables: list[np.ndarray]) -> np.ndarray:
+    """Where phrases of ``size`` words start all of whose parts the tables hold."""
+    at = part.at(size)
+    if size > 1 and tables:
+        at = at[part.may(1, tables[0])[at]]
+        at = at[part.may(1, tables[0])[at + size - 1]]
+    if size > 2:
+        for j in range(size - 1):
+            at = at[part.may(2, tables[1])[at + j]]
+    return at
+
+
+def _count_keys(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...], tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """How often phrases of some numbers of words occur in the task, by 40 bits of their hash."""
     for part in _parts(batches):
-        at = part.at(size)
-        if words is not None:
-            every = np.arange(len(part.hashes))
-            may = held(words, part.keys(1, every))
-            at = at[may[at] & may[at + 1]]
-        keys, n = np.unique(part.keys(size, at), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n.astype(np.int64))], ["key", "n"])
+        for size in sizes:
+            keys, n = np.unique(part.keys(size, _likely(part, size, tables)) & _TOP, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
-def _stripes(batches: Iterator[pa.RecordBatch], words: np.ndarray, pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _stripes(batches: Iterator[pa.RecordBatch], tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Entries of the task's stripes: prefix, next word, how often. The empty prefix's total
     is the entry without a next word."""
     names = ["lang", "size", "prefix", "next", "n"]
@@ -116,13 +127,9 @@ def _stripes(batches: Iterator[pa.RecordBatch], words: np.ndarray, pairs: np.nda
             [part.langs, pa.array(np.zeros(len(totals), np.int32)), none, none, pa.array(totals.astype(np.int64))], names
         )
         second = part.words.hashes(1)
-        may = part.may_pair(pairs)
         for size in range(1, LONGEST + 1):
             at = part.at(size)
-            if size == 1:
-                at = at[held(words, part.keys(1, at))]
-            for j in range(size - 1):
-                at = at[may[at + j]]
+            at = at[part.may(size, tables[min(size, 3) - 1])[at]]
             keys, check = part.keys(size, at), part.keys(size, at, second, 1)
             order = np.lexsort((check, keys))
             keys, check, at = keys[order], check[order], at[order]
@@ -148,19 +155,17 @@ def _stripes(batches: Iterator[pa.RecordBatch], words: np.ndarray, pairs: np.nda
             )
 
 
-def _frequent(counted: DataFrame, least: int) -> np.ndarray:
-    """A table of the hashes that are frequent."""
-    return bit_table(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "key")
-
-
 def stripes(docs: DataFrame, least: int) -> DataFrame:
     """``(lang, size, phrase, prefix, next, n)``: all phrases of 1 to 4 words that occur
     ``least`` times or more, and per language the number of words under size 0."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = _frequent(texts.mapInArrow(partial(_count_keys, size=1, words=None), "key long, n long"), least)
-    pairs = _frequent(texts.mapInArrow(partial(_count_keys, size=2, words=words), "key long, n long"), least)
+    tables: list[np.ndarray] = []
+    for sizes in ((1,), (2,), tuple(range(3, LONGEST + 1))):
+        counted = texts.mapInArrow(partial(_count_keys, sizes=sizes, tables=list(tables)), "key long, n long")
+        frequent = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        tables.append(bit_table(frequent, "key"))
     entries = texts.mapInArrow(
-        partial(_stripes, words=words, pairs=pairs), "lang string, size int, prefix string, next string, n long"
+        partial(_stripes, tables=tables), "lang string, size int, prefix string, next string, n long"
     )
     return (
         entries.groupBy("lang", "size", "prefix", "next").agg(F.sum("n").alias("n"))
