@@ -26,14 +26,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bits import bit_table, held
 from tidemark.llm.components import components
-from tidemark.llm.near_dedup import shingles
-from tidemark.llm.words import U64, Words, signed, slices, texts_of
+from tidemark.llm.shingle_sets import by_document, classes_of, own_tokens, sets_of, spare, token_sets, without_strangers
+from tidemark.llm.words import U64, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
 #: One token in so many, chosen by its hash, goes into the first look for own tokens.
@@ -42,23 +40,6 @@ SAMPLED = 4
 HUB_ROUNDS = 2
 
 
-def token_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different shingle hashes of each text in order, where each text's begin, and two
-    halves of a print of each set."""
-    marks, of = shingles(Words.of(texts, lower=True), k)
-    order = np.lexsort((marks, of))
-    marks, of = marks[order], of[order]
-    new = np.ones(len(marks), bool)
-    new[1:] = (marks[1:] != marks[:-1]) | (of[1:] != of[:-1])
-    marks, of = marks[new], of[new]
-    first = np.searchsorted(of, np.arange(len(texts) + 1))
-    raw = marks.tobytes()
-    prints = np.frombuffer(
-        b"".join(xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(first[:-1], first[1:])), "<i8"
-    )
-    return marks, first, prints.reshape(-1, 2)
-
-
 def _prints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
@@ -87,28 +68,6 @@ def _sampled_tokens(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(high[take]), pa.array(signed(marks[take]))], ["high", "token"])
 
 
-def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The sets whose print the table holds."""
-    for batch in batches:
-        texts = texts_of(batch.column(0))
-        for begin, end in slices(texts):
-            marks, first, prints = token_sets(texts[begin:end], k)
-            here = held(wanted, np.ascontiguousarray(prints[:, 0]).view(U64))
-            sizes = np.where(here, np.diff(first), 0)
-            tokens = signed(marks[np.repeat(here, np.diff(first))])
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(tokens))
-            columns = [pa.array(prints[:, 0]), pa.array(prints[:, 1]), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["high", "low", "tokens"]).filter(pa.array(here))
-
-
-_SET = ["high", "low"]
-
-
-def _spare(percent: int) -> Column:
-    """How many of its ``n`` tokens a set may lose and still be similar to something."""
-    return F.expr(f"(n * {100 - percent}) div 100")
-
-
 def _needed(percent: int, n: str, m: str) -> str:
     """Tokens that sets of ``n`` and ``m`` must have in common."""
     return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
@@ -118,33 +77,6 @@ def _enough(percent: int, n: str, m: str, common: str) -> str:
     return f"100 * {common} >= {percent} * ({n} + {m} - {common})"
 
 
-def _own(tokens: DataFrame, holder: str) -> DataFrame:
-    """``own``, the number of tokens that only this set has, per ``holder``."""
-    return (
-        tokens.groupBy("token").agg(F.min(holder).alias(holder), F.max(holder).alias("other"))
-        .where(f"{holder} = other").groupBy(holder).agg(F.count("*").alias("own"))
-    )
-
-
-def sets_of(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """``(cls, n, tokens)`` of the classes ``(cls, n, high, low)``."""
-    wanted = bit_table(classes, "high")
-    sets = (
-        docs.select("text").mapInArrow(partial(_wanted_sets, k=k, wanted=wanted), "high long, low long, tokens array<long>")
-        .groupBy(*_SET).agg(F.any_value("tokens").alias("tokens"))
-    )
-    return classes.select("cls", "n", *_SET).join(sets, _SET).select("cls", "n", "tokens")
-
-
-def without_strangers(sets: DataFrame, percent: int) -> DataFrame:
-    """``(cls, n, tokens, own)``: the sets that have few enough tokens of their own."""
-    own = _own(sets.select("cls", F.explode("tokens").alias("token")), "cls")
-    return (
-        sets.join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
-        .where(F.col("own") <= _spare(percent))
-    )
-
-
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """``(token, cls, n, own, pos)``: each set under the tokens of its prefix that other sets
     have too. ``own`` tokens, that no other set has, come first in the order."""
@@ -154,7 +86,7 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
         tokens.join(shared, "token")
         .groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("shared"))
         .withColumn("own", F.col("n") - F.size("shared"))
-        .withColumn("room", (_spare(percent) + 1 - F.col("own")).cast("int"))
+        .withColumn("room", (spare(percent) + 1 - F.col("own")).cast("int"))
         .where("room > 0")
     )
     return ordered.select(
@@ -281,31 +213,11 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """
     texts = docs.select("doc_id", "text")
     scanned = stored(texts.mapInArrow(partial(_prints, k=k), "doc_id long, n long, high long, low long"), "prints")
-    known = scanned.where("doc_id IS NOT NULL AND n > 0")
-    classes = known.groupBy(*_SET).agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"))
-    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    own = _own(texts.select("text").mapInArrow(partial(_sampled_tokens, k=k), "high long, token long"), "high")
-    likely = classes.join(own, "high", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent))
+    classes = classes_of(scanned)
+    own = own_tokens(texts.select("text").mapInArrow(partial(_sampled_tokens, k=k), "high long, token long"), "high")
+    likely = classes.join(own, "high", "left").where(F.coalesce("own", F.lit(0)) <= spare(percent))
     likely = stored(likely.drop("own"), "likely")
     sets = stored(without_strangers(stored(sets_of(docs, likely, k), "likely-sets"), percent), "sets")
     links = similar_sets(stored(_postings(sets, percent), "postings"), sets, percent)
 
-    names = classes.select("cls", "rep", *_SET)
-    by_id = links.join(names.select(F.col("cls").alias("u"), F.col("rep").alias("a")), "u").join(
-        names.select(F.col("cls").alias("v"), F.col("rep").alias("b")), "v"
-    ).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    members = stored(known.join(names, _SET).groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("most")), "members")
-    # the rows of a doc_id with several sets: each of their classes is linked with the least
-    several = members.where("rep < most").select("doc_id", F.col("rep").alias("u"))
-    same = (
-        known.join(names, _SET).select("doc_id", F.col("rep").alias("v")).join(several, "doc_id").select("u", "v").distinct()
-    )
-    reached = stored(components(by_id.union(same)), "components")
-    fates = (
-        members.join(reached.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("doc_id", F.coalesce("component", "rep").alias("component"))
-    )
-    return (
-        scanned.select("doc_id", F.col("n").alias("n_shingles")).join(fates, "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    )
+    return by_document(scanned, classes, links).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -6,10 +6,12 @@ on, round ``bins + b`` throws all shingles into bin ``b``, so every coordinate f
 text stops when all of its bins are full. Two sets agree on a coordinate with the
 probability of their Jaccard similarity, and the number of agreements is concentrated.
 
-Exact copies are one class; only its representative is compared. Documents that share a
-band are compared with one of them, on their full shingle sets. What is still apart after
-that is compared with all others of its bands that it isn't connected with, so no link
-between different texts is lost, while a group of copies needs about one comparison each.
+Equal sets are one class. A band lists the classes that share it. What the lists bring
+together is verified on full sets, by the rules of :func:`~tidemark.llm.jaccard_join.similar_sets`:
+sets with too many shingles that no other candidate has go at once; every set is compared
+with one hub of its lists; and of the pairs still apart only those are compared that the
+hub's answers leave open. So no link that a band shows is lost, while a group of copies,
+near ones or of one template, needs few comparisons for each.
 """
 
 from __future__ import annotations
@@ -19,37 +21,16 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
-from tidemark.llm.exchange import let_go
-from tidemark.llm.words import U64, Words, mix, signed, slices, texts_of
+from tidemark.llm.jaccard_join import similar_sets
+from tidemark.llm.shingle_sets import by_document, classes_of, sets_of, token_sets, without_strangers
+from tidemark.llm.words import U64, mix, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 _ROUND = 0x9FB21C651E98DF25
-#: Rounds of comparing with one document of each band, before comparing what is apart.
-STAR_ROUNDS = 2
-
-
-def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all k-word shingles and their texts, in text order.
-
-    A text of fewer words is one shingle; a text without words has none.
-    """
-    hashes = words.hashes()
-    full = words.full_runs(k)
-    marks, of = words.runs(hashes, k)[full], words.text_of_words()[full]
-    counts = words.counts()
-    for n in range(1, k):
-        short = np.flatnonzero(counts == n)
-        if len(short):
-            marks = np.append(marks, words.runs(hashes, n)[words.first[short]])
-            of = np.append(of, short)
-    order = np.argsort(of, kind="stable")
-    return marks[order], of[order]
 
 
 def sketch(marks: np.ndarray, of: np.ndarray, texts: int, bins: int) -> np.ndarray:
@@ -83,62 +64,22 @@ def _scan(batches: Iterator[pa.RecordBatch], k: int, bins: int, bands: int) -> I
     for batch in batches:
         texts = texts_of(batch.column(1))
         for begin, end in slices(texts):
-            part = texts[begin:end]
             n = end - begin
-            marks, of = shingles(Words.of(part, lower=True), k)
-            first = np.searchsorted(of, np.arange(n + 1))
-            sizes = [len(np.unique(marks[a:b])) for a, b in zip(first[:-1], first[1:])]
+            marks, first, prints = token_sets(texts[begin:end], k)
+            of = np.repeat(np.arange(n), np.diff(first))
             keys = signed(band_keys(sketch(marks, of, n, bins), bands)).reshape(-1)
-            prints = np.frombuffer(
-                b"".join(xxhash.xxh3_128_digest(b" ".join(t.encode().lower().split())) for t in part.to_pylist()), "<i8"
-            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[begin:end],
-                    pa.array(sizes, pa.int64()),
-                    pa.array(prints[0::2]),
-                    pa.array(prints[1::2]),
+                    pa.array(np.diff(first).astype(np.int64)),
+                    pa.array(prints[:, 0]),
+                    pa.array(prints[:, 1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys)),
                 ],
-                ["doc_id", "n_shingles", "high", "low", "bands"],
+                ["doc_id", "n", "high", "low", "bands"],
             )
 
 
-def _verify(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sides = [texts_of(batch.column(i)) for i in (2, 3)]
-        for begin, end in slices(*sides):
-            part = batch.slice(begin, end - begin)
-            sets = []
-            for texts in sides:
-                marks, of = shingles(Words.of(texts[begin:end], lower=True), k)
-                first = np.searchsorted(of, np.arange(len(part) + 1))
-                sets.append([np.unique(marks[a:b]) for a, b in zip(first[:-1], first[1:])])
-            common = np.array([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(*sets)], np.int64)
-            union = np.array([len(a) + len(b) for a, b in zip(*sets)], np.int64) - common
-            linked = (100 * common >= percent * union) & (common > 0)
-            yield part.select([0, 1]).filter(pa.array(linked))
-
-
-def near_links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs ``(u, v)`` of doc_ids whose shingle sets are similar enough."""
-    wanted = stored(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct(), "wanted")
-    texts = (
-        docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
-        .join(wanted, "doc_id", "left_semi")
-        .dropDuplicates(["doc_id", "print"])
-        .select("doc_id", "text")
-    )
-    texts = stored(texts, "texts")
-    let_go(docs.sparkSession)
-    return (
-        pairs.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
-        .join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
-        .select("u", "v", "text_u", "text_v")
-        .mapInArrow(partial(_verify, k=k, percent=percent), "u long, v long")
-    )
-
-
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, bins: int = 128, bands: int = 32
 ) -> DataFrame:
@@ -157,66 +98,20 @@ def near_duplicates(
     """
     scanned = docs.select("doc_id", "text").mapInArrow(
         partial(_scan, k=k, bins=bins, bands=bands),
-        "doc_id long, n_shingles long, high long, low long, bands array<long>",
+        "doc_id long, n long, high long, low long, bands array<long>",
     )
     scanned = stored(scanned, "sketches")
-    known = scanned.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(
-        known.groupBy("high", "low").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes"
-    )
-    banded = classes.select("rep", F.explode("bands").alias("band"))
-    # bands of one document each are no use further on
-    shared = stored(
-        banded.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most"), "bands"
-    ).select("band")
-    members = stored(banded.join(shared, "band").distinct(), "members")
-    let_go(docs.sparkSession)
-
-    # classes of one document each other than by its class: rows of a repeated doc_id
-    links = stored(
-        known.join(classes.select("high", "low", "rep"), ["high", "low"])
-        .where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(),
-        "copies",
-    )
-    reached = None
-    for round_ in range(STAR_ROUNDS + 1):
-        labelled = members.withColumn("label", F.col("rep"))
-        if reached is not None:
-            labelled = members.join(
-                reached.select(F.col("node").alias("rep"), "component"), "rep", "left"
-            ).select("rep", "band", F.coalesce("component", "rep").alias("label"))
-            apart = stored(
-                labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b"), "apart"
-            ).select("band")
-            labelled = stored(labelled.join(apart, "band"), "labelled")
-            if labelled.isEmpty():
-                break
-        if round_ < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("rep", F.lit(round_)).alias("turn"), F.col("rep").alias("hub"), "label")
-            hubs = stored(labelled.groupBy("band").agg(F.min(order).alias("hub")), "hubs")
-            pairs = (
-                labelled.join(hubs, "band")
-                .where("label <> hub.label")
-                .select(F.col("hub.hub").alias("u"), F.col("rep").alias("v"))
-            )
-        else:
-            other = labelled.select("band", F.col("rep").alias("other"), F.col("label").alias("other_label"))
-            pairs = (
-                labelled.join(other, "band")
-                .where("rep < other AND label <> other_label")
-                .select(F.col("rep").alias("u"), F.col("other").alias("v"))
-            )
-        pairs = stored(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
-        found = stored(near_links(docs, pairs, k, percent), "near")
-        let_go(docs.sparkSession)
-        links = links.union(found)
-        reached = stored(components(links), "components")
-        let_go(docs.sparkSession)
-
-    reached = reached if reached is not None else components(links)
-    return (
-        scanned.select("doc_id", "n_shingles")
-        .join(reached.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    classes = classes_of(scanned, "bands")
+    banded = classes.select("cls", F.explode("bands").alias("token"))
+    # bands of one class each are no use further on
+    shared = banded.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
+    members = stored(banded.join(stored(shared.select("token"), "bands"), "token").distinct(), "in-bands")
+    candidates = classes.select("cls", "n", "high", "low").join(members.select("cls").distinct(), "cls", "left_semi")
+    candidates = stored(candidates, "candidates")
+    sets = stored(without_strangers(stored(sets_of(docs, candidates, k), "candidate-sets"), percent), "sets")
+    lists = members.join(sets.select("cls", "n", "own", F.col("own").alias("pos")), "cls")
+    links = similar_sets(stored(lists.select("token", "cls", "n", "own", "pos"), "lists"), sets, percent)
+    found = by_document(scanned.drop("bands"), classes, links)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").withColumn(
+        "kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))
     )
