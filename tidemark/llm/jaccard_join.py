@@ -30,7 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shingle_sets import by_document, classes_of, own_tokens, sets_of, spare, token_sets, without_strangers
+from tidemark.llm.shingle_sets import (
+    SET,
+    SLICE_BYTES,
+    by_document,
+    classes_of,
+    own_tokens,
+    sets_of,
+    spare,
+    token_sets,
+    without_strangers,
+)
 from tidemark.llm.words import U64, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
@@ -43,7 +53,7 @@ HUB_ROUNDS = 2
 def _prints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
-        for begin, end in slices(texts):
+        for begin, end in slices(texts, most_bytes=SLICE_BYTES):
             _, first, prints = token_sets(texts[begin:end], k)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -61,7 +71,7 @@ def _sampled_tokens(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Re
     below = U64((1 << 64) // SAMPLED - 1)
     for batch in batches:
         texts = texts_of(batch.column(0))
-        for begin, end in slices(texts):
+        for begin, end in slices(texts, most_bytes=SLICE_BYTES):
             marks, first, prints = token_sets(texts[begin:end], k)
             take = marks <= below
             high = np.repeat(prints[:, 0], np.diff(first))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.jaccard_join import similar_sets
-from tidemark.llm.shingle_sets import by_document, classes_of, sets_of, token_sets, without_strangers
+from tidemark.llm.shingle_sets import SLICE_BYTES, by_document, classes_of, sets_of, token_sets, without_strangers
 from tidemark.llm.words import U64, mix, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
@@ -63,7 +63,7 @@ def band_keys(table: np.ndarray, bands: int) -> np.ndarray:
 def _scan(batches: Iterator[pa.RecordBatch], k: int, bins: int, bands: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
-        for begin, end in slices(texts):
+        for begin, end in slices(texts, most_bytes=SLICE_BYTES):
             n = end - begin
             marks, first, prints = token_sets(texts[begin:end], k)
             of = np.repeat(np.arange(n), np.diff(first))

@@ -21,6 +21,8 @@ from tidemark.llm.words import U64, Words, signed, slices, texts_of
 from tidemark.operators.staging import stored
 
 SET = ["high", "low"]
+#: Bytes of text whose sets a task holds at once.
+SLICE_BYTES = 1 << 20
 
 
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +72,7 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, wanted: np.ndarray)
     """The sets whose print the table holds."""
     for batch in batches:
         texts = texts_of(batch.column(0))
-        for begin, end in slices(texts):
+        for begin, end in slices(texts, most_bytes=SLICE_BYTES):
             marks, first, prints = token_sets(texts[begin:end], k)
             here = held(wanted, np.ascontiguousarray(prints[:, 0]).view(U64))
             sizes = np.where(here, np.diff(first), 0)
