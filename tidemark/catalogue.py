@@ -7,7 +7,7 @@ doubles and dates and times as text, so that any engine's client can compare the
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,10 +97,7 @@ def _customer_history(retail: Retail, batch_kind: str = "snapshot", **options) -
 
 
 def _products(retail: Retail, round_: int) -> DataFrame:
-    products = retail.products(round_)
-    return silver.denormalise_products(
-        products, retail.brands(), retail.categories(), frequent_values(products, ["brand_id", "category_id"])
-    )
+    return silver.denormalise_products(retail.products(round_), retail.brands(round_), retail.categories(round_))
 
 
 def _product_history(retail: Retail) -> DataFrame:
@@ -108,9 +105,27 @@ def _product_history(retail: Retail) -> DataFrame:
     return merge_versions(first, _products(retail, 2), "product_id", TABLES["products"].tracked, MERGED_AT)
 
 
-def _staffs(retail: Retail) -> DataFrame:
-    staffs = retail.staffs()
-    return silver.denormalise_staffs(staffs, retail.stores(), frequent_values(staffs, ["manager_id", "store_id"]))
+def _staffs(retail: Retail, round_: int = 1) -> DataFrame:
+    return silver.denormalise_staffs(retail.staffs(round_), retail.stores(round_))
+
+
+def _dimensions(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The rows of all four dimensions in one form."""
+    shown = [
+        spark.table(lake.table("gold", f"dim_{name}")).select(
+            F.lit(name).alias("dimension"), F.col(key).alias("key"), F.col(label).cast("string").alias("label"),
+            "start_date", "end_date", "current_flag", F.col(f"sk_{key}").alias("sk"),
+        )
+        for name, key, label in (
+            ("customers", "customer_id", "street"), ("products", "product_id", "list_price"), ("staffs", "staff_id", "store_name"),
+        )
+    ]
+    kept = spark.table(lake.table("gold", "dim_stores")).select(
+        F.lit("stores").alias("dimension"), F.col("store_id").alias("key"), F.col("store_name").alias("label"),
+        *(F.lit(None).cast(t).alias(c) for c, t in
+          (("start_date", "timestamp_ntz"), ("end_date", "timestamp_ntz"), ("current_flag", "boolean"), ("sk", "long"))),
+    )
+    return gaps(reduce(DataFrame.union, [*shown, kept]), "sk")
 
 
 def _items(retail: Retail) -> DataFrame:
@@ -192,8 +207,8 @@ def csv_load(spark, retail):
 @query
 def high_water_mark(spark, retail):
     items = retail.order_items()
-    mark = T.StructType([T.StructField("mark", items.schema["shipped_at"].dataType)])
-    return spark.createDataFrame([(marks_of.high_water_mark(items, "shipped_at"),)], mark)
+    kind, mark = items.schema["shipped_at"].dataType, marks_of.high_water_mark(items, "shipped_at")
+    return spark.range(1).select((F.lit(None) if mark is None else F.lit(str(mark))).cast(kind).alias("mark"))
 
 
 @query
@@ -362,7 +377,10 @@ def staffs_denorm(spark, retail):
 
 @query
 def staffs_history(spark, retail):
-    return first_versions(_staffs(retail), "staff_id").select(
+    """Staff that moved, and those whose store has another name."""
+    history = first_versions(_staffs(retail, 1), "staff_id")
+    history = merge_versions(history, _staffs(retail, 2), "staff_id", TABLES["staffs"].tracked, MERGED_AT)
+    return history.select(
         "staff_id", "first_name", "store_name", "manager_first_name", "start_date", "end_date", "current_flag", "sk_staff_id"
     )
 
@@ -392,17 +410,21 @@ def stock_snapshots(spark, retail):
 
 @query
 def dim_publish(spark, retail):
+    """All four dimensions over two runs, published after each; rows by dimension and key."""
     lake = new_lake(spark)
-    name = lake.table("silver", "customers")
-    first, second = (
-        _customers(retail, r).withColumn(silver.STAMP, instant(at)) for r, at in ((1, FIRST_RUN), (2, SECOND_RUN))
-    )
-    history = merge_versions(
-        first_versions(first, "customer_id"), second, "customer_id", _CUSTOMER_TRACKED, MERGED_AT, "snapshot"
-    )
-    sinks.replace_table(history, name, lake.path("silver", "customers"))
-    gold.publish_dimensions(spark, lake)
-    return spark.table(lake.table("gold", "dim_customers")).select(_HISTORY_COLUMNS)
+    stores = retail.stores().withColumn(silver.STAMP, instant(FIRST_RUN)).withColumn("raw_extraction_time", instant(FIRST_RUN))
+    stores = silver.refine_stores(stores).withColumn(bronze.DAY, F.col(silver.STAMP).cast("date"))
+    sinks.append_table(stores, lake.table("silver", "stores"), lake.path("silver", "stores"), [bronze.DAY], known_rows=True)
+
+    def batches(round_: int) -> dict[str, DataFrame]:
+        return {"customers": _customers(retail, round_), "products": _products(retail, round_), "staffs": _staffs(retail, round_)}
+
+    kinds = {"customers": "snapshot", "products": "delta", "staffs": "delta"}
+    for round_, at in ((1, FIRST_RUN), (2, MERGED_AT)):
+        rows = {name: df.withColumn(silver.STAMP, instant(at)) for name, df in batches(round_).items()}
+        together([partial(silver.save_history, spark, lake, name, df, at, kinds[name]) for name, df in rows.items()])
+        gold.publish_dimensions(spark, lake)
+    return _dimensions(spark, lake)
 
 
 @query
@@ -454,7 +476,7 @@ def fact_sales_hot_keys(spark, retail):
 @query
 def fact_stocks(spark, retail):
     stocks = _stocks(retail)
-    hot = frequent_values(stocks, ["product_id", "store_id"])
+    hot = frequent_values(stocks, ["product_id"])
     return gaps(gold.stock_facts(stocks, _product_history(retail), retail.stores(), hot), "sk_product_id")
 
 
@@ -535,3 +557,14 @@ def medallion_run(spark, retail):
         _slice("dim_stores", table("dim_stores"), ["store_name"]),
     ]
     return reduce(DataFrame.union, slices)
+
+
+@query
+def medallion_run_snapshots(spark, retail):
+    """Four runs, two of them with all customers, some of whom are gone; all dimension rows."""
+    lake = new_lake(spark)
+    runs = [(1, FIRST_RUN, "delta"), (2, SECOND_RUN, "snapshot"), (2, "1999-06-02 00:00:00", "delta"), (2, "1999-06-03 00:00:00", "snapshot")]
+    for round_, as_of, kind in runs:
+        source = _sources(retail, round_)
+        run_lake(spark, lake, {"mysql": source, "postgres": source}, as_of, {"customers": kind})
+    return _dimensions(spark, lake)

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
+
+from tidemark.versions import VersionStore
+
 _PREFIX = {"bronze": "raw_", "silver": "silver_", "gold": ""}
 
 
@@ -19,3 +23,9 @@ class Lake:
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
+
+    def history(self, spark: SparkSession, layer: str, name: str) -> VersionStore:
+        """A history table: ``dim_<name>`` in gold."""
+        if layer == "gold":
+            name = f"dim_{name}"
+        return VersionStore(spark, self.table(layer, name), self.path(layer, name))

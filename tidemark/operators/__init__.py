@@ -1,4 +1,4 @@
-from tidemark.operators.history import classify, first_versions, merge_versions
+from tidemark.operators.history import Merged, classify, first_versions, merge_open, merge_versions
 from tidemark.operators.keys import number_rows
 from tidemark.operators.latest import latest_per_key, newer_than, past_mark
 from tidemark.operators.skew import frequent_values, spread_left_join
@@ -6,6 +6,6 @@ from tidemark.operators.staging import stored
 from tidemark.operators.temporal import join_as_of
 
 __all__ = [
-    "classify", "first_versions", "frequent_values", "join_as_of", "latest_per_key",
-    "merge_versions", "newer_than", "number_rows", "past_mark", "spread_left_join", "stored",
+    "Merged", "classify", "first_versions", "frequent_values", "join_as_of", "latest_per_key",
+    "merge_open", "merge_versions", "newer_than", "number_rows", "past_mark", "spread_left_join", "stored",
 ]

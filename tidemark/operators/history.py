@@ -11,6 +11,7 @@ A history frame holds the business columns plus
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -79,26 +80,55 @@ def merge_versions(
     intervals may then overlap.
 
     A small batch is broadcast to the open history, which is then not shuffled at all. A
-    delta without news gives back ``history`` itself.
+    batch without news gives back ``history`` itself.
     """
     if batch_kind not in ("delta", "snapshot"):
         raise ValueError(f"unknown batch kind {batch_kind!r}")
     if version_start not in ("updated_at", "created_at"):
         raise ValueError(f"unknown version start {version_start!r}")
-    surrogate = f"sk_{key}"
-    batch = stored(newest_of_batch(batch, key), "batch")
     current = history.where(F.col("current_flag"))
     closed = history.where(~F.col("current_flag"))
-    highest = history.agg(F.max(surrogate)).first()[0] or 0
-    run = instant(as_of)
+    highest = history.agg(F.max(f"sk_{key}")).first()[0] or 0
+    merged = merge_open(current, closed, batch, key, tracked, as_of, batch_kind, version_start, highest)
+    if merged is None:
+        return history
+    return closed.unionByName(merged.versions)
+
+
+@dataclass(frozen=True)
+class Merged:
+    """The open versions after a merge, those among them that it closed, and the largest key."""
+
+    versions: DataFrame
+    highest: int
+
+
+def merge_open(
+    current: DataFrame,
+    closed: DataFrame,
+    batch: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    as_of: str | datetime,
+    batch_kind: str = "delta",
+    version_start: str = "updated_at",
+    highest: int = 0,
+) -> Merged | None:
+    """:func:`merge_versions` of a history held in parts; None if the batch has no news.
 
+    Of the ``closed`` versions only key and end are read, for keys that are not open.
+    """
+    surrogate = f"sk_{key}"
+    batch = stored(newest_of_batch(batch, key), "batch")
+    run = instant(as_of)
     kept = _close_changed(current, batch, key, tracked, run, batch_kind)
     fresh = _new_versions(current, closed, batch, key, tracked, run, version_start)
     fresh = number_rows(fresh, ["_rank", key], surrogate, start=highest, drop=["_rank"])
-    if batch_kind == "delta" and fresh.isEmpty():
-        return history
-    columns = history.columns
-    return closed.unionByName(kept).select(columns).unionByName(fresh.select(columns))
+    added = fresh.count()
+    if not added and (batch_kind == "delta" or kept.where(~F.col("current_flag")).isEmpty()):
+        return None
+    columns = current.columns
+    return Merged(kept.select(columns).unionByName(fresh.select(columns)), highest + added)
 
 
 def _opened(rows: DataFrame, start: Column) -> DataFrame:

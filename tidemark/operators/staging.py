@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-from threading import Lock
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folder: dict[str, str] = {}
-_lock = Lock()
+#: Folders written inside the innermost scratch scope.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without one; it gets a temporary folder.
+    Only a local session may go without one; it takes a folder in its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -23,10 +24,7 @@ def scratch_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    with _lock:
-        if context.applicationId not in _own_folder:
-            _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
-        return _own_folder[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-scratch/{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -40,5 +38,40 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     row identities assigned before the write cannot change afterwards.
     """
     path = scratch_path(df.sparkSession, label)
+    written = _written.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what :func:`stored` writes inside, in this thread and in those that
+    :func:`~tidemark.plans.together.together` starts.
+
+    For work whose outcome is written elsewhere by then, or by :func:`outlasting`.
+    """
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
+def outlasting(df: DataFrame, label: str = "result") -> DataFrame:
+    """:func:`stored`, but the folder stays when the scope around it ends."""
+    token = _written.set(None)
+    try:
+        return stored(df, label)
+    finally:
+        _written.reset(token)

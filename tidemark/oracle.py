@@ -30,7 +30,10 @@ SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand_name, p
 FROM part"""
 
 VIEWS["v_products_2"] = f"""
-SELECT product_id, product_name, brand_name, category_name, model_year,
+SELECT product_id, product_name,
+       CASE WHEN starts_with(brand_name, 'Brand#1') THEN concat(brand_name, ' new') ELSE brand_name END AS brand_name,
+       CASE WHEN starts_with(category_name, 'S') THEN concat(category_name, ' new') ELSE category_name END AS category_name,
+       model_year,
        CASE WHEN product_id % 4 = 0 THEN CAST(list_price + 10 AS DECIMAL(12,2)) ELSE list_price END AS list_price,
        created_at, CASE WHEN product_id % 4 = 0 THEN {_CHANGED} ELSE updated_at END AS updated_at
 FROM v_products_1"""
@@ -55,10 +58,15 @@ UNION ALL
 SELECT customer_id + 1000000, first_name, last_name, phone, email, street, city, state, zip_code, {_CHANGED}, {_CHANGED}
 FROM v_customers_1 WHERE customer_id % 20 = 2"""
 
-VIEWS["v_stores"] = """
-SELECT CAST(n_nationkey AS BIGINT) AS store_id, concat('Store ', n_name) AS store_name, r_name AS state
+VIEWS["v_stores"] = f"""
+SELECT CAST(n_nationkey AS BIGINT) AS store_id, concat('Store ', n_name) AS store_name, r_name AS state,
+       {_FIRST} AS updated_at
 FROM nation LEFT JOIN region ON n_regionkey = r_regionkey"""
 
+VIEWS["v_stores_2"] = f"""
+SELECT store_id, CASE WHEN store_id % 5 = 0 THEN concat(store_name, ' new') ELSE store_name END AS store_name, state,
+       CASE WHEN store_id % 5 = 0 THEN {_CHANGED} ELSE updated_at END AS updated_at FROM v_stores"""
+
 VIEWS["v_staffs"] = f"""
 SELECT s_suppkey AS staff_id, lower(s_name) AS first_name, concat('L', CAST(s_suppkey AS VARCHAR)) AS last_name,
        CAST(s_nationkey AS BIGINT) AS store_id,
@@ -66,6 +74,10 @@ SELECT s_suppkey AS staff_id, lower(s_name) AS first_name, concat('L', CAST(s_su
        {_FIRST} AS created_at, {_FIRST} AS updated_at
 FROM supplier"""
 
+VIEWS["v_staffs_2"] = f"""
+SELECT * REPLACE (CASE WHEN staff_id % 10 = 5 THEN (store_id + 1) % 25 ELSE store_id END AS store_id,
+                  CASE WHEN staff_id % 10 = 5 THEN {_CHANGED} ELSE updated_at END AS updated_at) FROM v_staffs"""
+
 _ORDERS = """
 SELECT order_id, customer_id, order_status, order_date, order_date + 7 AS required_date,
        CASE WHEN order_status = 3 THEN NULL ELSE order_date END AS shipped_date, store_id, order_id % 10 AS staff_id
@@ -134,7 +146,7 @@ VIEWS["customer_history_delta"] = _MERGE.format(deleted_end="h.end_date", stayin
 VIEWS["customer_history_created"] = _MERGE.format(deleted_end=_MERGED, staying="'NOCHANGE'", start="created_at")
 
 VIEWS["product_history"] = f"""
-SELECT n.product_id, n.product_name, n.category_name, o.list_price, o.created_at AS start_date,
+SELECT o.product_id, o.product_name, o.category_name, o.list_price, o.created_at AS start_date,
        CASE WHEN n.list_price = o.list_price THEN {_OPEN} ELSE n.updated_at END AS end_date,
        n.list_price = o.list_price AS current_flag,
        CAST(row_number() OVER (ORDER BY n.product_id) AS BIGINT) AS sk_product_id
@@ -144,17 +156,30 @@ SELECT n.product_id, n.product_name, n.category_name, n.list_price, n.updated_at
        row_number() OVER (ORDER BY n.product_id) + (SELECT count(*) FROM v_products_1)
 FROM v_products_1 o JOIN v_products_2 n ON o.product_id = n.product_id WHERE n.list_price <> o.list_price"""
 
-VIEWS["named_staffs"] = """
+_NAMED_STAFFS = """
 SELECT s.staff_id, s.first_name, s.last_name, CAST(1 AS BIGINT) AS active, st.store_name,
        m.first_name AS manager_first_name, m.last_name AS manager_last_name,
-       coalesce(CAST(s.manager_id AS VARCHAR), 'without manager') AS manager_label, s.created_at, s.updated_at
-FROM v_staffs s LEFT JOIN v_staffs m ON s.manager_id = m.staff_id LEFT JOIN v_stores st ON s.store_id = st.store_id"""
+       coalesce(CAST(s.manager_id AS VARCHAR), 'without manager') AS manager_label, s.created_at,
+       greatest(s.updated_at, m.updated_at, st.updated_at) AS updated_at
+FROM {staffs} s LEFT JOIN {staffs} m ON s.manager_id = m.staff_id LEFT JOIN {stores} st ON s.store_id = st.store_id"""
+VIEWS["named_staffs"] = _NAMED_STAFFS.format(staffs="v_staffs", stores="v_stores")
+VIEWS["named_staffs_2"] = _NAMED_STAFFS.format(staffs="v_staffs_2", stores="v_stores_2")
 
 VIEWS["staff_history"] = f"""
 SELECT staff_id, first_name, store_name, manager_first_name, created_at AS start_date, {_OPEN} AS end_date,
        true AS current_flag, CAST(row_number() OVER (ORDER BY staff_id) AS BIGINT) AS sk_staff_id
 FROM named_staffs"""
 
+VIEWS["staff_history_2"] = f"""
+SELECT o.staff_id, o.first_name, o.store_name, o.manager_first_name, o.start_date,
+       CASE WHEN o.store_name = n.store_name THEN {_OPEN} ELSE n.updated_at END AS end_date,
+       o.store_name = n.store_name AS current_flag, o.sk_staff_id
+FROM staff_history o JOIN named_staffs_2 n ON o.staff_id = n.staff_id
+UNION ALL
+SELECT n.staff_id, n.first_name, n.store_name, n.manager_first_name, n.updated_at, {_OPEN}, true,
+       row_number() OVER (ORDER BY n.staff_id) + (SELECT count(*) FROM staff_history)
+FROM staff_history o JOIN named_staffs_2 n ON o.staff_id = n.staff_id WHERE o.store_name <> n.store_name"""
+
 _SALES = """
 SELECT i.order_id, CAST(c.sk_customer_id AS BIGINT) AS sk_customer_id, o.store_id, s.sk_staff_id, o.order_date, p.sk_product_id,
        i.quantity, i.list_price, i.discount, i.total,
@@ -163,12 +188,12 @@ SELECT i.order_id, CAST(c.sk_customer_id AS BIGINT) AS sk_customer_id, o.store_i
 FROM v_items_{r} i LEFT JOIN v_orders_{r} o ON i.order_id = o.order_id
 LEFT JOIN {customers} c ON o.customer_id = c.customer_id AND o.order_date >= c.start_date AND o.order_date < c.end_date
 LEFT JOIN product_history p ON i.product_id = p.product_id AND o.order_date >= p.start_date AND o.order_date < p.end_date
-LEFT JOIN staff_history s ON o.staff_id = s.staff_id AND o.order_date >= s.start_date AND o.order_date < s.end_date"""
-VIEWS["sales_facts"] = _SALES.format(r=1, customers="customer_history")
+LEFT JOIN {staffs} s ON o.staff_id = s.staff_id AND o.order_date >= s.start_date AND o.order_date < s.end_date"""
+VIEWS["sales_facts"] = _SALES.format(r=1, customers="customer_history", staffs="staff_history")
 VIEWS["hot_items"] = """SELECT * REPLACE (CASE order_id % 3 WHEN 0 THEN 1 WHEN 1 THEN NULL ELSE product_id END AS product_id)
 FROM v_items_1"""
 VIEWS["sales_facts_hot"] = VIEWS["sales_facts"].replace("v_items_1 i", "hot_items i")
-VIEWS["sales_facts_two_runs"] = _SALES.format(r=2, customers="customer_history_delta")
+VIEWS["sales_facts_two_runs"] = _SALES.format(r=2, customers="customer_history_delta", staffs="staff_history_2")
 
 _STOCKS = """
 SELECT k.store_id, p.sk_product_id, s.store_name, k.quantity, p.list_price,
@@ -178,9 +203,9 @@ SELECT k.store_id, p.sk_product_id, s.store_name, k.quantity, p.list_price,
 FROM (SELECT v.*, t.snapshot_time FROM v_stocks v CROSS JOIN (VALUES {times}) t(snapshot_time)) k
 LEFT JOIN product_history p ON k.product_id = p.product_id
       AND k.snapshot_time >= p.start_date AND k.snapshot_time < p.end_date
-LEFT JOIN v_stores s ON k.store_id = s.store_id"""
-VIEWS["stock_facts"] = _STOCKS.format(times="(TIMESTAMP '1999-01-01 00:00:00')")
-VIEWS["stock_facts_two_runs"] = _STOCKS.format(times=f"({_FIRST_RUN}), ({_MERGED})")
+LEFT JOIN {stores} s ON k.store_id = s.store_id"""
+VIEWS["stock_facts"] = _STOCKS.format(times="(TIMESTAMP '1999-01-01 00:00:00')", stores="v_stores")
+VIEWS["stock_facts_two_runs"] = _STOCKS.format(times=f"({_FIRST_RUN}), ({_MERGED})", stores="v_stores_2")
 
 # --- answers --------------------------------------------------------------------------
 
@@ -206,7 +231,10 @@ _FIRST_LOADS = {
     "stocks": "v_stocks",
 }
 _SECOND_LOADS = {
-    "products": "v_products_2 WHERE product_id % 4 = 0",
+    "categories": "(SELECT DISTINCT p_type FROM part WHERE starts_with(p_type, 'S')) t",
+    "brands": "(SELECT DISTINCT p_brand FROM part WHERE starts_with(p_brand, 'Brand#1')) t",
+    "products": "v_products_2 WHERE product_id % 4 = 0", "stores": "nation WHERE n_nationkey % 5 = 0",
+    "staffs": "supplier WHERE s_suppkey % 10 = 5",
     "customers": "v_customers_2 WHERE updated_at > TIMESTAMP '1998-01-01 00:00:00'",
     "orders": "orders WHERE o_orderkey % 50 = 0", "order_items": "lineitem WHERE l_orderkey % 30 = 0",
     "stocks": "v_stocks",
@@ -262,7 +290,26 @@ _HISTORY = f"SELECT customer_id, street, {_INTERVAL}, CAST(sk_customer_id AS BIG
 ANSWERS["scd2_merge"] = _HISTORY + "customer_history"
 ANSWERS["scd2_merge_delta"] = _HISTORY + "customer_history_delta"
 ANSWERS["scd2_merge_from_creation"] = _HISTORY + "customer_history_created"
-ANSWERS["dim_publish"] = _HISTORY.replace("SELECT", "SELECT DISTINCT") + "customer_history"
+_DIMENSION = """SELECT '{name}' AS dimension, {key} AS key, {label} AS label, {interval}, CAST({sk} AS DOUBLE) AS sk FROM {history}"""
+
+
+def _dimensions(customers: str, stores: str) -> str:
+    """The rows of all four dimensions after two rounds."""
+    return "\nUNION ALL\n".join(
+        [
+            _DIMENSION.format(name="customers", key="customer_id", label="street", sk="sk_customer_id", interval=_INTERVAL, history=customers),
+            _DIMENSION.format(name="products", key="product_id", label="CAST(list_price AS VARCHAR)", sk="sk_product_id",
+                              interval=_INTERVAL, history="product_history"),
+            _DIMENSION.format(name="staffs", key="staff_id", label="store_name", sk="sk_staff_id", interval=_INTERVAL,
+                              history="staff_history_2"),
+            _DIMENSION.format(name="stores", key="store_id", label="store_name", sk="NULL", history=stores,
+                              interval="NULL AS start_date, NULL AS end_date, NULL AS current_flag"),
+        ]
+    )
+
+
+ANSWERS["dim_publish"] = _dimensions("customer_history", "v_stores")
+ANSWERS["medallion_run_snapshots"] = _dimensions("customer_history", "v_stores_2")
 ANSWERS["products_denorm"] = f"""SELECT product_id, product_name, model_year, CAST(list_price AS DOUBLE) AS list_price,
        brand_name, category_name, {_AUDIT} FROM v_products_1"""
 ANSWERS["products_history"] = f"""SELECT product_id, CAST(list_price AS DOUBLE) AS list_price, {_INTERVAL}, sk_product_id
@@ -270,7 +317,7 @@ FROM product_history"""
 ANSWERS["staffs_denorm"] = f"""SELECT staff_id, first_name, last_name, active, store_name, manager_first_name,
        manager_last_name, manager_label, {_AUDIT} FROM named_staffs"""
 ANSWERS["staffs_history"] = f"""SELECT staff_id, first_name, store_name, manager_first_name, {_INTERVAL}, sk_staff_id
-FROM staff_history"""
+FROM staff_history_2"""
 ANSWERS["orders_refine"] = """SELECT order_id, customer_id, order_status, CAST(order_date AS VARCHAR) AS order_date,
        CAST(required_date AS VARCHAR) AS required_date, CAST(shipped_date AS VARCHAR) AS shipped_date, store_id, staff_id,
        coalesce(CAST(shipped_date AS VARCHAR), 'not shipped') AS shipped_label FROM v_orders_1"""
@@ -329,7 +376,7 @@ _state = _STATES.format(r=2, customers="customer_history_delta")
 _by_product = f"""SELECT p.{{0}}, {_TOTAL}
 FROM v_items_2 i LEFT JOIN product_history p ON i.product_id = p.product_id AND p.current_flag GROUP BY p.{{0}}"""
 _store = f"""SELECT s.store_name, {_TOTAL}
-FROM v_items_2 i LEFT JOIN v_orders_2 o ON i.order_id = o.order_id LEFT JOIN v_stores s ON o.store_id = s.store_id GROUP BY s.store_name"""
+FROM v_items_2 i LEFT JOIN v_orders_2 o ON i.order_id = o.order_id LEFT JOIN v_stores_2 s ON o.store_id = s.store_id GROUP BY s.store_name"""
 _top = _by_product.format("product_name") + " ORDER BY total DESC, product_name LIMIT 10"
 ANSWERS["medallion_run"] = "\nUNION ALL\n".join(
     [
@@ -343,8 +390,8 @@ ANSWERS["medallion_run"] = "\nUNION ALL\n".join(
         _slice("most_sold_products", f"({_top}) t", ["product_name"], ["total"]),
         _slice("dim_customers", "customer_history_delta", ["current_flag"], ["sk_customer_id"]),
         _slice("dim_products", "product_history", ["current_flag"], ["sk_product_id"]),
-        _slice("dim_staffs", "staff_history", ["current_flag"], ["sk_staff_id"]),
-        _slice("dim_stores", "v_stores", ["store_name"], ["store_id"]),
+        _slice("dim_staffs", "staff_history_2", ["current_flag"], ["sk_staff_id"]),
+        _slice("dim_stores", "v_stores_2", ["store_name"], ["store_id"]),
     ]
 )
 

@@ -74,7 +74,7 @@ def stock_facts(
         rows, products, "product_id", "snapshot_time", ["sk_product_id", "list_price"], hot.get("product_id"), inclusive
     )
     names = stores.select(F.col("store_id").alias("_store_id"), "store_name")
-    rows = spread_left_join(rows, names, "store_id", "_store_id", hot.get("store_id"))
+    rows = rows.join(names, F.col("store_id") == F.col("_store_id"), "left").drop("_store_id")
     rows = rows.select(
         "store_id", "sk_product_id", "store_name", "quantity", "list_price",
         (F.col("quantity") * F.col("list_price")).alias("value_stocked"), "snapshot_time",
@@ -99,21 +99,27 @@ def changed_keys(history: DataFrame, key: str, mark: datetime) -> DataFrame:
 def publish_dimensions(spark: SparkSession, lake: Lake) -> None:
     """Copy the dimensions that changed to gold.
 
-    A history's versions are distinct by construction.
+    A history's versions are distinct by construction. Of a history only the open part and
+    the folders of runs that gold has not seen are copied.
     """
     silver = Silver(spark, lake)
 
     def publish(name: str) -> None:
         if not silver.has(name):
             return
-        table, log = lake.table("gold", f"dim_{name}"), name == "stores"
-        reached = silver.newest_stamp([name], []) if log else silver.newest_stamp([], [name])
+        history, dimension = silver.history(name), lake.history(spark, "gold", name)
+        if dimension.run != history.run or dimension.parts() != history.parts():
+            dimension.take_over(history)
+
+    def publish_stores() -> None:
+        if not silver.has("stores"):
+            return
+        table, reached = lake.table("gold", "dim_stores"), silver.newest_stamp(["stores"], [])
         if not is_current(spark, table, reached):
-            rows = newest_log_rows(silver[name], ["store_id"]) if log else silver[name]
-            replace_table(rows, table, lake.path("gold", f"dim_{name}"))
+            replace_table(newest_log_rows(silver["stores"], ["store_id"]), table, lake.path("gold", "dim_stores"))
             set_mark(spark, table, reached)
 
-    together([partial(publish, name) for name in ("products", "customers", "staffs", "stores")])
+    together([*(partial(publish, name) for name in ("products", "customers", "staffs")), publish_stores])
 
 
 def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
@@ -171,9 +177,9 @@ def _changed_orders(silver: Silver, mark: datetime) -> DataFrame:
     ]
     late = F.col("order_date").cast("timestamp_ntz") >= F.col("_changed_from")
     for name, key in (("customers", "customer_id"), ("staffs", "staff_id")):
-        changes = changed_keys(silver[name], key, mark)
+        changes = changed_keys(silver.history(name).since(mark), key, mark)
         found.append(orders.join(changes, (F.col(key) == F.col("_changed_key")) & late, "left_semi").select("order_id"))
-    changes = changed_keys(silver["products"], "product_id", mark)
+    changes = changed_keys(silver.history("products").since(mark), "product_id", mark)
     sold = (
         items.join(changes, F.col("product_id") == F.col("_changed_key"))
         .groupBy(F.col("order_id").alias("_sold_order"))
@@ -202,7 +208,7 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     if mark is not None:
         changed = stored(_changed_snapshots(silver, mark), "changed-snapshots")
         log = stored(log.join(changed, key, "left_semi"), "changed-stocks")
-    hot = frequent_values(log, ["product_id", "store_id"])
+    hot = frequent_values(log, ["product_id"])
     rows = latest_per_key(
         log.select(*key, "product_id", "quantity", SILVER_STAMP), [*key, "product_id"], [SILVER_STAMP]
     )
@@ -223,7 +229,7 @@ def _changed_snapshots(silver: Silver, mark: datetime) -> DataFrame:
     """Store and snapshot of stock rows that are new or whose fact would differ now."""
     stocks, key = silver["stocks"], ["store_id", "snapshot_time"]
     new = past_mark(stocks, SILVER_STAMP, mark, DAY).select(key)
-    changes = changed_keys(silver["products"], "product_id", mark)
+    changes = changed_keys(silver.history("products").since(mark), "product_id", mark)
     late = F.col("snapshot_time") >= F.col("_changed_from")
     repriced = stocks.join(changes, (F.col("product_id") == F.col("_changed_key")) & late, "left_semi")
     seen = silver["stores"].groupBy(F.col("store_id").alias("_store_id")).agg(

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.lake import Lake
 from tidemark.operators import latest_per_key
 from tidemark.plans.bronze import DAY
 from tidemark.plans.silver import STAMP as SILVER_STAMP
-from tidemark.sources import high_water_mark, latest_of, layer_mark, record_mark, recorded_mark
+from tidemark.sources import latest_of, layer_mark, record_mark, recorded_mark
+from tidemark.versions import VersionStore
 
 _PROPERTY = "tidemark.mark"
 
@@ -32,10 +32,10 @@ class Silver:
     def newest_stamp(self, logs: Sequence[str], histories: Sequence[str]) -> datetime | None:
         """The newest silver run any of the tables has taken part in."""
         marks = [layer_mark(self.spark, self.lake.table("silver", n), SILVER_STAMP, DAY) for n in logs]
-        for name in histories:
-            latest = F.greatest(F.col(SILVER_STAMP), F.col("extraction_closed"))
-            marks.append(high_water_mark(self[name].select(latest.alias("stamp")), "stamp"))
-        return latest_of(*marks)
+        return latest_of(*marks, *(self.history(name).run for name in histories))
+
+    def history(self, name: str) -> VersionStore:
+        return self.lake.history(self.spark, "silver", name)
 
 
 def newest_log_rows(log: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -12,19 +12,16 @@ from tidemark.functions import instant, line_total, or_label, proper_name
 from tidemark.lake import Lake
 from tidemark.operators import (
     first_versions,
-    frequent_values,
     latest_per_key,
-    merge_versions,
+    merge_open,
     past_mark,
-    spread_left_join,
     stored,
 )
-from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY, whole_load_mark
 from tidemark.plans.bronze import STAMP as RAW_STAMP
 from tidemark.plans.together import together
 from tidemark.registry import TABLES
-from tidemark.sinks import append_table, replace_table
+from tidemark.sinks import append_table
 from tidemark.sources import latest_of, layer_mark, record_mark, recorded_mark
 
 STAMP = "extraction_bronze"
@@ -49,38 +46,33 @@ def _stamps(df: DataFrame) -> list[str]:
     return [c for c in (*_AUDIT, RAW_STAMP, STAMP) if c in df.columns]
 
 
-def _lookup(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, take: Mapping[str, str], hot: Shares | None) -> DataFrame:
-    """Left join of ``take`` (column: new name) from a table with one row per key."""
+def _lookup(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, take: Mapping[str, str]) -> DataFrame:
+    """Left join of ``take`` (column: new name) from a table with one row per key.
+
+    Spark broadcasts a small lookup by its size and splits hot keys of a large one.
+    """
     picked = lookup.select(F.col(lookup_key).alias("_lookup_key"), *[F.col(c).alias(n) for c, n in take.items()])
-    return spread_left_join(df, picked, key, "_lookup_key", hot)
+    return df.join(picked, F.col(key) == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 
-def denormalise_products(
-    products: DataFrame, brands: DataFrame, categories: DataFrame, hot: Mapping[str, Shares] | None = None
-) -> DataFrame:
+def denormalise_products(products: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
     """Products with the names of their brand and category in place of the ids."""
-    hot = hot or {}
-    named = _lookup(products, brands, "brand_id", "brand_id", {"brand_name": "brand_name"}, hot.get("brand_id"))
-    named = _lookup(
-        named, categories, "category_id", "category_id", {"category_name": "category_name"}, hot.get("category_id")
-    )
+    named = _lookup(products, brands, "brand_id", "brand_id", {"brand_name": "brand_name"})
+    named = _lookup(named, categories, "category_id", "category_id", {"category_name": "category_name"})
     return named.select(
         "product_id", "product_name", "model_year", "list_price", "brand_name", "category_name", *_stamps(products)
     )
 
 
-def denormalise_staffs(staffs: DataFrame, stores: DataFrame, hot: Mapping[str, Shares] | None = None) -> DataFrame:
+def denormalise_staffs(staffs: DataFrame, stores: DataFrame) -> DataFrame:
     """Staffs with their store's and manager's names.
 
     A renamed store or manager changes the staff row as well, so its ``updated_at`` is
     the newest of the three.
     """
-    hot = hot or {}
     managers = {"first_name": "manager_first_name", "last_name": "manager_last_name", "updated_at": "_manager_at"}
-    named = _lookup(staffs, staffs, "manager_id", "staff_id", managers, hot.get("manager_id"))
-    named = _lookup(
-        named, stores, "store_id", "store_id", {"store_name": "store_name", "updated_at": "_store_at"}, hot.get("store_id")
-    )
+    named = _lookup(staffs, staffs, "manager_id", "staff_id", managers)
+    named = _lookup(named, stores, "store_id", "store_id", {"store_name": "store_name", "updated_at": "_store_at"})
     return (
         named.withColumn("updated_at", F.greatest("updated_at", "_manager_at", "_store_at"))
         .withColumn("manager_label", or_label("manager_id", "without manager"))
@@ -131,7 +123,7 @@ class _Bronze:
 
         Rows from before the last whole load do not count.
         """
-        seen = recorded_mark(self.spark, self.lake.table("silver", name), _SEEN)
+        seen = recorded_mark(self.spark, self.lake.history(self.spark, "silver", name).table, _SEEN)
         return self._newest(name, seen, whole_load_mark(self.spark, self.lake.table("bronze", name)))
 
     def reached(self, name: str) -> datetime | None:
@@ -168,18 +160,19 @@ class _Bronze:
         return latest_per_key(rows, key, order).withColumn(STAMP, instant(self.as_of))
 
 
-def _save_history(
+def save_history(
     spark: SparkSession, lake: Lake, name: str, rows: DataFrame, as_of: str | datetime, batch_kind: str
 ) -> None:
-    table, (key,) = lake.table("silver", name), TABLES[name].key
-    if spark.catalog.tableExists(table):
-        history = spark.table(table)
-        rows = merge_versions(history, rows, key, TABLES[name].tracked, as_of, batch_kind)
-        if rows is history:
-            return
-    else:
-        rows = first_versions(rows, key)
-    replace_table(rows, table, lake.path("silver", name))
+    store, (key,) = lake.history(spark, "silver", name), TABLES[name].key
+    if not store.exists():
+        opened = first_versions(rows, key)
+        store.replace_open(opened, as_of, opened.count())
+        return
+    merged = merge_open(
+        store.open(), store.closed(), rows, key, TABLES[name].tracked, as_of, batch_kind, highest=store.highest
+    )
+    if merged is not None:
+        store.replace_open(merged.versions, as_of, merged.highest)
 
 
 def refine_all(
@@ -194,39 +187,34 @@ def refine_all(
     bronze = _Bronze(spark, lake, as_of)
 
     def history(name: str, save: Callable[[DataFrame], None], every_row: bool = False) -> None:
-        table = lake.table("silver", name)
-        reached = bronze.reached(name)
+        store, reached = lake.history(spark, "silver", name), bronze.reached(name)
         # A snapshot without rows closes all keys, if there are any.
-        closing = kinds[name] == "snapshot" and spark.catalog.tableExists(table)
+        closing = kinds[name] == "snapshot" and store.exists()
         whole = every_row or kinds[name] == "snapshot"
         batch = bronze.whole(name, if_empty=closing) if whole else bronze.changes(name)
         if batch is not None:
             save(batch)
         # Batches without news move the mark too: their rows are never read again.
-        if spark.catalog.tableExists(table) and recorded_mark(spark, table, _SEEN) != reached:
-            record_mark(spark, table, _SEEN, reached)
+        if store.exists() and recorded_mark(spark, store.table, _SEEN) != reached:
+            record_mark(spark, store.table, _SEEN, reached)
 
     def customers() -> None:
         def save(batch: DataFrame) -> None:
-            _save_history(spark, lake, "customers", clean_customers(batch), as_of, kinds["customers"])
+            save_history(spark, lake, "customers", clean_customers(batch), as_of, kinds["customers"])
 
         history("customers", save)
 
     def products() -> None:
         def save(batch: DataFrame) -> None:
-            batch = stored(batch, "products")
-            hot = frequent_values(batch, ["brand_id", "category_id"])
-            named = denormalise_products(batch, bronze.lookup("brands"), bronze.lookup("categories"), hot)
-            _save_history(spark, lake, "products", named, as_of, kinds["products"])
+            named = denormalise_products(batch, bronze.lookup("brands"), bronze.lookup("categories"))
+            save_history(spark, lake, "products", named, as_of, kinds["products"])
 
         history("products", save)
 
     def staffs() -> None:
         def save(batch: DataFrame) -> None:
-            batch = stored(batch, "staffs")
-            hot = frequent_values(batch, ["manager_id", "store_id"])
-            named = denormalise_staffs(batch, bronze.lookup("stores"), hot)
-            _save_history(spark, lake, "staffs", named, as_of, kinds["staffs"])
+            named = denormalise_staffs(stored(batch, "staffs"), bronze.lookup("stores"))
+            save_history(spark, lake, "staffs", named, as_of, kinds["staffs"])
 
         # A renamed store or manager versions staffs that did not change themselves, so
         # the batch is every present staff; unchanged ones fall out in the merge.

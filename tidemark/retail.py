@@ -2,7 +2,8 @@
 
 Two states of the sources: round 1, and round 2 after a day of changes dated
 ``CHANGED_AT`` (moved and new customers, dearer products, re-dated orders, corrected
-items). Customers with ``id % 10 = 1`` are gone in round 2.
+items, staff of other stores, renamed stores, brands and categories). Customers with
+``id % 10 = 1`` are gone in round 2.
 """
 
 from __future__ import annotations
@@ -28,11 +29,15 @@ class Retail:
         return {name: getattr(self, name)(round_) for name in TABLES}
 
     def brands(self, round_: int = 1) -> DataFrame:
-        return self._dated(self.raw("part").select(_brand_id().alias("brand_id"), F.col("p_brand").alias("brand_name")).distinct())
+        """In round 2 brands whose name starts with Brand#1 have another one."""
+        rows = self.raw("part").select(_brand_id().alias("brand_id"), F.col("p_brand").alias("brand_name")).distinct()
+        return self._renamed(rows, "brand_name", F.startswith("brand_name", F.lit("Brand#1")), round_)
 
     def categories(self, round_: int = 1) -> DataFrame:
+        """In round 2 categories whose name starts with S have another one."""
         types = self.raw("part").select("p_type").distinct()
-        return self._dated(types.select(_category_id().alias("category_id"), F.col("p_type").alias("category_name")))
+        rows = types.select(_category_id().alias("category_id"), F.col("p_type").alias("category_name"))
+        return self._renamed(rows, "category_name", F.startswith("category_name", F.lit("S")), round_)
 
     def products(self, round_: int = 1) -> DataFrame:
         price = F.col("p_retailprice").cast("decimal(12,2)")
@@ -74,6 +79,7 @@ class Retail:
         return self._dated(moved, known % 10 == 0).union(joined.select("*", stamp.alias("created_at"), stamp.alias("updated_at")))
 
     def stores(self, round_: int = 1) -> DataFrame:
+        """In round 2 stores with ``id % 5 = 0`` have another name."""
         region = self.raw("region")
         rows = self.raw("nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
             F.col("n_nationkey").cast("long").alias("store_id"),
@@ -82,7 +88,7 @@ class Retail:
             F.col("r_name").alias("state"),
             F.lit(None).cast("string").alias("zip_code"),
         )
-        return self._dated(rows)
+        return self._renamed(rows, "store_name", F.col("store_id") % 5 == 0, round_)
 
     def outlets(self) -> DataFrame:
         """Stores as above, one per supplier, so that they grow with the data."""
@@ -99,19 +105,22 @@ class Retail:
         return self._dated(rows)
 
     def staffs(self, round_: int = 1) -> DataFrame:
+        """In round 2 staff with ``id % 10 = 5`` are in the next store."""
         key = F.col("s_suppkey")
-        return self._dated(
-            self.raw("supplier").select(
-                key.alias("staff_id"),
-                F.lower("s_name").alias("first_name"),
-                F.concat(F.lit("L"), key.cast("string")).alias("last_name"),
-                F.lit(None).cast("string").alias("email"),
-                F.lit(None).cast("string").alias("phone"),
-                F.lit(1).alias("active"),
-                F.col("s_nationkey").cast("long").alias("store_id"),
-                F.when(key % 10 != 0, key - key % 10).alias("manager_id"),
-            )
+        store, moved = F.col("s_nationkey").cast("long"), key % 10 == 5
+        if round_ == 2:
+            store = F.when(moved, (store + 1) % 25).otherwise(store)
+        rows = self.raw("supplier").select(
+            key.alias("staff_id"),
+            F.lower("s_name").alias("first_name"),
+            F.concat(F.lit("L"), key.cast("string")).alias("last_name"),
+            F.lit(None).cast("string").alias("email"),
+            F.lit(None).cast("string").alias("phone"),
+            F.lit(1).alias("active"),
+            store.alias("store_id"),
+            F.when(key % 10 != 0, key - key % 10).alias("manager_id"),
         )
+        return self._dated(rows, (F.col("staff_id") % 10 == 5) if round_ == 2 else None)
 
     def orders(self, round_: int = 1) -> DataFrame:
         """In round 2 orders with ``id % 50 = 0`` are 40 days later and in the next store."""
@@ -165,6 +174,12 @@ class Retail:
         )
         return self._dated(rows)
 
+    def _renamed(self, rows: DataFrame, name: str, changed: Column, round_: int) -> DataFrame:
+        if round_ == 1:
+            return self._dated(rows)
+        dated = self._dated(rows, changed)
+        return dated.withColumn(name, F.when(changed, F.concat(name, F.lit(" new"))).otherwise(F.col(name)))
+
     @staticmethod
     def _dated(rows: DataFrame, changed: Column | None = None) -> DataFrame:
         first = instant(FIRST_AT)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.staging import discard
+
 # Spark's folder name for NULL as a partition value.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -22,17 +23,25 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 def append_table(
     df: DataFrame, table: str, path: str, partition_by: Sequence[str] = (), known_rows: bool = False
 ) -> bool:
-    """Append to an external table, creating it at first. An empty batch writes nothing.
+    """Append to an external table, creating it at first. An empty batch leaves no trace.
 
-    ``known_rows`` spares the look for a first row, which may cost a costly frame twice.
+    The rows are counted while they are written, so the frame is evaluated once.
+    ``known_rows`` spares the look at the count.
     """
-    if not known_rows and df.isEmpty():
-        return False
-    writer = df.write.mode("append").format("parquet").option("path", path)
+    spark, counted = df.sparkSession, Observation()
+    exists = spark.catalog.tableExists(table)
+    rows = df if known_rows else df.observe(counted, F.count("*").alias("rows"))
+    writer = rows.write.mode("append").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
-    return True
+    if known_rows or counted.get["rows"]:
+        return True
+    if not exists:
+        # External: dropping it forgets the name and keeps the folder.
+        spark.sql(f"DROP TABLE {table}")
+        discard(spark, path)
+    return False
 
 
 def _location(spark: SparkSession, table: str) -> str:
@@ -61,19 +70,6 @@ def replace_table(df: DataFrame, table: str, path: str) -> None:
     spark.catalog.createTable(table, path=idle, source="parquet", schema=df.schema)
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather rows by table partition into files of even size.
 
@@ -87,9 +83,7 @@ def append_partitions(
     df: DataFrame, table: str, path: str, partition_by: Sequence[str], known_rows: bool = False
 ) -> bool:
     """:func:`append_table` with the rows gathered by partition."""
-    if not known_rows and df.isEmpty():
-        return False
-    return append_table(_balanced(df, partition_by), table, path, partition_by, known_rows=True)
+    return append_table(_balanced(df, partition_by), table, path, partition_by, known_rows)
 
 
 def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
@@ -141,8 +135,11 @@ def overwrite_partitions(
         return
     columns = spark.table(table).columns
     emptied = set(touched) - set(partitions_of(df, partition_by)) if touched else set()
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        _balanced(df, partition_by).select(*columns).write.mode("overwrite").insertInto(table)
+    # the option, not the session's setting, which other threads see too
+    writer = _balanced(df, partition_by).select(*columns).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
     if emptied:
         _empty_partitions(spark, table, path, partition_by, emptied)
 
