@@ -9,6 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders written inside the innermost scratch scope.
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
@@ -31,12 +32,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid4().hex}"
 
 
+def shed_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete a query's shuffle files when the query ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and a job of many
+    steps fills the disks with files that nobody reads again. A query run once more on the
+    same frame makes them anew.
+    """
+    if spark.conf.get(_SHED, "false") != "true":
+        spark.conf.set(_SHED, "true")
+
+
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the scratch folder and return a scan of it.
 
     Cuts the lineage: a lost executor costs a re-read, never a recomputation, and
     row identities assigned before the write cannot change afterwards.
     """
+    shed_shuffles(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
     written = _written.get()
     if written is not None:

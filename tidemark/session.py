@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
     "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    # Results read twice are written, so the shuffle files of a query can go at its end.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
