@@ -10,8 +10,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _SHED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Folders written inside the innermost scratch scope.
-_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+#: Folders written inside each scratch scope, the innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -51,9 +51,8 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     shed_shuffles(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
-    written = _written.get()
-    if written is not None:
-        written.append(path)
+    if scopes := _scopes.get():
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -72,19 +71,19 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     For work whose outcome is written elsewhere by then, or by :func:`outlasting`.
     """
     paths: list[str] = []
-    token = _written.set(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _written.reset(token)
+        _scopes.reset(token)
         for path in paths:
             discard(spark, path)
 
 
 def outlasting(df: DataFrame, label: str = "result") -> DataFrame:
-    """:func:`stored`, but the folder stays when the scope around it ends."""
-    token = _written.set(None)
+    """:func:`stored`, but in the scope around the innermost one."""
+    token = _scopes.set(_scopes.get()[:-1])
     try:
         return stored(df, label)
     finally:
-        _written.reset(token)
+        _scopes.reset(token)
