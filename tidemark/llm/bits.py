@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import U64
+from tidemark.operators.staging import shed_shuffles
 
 #: Bits of a table as a power of two: 4 MB.
 TABLE_BITS = 25
@@ -18,6 +19,7 @@ TABLE_BITS = 25
 
 def bit_table(hashes: DataFrame, column: str) -> np.ndarray:
     """The table of the hashes in ``column``; the driver gets no more than the table itself."""
+    shed_shuffles(hashes.sparkSession)
     place = F.shiftrightunsigned(column, 64 - TABLE_BITS)
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - TABLE_BITS}) & 63 as int))")
     rows = (

@@ -7,13 +7,11 @@ a number of the caller's, or the mark itself.
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import U64, mix, signed
@@ -38,17 +36,6 @@ def with_owner(docs: DataFrame, *keep: Column) -> DataFrame:
     )
 
 
-def let_go(spark: SparkSession) -> None:
-    """Let the driver collect its garbage, so that shuffle files nobody reads again go.
-
-    Twice: the first time frees what holds on to the shuffles.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def bucket_count(docs: DataFrame, column: str = "text") -> int:
     size = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
     return max(2 * docs.sparkSession.sparkContext.defaultParallelism, size // BUCKET_BYTES)
@@ -187,13 +174,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _shared(held)
 
 
-def shared_spots(packed: DataFrame, buckets: int) -> DataFrame:
+def shared_spots(packed: DataFrame, buckets: int, repeated: DataFrame) -> DataFrame:
     """``(owner, check, spots)``: the spots of each owner whose mark occurs anywhere else
-    too, one row per owner. ``packed`` comes from :class:`Sender`."""
+    too, one row per owner. ``packed`` comes from :class:`Sender`.
+
+    The owners in ``repeated`` stand for any number of rows; they are told no spots.
+    """
     return (
         packed.repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_compare, "owner long, check int, spots array<long>")
+        .join(repeated, OWNER, "left_anti")
         .groupBy(*OWNER)
         .agg(F.flatten(F.collect_list("spots")).alias("spots"))
     )

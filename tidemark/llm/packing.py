@@ -20,8 +20,8 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tidemark.llm.exchange import let_go
 from tidemark.llm.words import slices, texts_of
 from tidemark.operators.staging import stored
 
@@ -39,20 +39,35 @@ def encoding(ranks: str, end_text: str, end_id: int) -> tiktoken.Encoding:
     )
 
 
+@lru_cache(maxsize=2)
+def tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str, ranks: str, named: str) -> list[int]:
+    """The ids of a text: by the ranks, which is faster, or, where a very long run of one
+    character is too much for them, by the tokenizer of the same vocabulary itself."""
+    try:
+        return encoding(ranks, "<|endoftext|>", 50256).encode(text, allowed_special="all")
+    except ValueError:
+        return tokenizer(named).encode(text, add_special_tokens=False).ids
+
+
 def piece_bounds(length: int, most: int) -> list[tuple[int, int]]:
     """``(start, end)`` of the pieces of a document; all but the first are full."""
     first = length % most or most
     return [(0, first), *((a, a + most) for a in range(first, length, most))] if length > most else [(0, length)]
 
 
-def _tokenize(batches: Iterator[pa.RecordBatch], ranks: str, most: int, close: int) -> Iterator[pa.RecordBatch]:
-    bpe = encoding(ranks, "<|endoftext|>", 50256)
+def _tokenize(
+    batches: Iterator[pa.RecordBatch], ranks: str, named: str, most: int, close: int
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
         for begin, end in slices(texts):
             rows = []
             for i, text in enumerate(texts[begin:end].to_pylist(), begin):
-                ids = np.array([*bpe.encode(text, allowed_special="all"), close], "<u4")
+                ids = np.array([*token_ids(text, ranks, named), close], "<u4")
                 rows += [
                     (i, number, a, b - a, zlib.crc32(ids[a:b].tobytes()))
                     for number, (a, b) in enumerate(piece_bounds(len(ids), most))
@@ -123,13 +138,19 @@ def _pack(batches: Iterator[pa.RecordBatch], most: int, open_bins: int) -> Itera
 
 
 def pack(
-    docs: DataFrame, most: int = 2048, open_bins: int = 4096, close: int = 0, ranks: str | None = None
+    docs: DataFrame,
+    most: int = 2048,
+    open_bins: int = 4096,
+    close: int = 0,
+    ranks: str | None = None,
+    named: str | None = None,
 ) -> DataFrame:
     """Cut the tokens of all documents into sequences of at most ``most``.
 
     ``docs`` needs ``doc_id`` and ``text``. A document is its token ids, then ``close``;
     one longer than ``most`` is cut into full pieces, the first of which may be shorter.
-    ``ranks`` is the vocabulary, a tiktoken file (default: the public 50k byte-level BPE).
+    ``named`` is the tokenizer and ``ranks`` the same vocabulary as a tiktoken file
+    (default: the public 50k byte-level BPE).
     Returns per piece ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     Null and empty texts are the one token ``close``. Rows with a null or repeated doc_id
@@ -139,14 +160,15 @@ def pack(
     size of the corpus; each leaves at most ``open_bins`` sequences that are not full.
     """
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    named = named or public_tokenizers.path("byte_bpe_50k.json")
     pieces = docs.select("doc_id", "text").mapInArrow(
-        partial(_tokenize, ranks=ranks, most=most, close=close),
+        partial(_tokenize, ranks=ranks, named=named, most=most, close=close),
         "doc_id long, piece int, start long, length long, ids_crc32 long",
     )
     # numbered before they are written, so that equal rows part and a retry deals as before
     pieces = stored(pieces.withColumn("turn", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     tasks = max(1, round(pieces.count() / PIECES_PER_TASK))
-    packed = (
+    return (
         pieces.withColumn("task", F.pmod("turn", F.lit(tasks)))
         .repartition(tasks, "task")
         .sortWithinPartitions("task", "turn")
@@ -155,5 +177,3 @@ def pack(
             "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
         )
     )
-    let_go(docs.sparkSession)
-    return packed

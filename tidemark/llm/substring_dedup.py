@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.exchange import OWNER, PACKED, Sender, bucket_count, let_go, shared_spots, with_owner
+from tidemark.llm.exchange import OWNER, PACKED, Sender, bucket_count, shared_spots, with_owner
 from tidemark.llm.recompression import covering, recompress
 from tidemark.llm.words import U64, Words, signed, slices, texts_of
 from tidemark.operators.staging import stored
@@ -93,13 +93,16 @@ def _send_windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int)
     for batch in batches:
         owner, check, texts = np.asarray(batch.column(0)), np.asarray(batch.column(1)), texts_of(batch.column(2))
         for begin, end in slices(texts):
-            spots = batch.column(3)[begin:end].flatten()
-            shared = np.unique(np.asarray(spots).view(U64))
-            if not len(shared):
+            spots = batch.column(3)[begin:end]
+            shared, whole = np.unique(np.asarray(spots.flatten()).view(U64)), np.asarray(spots.is_null())
+            if not len(shared) and not whole.any():
                 continue
             marks = _Marks(texts[begin:end], window)
-            at = marks.candidates(shared)
-            of = marks.words.text_of_words()[at]
+            texts_of_words = marks.words.text_of_words()
+            at = np.flatnonzero(marks.full & whole[texts_of_words])
+            if len(shared):
+                at = np.union1d(at, marks.candidates(shared))
+            of = texts_of_words[at]
             second = marks.words.runs(marks.words.hashes(1), window, 1)[at]
             yield from sender.add(
                 owner[begin + of],
@@ -113,12 +116,14 @@ def _send_windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int)
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spots = batch.column(1), batch.column(2)
+        texts, spots, whole = batch.column(1), batch.column(2), batch.column(3).to_pylist()
         n_words, n_removed, kept, digests = [], [], [], []
         for i in range(len(texts)):
             words = (texts[i].as_py() or "").encode().split()
             n_words.append(len(words))
-            if len(found := spots[i].values or ()):
+            if whole[i] and len(words) >= window:
+                words = []
+            elif len(found := spots[i].values or ()):
                 begin = np.asarray(found)
                 gone = covering(begin, begin + window, len(words))
                 words = [word for word, cut in zip(words, gone.tolist()) if not cut]
@@ -138,19 +143,24 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
         )
 
 
-def repeated_windows(docs: DataFrame, window: int = 35) -> DataFrame:
+def repeated_windows(docs: DataFrame, repeated: DataFrame, window: int = 35) -> DataFrame:
     """``(owner, check, spots)``: first words of the windows of each document that occur
-    anywhere else, in the same document or another one."""
+    anywhere else, in the same document or another one.
+
+    ``repeated`` are the owners of two rows or more, of which every window does. All of
+    their rows take part in the first exchange, one of each in the second.
+    """
     keyed = with_owner(docs.where("text IS NOT NULL"), F.col("text"))
     buckets = bucket_count(docs)
-    names = shared_spots(keyed.mapInArrow(partial(_send_names, window=window, buckets=buckets), PACKED), buckets)
-    names = stored(names, "names").withColumnRenamed("spots", "names")
-    let_go(docs.sparkSession)
-    likely = keyed.join(names, OWNER).select(*OWNER, "text", "names")
-    spots = shared_spots(likely.mapInArrow(partial(_send_windows, window=window, buckets=buckets), PACKED), buckets)
-    spots = stored(spots, "windows")
-    let_go(docs.sparkSession)
-    return spots
+    sent = keyed.mapInArrow(partial(_send_names, window=window, buckets=buckets), PACKED)
+    names = stored(shared_spots(sent, buckets, repeated), "names").withColumnRenamed("spots", "names")
+    one_each = keyed.join(repeated, OWNER, "left_semi").dropDuplicates(OWNER)
+    likely = (
+        keyed.join(names, OWNER).select(*OWNER, "text", "names")
+        .union(one_each.select(*OWNER, "text", F.lit(None).cast("array<long>")))
+    )
+    sent = likely.mapInArrow(partial(_send_windows, window=window, buckets=buckets), PACKED)
+    return stored(shared_spots(sent, buckets, repeated), "windows")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, row: list[str] | None = None) -> DataFrame:
@@ -162,13 +172,17 @@ def remove_repeats(docs: DataFrame, window: int = 35, row: list[str] | None = No
 
     Every copy of a repeated passage goes, the first one too. Null and empty texts have no
     words. Texts shorter than the window keep all. Identical rows, ids included, count as
-    two documents: their windows repeat each other. A null doc_id is an id like any other.
+    documents of their own: their windows repeat each other, so all words of a text as long
+    as a window go, and no task gathers what the rows of one such text have found. A null doc_id is an id like any other.
     """
-    spots = repeated_windows(docs, window)
+    owners = with_owner(docs.where("text IS NOT NULL")).groupBy(*OWNER).agg(F.count("*").alias("rows"))
+    repeated = stored(owners.where("rows > 1").select(*OWNER), "repeated")
+    spots = repeated_windows(docs, repeated, window)
     keyed = with_owner(docs, F.struct(*(row or docs.columns)).alias("row"), F.col("text"))
     return (
         keyed.join(spots, OWNER, "left")
-        .select("row", "text", "spots")
+        .join(repeated.withColumn("whole", F.lit(True)), OWNER, "left")
+        .select("row", "text", "spots", F.coalesce("whole", F.lit(False)).alias("whole"))
         .mapInArrow(
             partial(_cut, window=window),
             keyed.select("row").schema.add("n_words", "long").add("n_removed", "long")
