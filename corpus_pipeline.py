@@ -12,7 +12,7 @@ from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.substring_dedup import remove_repeats
-from tidemark.operators.staging import stored
+from tidemark.operators.staging import discard, outlasting, scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,10 +26,15 @@ def _among(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; the verdict depends on text and language."""
+    """Documents that the quality rules reject go; the verdict depends on text and language.
+
+    Null and empty texts have no words and are rejected. Equal rows share a verdict; ids,
+    null or repeated, play no part. No documents give no documents.
+    """
     key = F.struct(F.xxhash64("text", "lang").alias("a"), F.hash("lang", "text").alias("b"))
-    judged = quality_rules(docs.select(key.alias("doc_id"), "text", "lang"))
-    rejected = stored(judged.where(~F.col("kept")).select("doc_id.*").distinct(), "rejected")
+    with scratch_scope(spark):
+        judged = quality_rules(docs.select(key.alias("doc_id"), "text", "lang"))
+        rejected = outlasting(judged.where(~F.col("kept")).select("doc_id.*").distinct(), "rejected")
     same = (F.xxhash64(docs["text"], docs["lang"]) == rejected["a"]) & (
         F.hash(docs["lang"], docs["text"]) == rejected["b"]
     )
@@ -42,12 +47,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows equal in doc_id and text one stays; rows that share a doc_id only are versions
     of one document and share its fate. Rows without a doc_id or without words stay.
     """
-    fates = stored(
-        near_duplicates(docs, k=5, percent=80)
-        .groupBy(F.col("doc_id").alias("id"))
-        .agg(F.count("*").alias("n"), F.bool_and("kept").alias("kept")),
-        "fates",
-    )
+    with scratch_scope(spark):
+        fates = outlasting(
+            near_duplicates(docs, k=5, percent=80)
+            .groupBy(F.col("doc_id").alias("id"))
+            .agg(F.count("*").alias("n"), F.bool_and("kept").alias("kept")),
+            "fates",
+        )
     left = _among(docs, fates.where(~F.col("kept")).select("id"), "left_anti")
     repeated = fates.where("kept AND n > 1").select("id")
     once = _among(left, repeated, "left_anti")
@@ -55,7 +61,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages leave the texts; a text without any stays as it is, byte by byte."""
+    """Repeated passages leave the texts; a text without any stays as it is, byte by byte.
+
+    Null and empty texts stay as they are. Of equal rows each counts as a document, so their
+    texts lose all words if they are as long as a window. No row goes.
+    """
     cut = remove_repeats(docs)
     changed = F.col("kept_text").isNotNull()
     return cut.select(
@@ -66,17 +76,27 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of a benchmark item go."""
+    """Documents with a passage of a benchmark item go.
+
+    Null and empty texts hold no passage and stay, as do all documents where the benchmark
+    is empty. A document is known by 64 bits of its doc_id and text, so equal rows share a
+    fate, and null ids are ids like any other.
+    """
     key = F.xxhash64("doc_id", "text")
-    found = benchmark_passages(
-        docs.select(key.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    )
-    leaks = stored(found.select(F.col("doc_id").alias("leak")).distinct(), "leaks")
+    with scratch_scope(spark):
+        found = benchmark_passages(
+            docs.select(key.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+        )
+        leaks = outlasting(found.select(F.col("doc_id").alias("leak")).distinct(), "leaks")
     return docs.join(leaks, F.xxhash64(docs["doc_id"], docs["text"]) == leaks["leak"], "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of all documents in sequences of at most 2048."""
+    """The tokens of all documents in sequences of at most 2048.
+
+    Null and empty texts are the one token that closes a document. Each row is a document of
+    its own, its doc_id null or repeated. Equal pieces share out places in any order.
+    """
     return pack(docs)
 
 
@@ -90,7 +110,15 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages, each written and reread; what they wrote besides is deleted at their end."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
+    return docs
