@@ -14,13 +14,13 @@ from tidemark.lake import Lake
 from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, spread_left_join, stored
 from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY
+from tidemark.plans.orders import SALES_PARTITIONS, OrderIndex, of_days
 from tidemark.plans.progress import Silver, is_current, mark_of, newest_log_rows, set_mark
 from tidemark.plans.silver import STAMP as SILVER_STAMP
 from tidemark.plans.together import together
 from tidemark.sinks import overwrite_partitions, partitions_of, replace_rows, replace_table
 
 STAMP = "extraction_silver"
-SALES_PARTITIONS = ("year", "quarter", "month")
 STOCK_PARTITIONS = ("store_name", "year", "month")
 
 Hot = Mapping[str, Shares]
@@ -136,12 +136,15 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     reached = silver.newest_stamp(["order_items", "orders"], ["customers", "products", "staffs"])
     if is_current(spark, table, reached):
         return
-    mark = mark_of(spark, table)
+    mark, index = mark_of(spark, table), OrderIndex(spark, lake)
+    if not index.exists():
+        mark = None
     items_log, orders_log = silver["order_items"], silver["orders"]
     if mark is not None:
-        changed = stored(_changed_orders(silver, mark), "changed-orders")
-        items_log = stored(items_log.join(changed, "order_id", "left_semi"), "changed-items")
-        orders_log = stored(orders_log.join(changed, "order_id", "left_semi"), "changed-headers")
+        changed = stored(_changed_orders(silver, index, mark), "changed-orders")
+        days = index.days_of(changed, mark)
+        items_log = stored(of_days(items_log, days).join(changed, "order_id", "left_semi"), "changed-items")
+        orders_log = stored(of_days(orders_log, days).join(changed, "order_id", "left_semi"), "changed-headers")
     hot = {
         **frequent_values(items_log, ["order_id", "product_id"]),
         **frequent_values(orders_log, ["customer_id", "staff_id"]),
@@ -153,14 +156,14 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     if mark is None:
         # A table without a mark is the remains of a first load that broke off.
         overwrite_partitions(facts, table, path, SALES_PARTITIONS, _all_partitions(spark, table, SALES_PARTITIONS))
+        index.rebuild(items_log, orders_log)
     else:
         # Every header an order ever had tells a month its rows may lie in; without a
         # header they lie in the month NULL.
         dated = with_calendar(orders_log.select("order_date"), "order_date")
-        months = {*partitions_of(dated, SALES_PARTITIONS), (None,) * len(SALES_PARTITIONS)}
-        replace_rows(
-            stored(facts, "sales"), changed, ["order_id"], table, path, SALES_PARTITIONS, sorted(months, key=str)
-        )
+        months = sorted({*partitions_of(dated, SALES_PARTITIONS), (None,) * len(SALES_PARTITIONS)}, key=str)
+        replace_rows(stored(facts, "sales"), changed, ["order_id"], table, path, SALES_PARTITIONS, months)
+        index.replace(changed, items_log, orders_log, months)
     set_mark(spark, table, reached)
 
 
@@ -169,24 +172,18 @@ def _all_partitions(spark: SparkSession, table: str, partition_by: Sequence[str]
     return partitions_of(spark.table(table), partition_by) if spark.catalog.tableExists(table) else []
 
 
-def _changed_orders(silver: Silver, mark: datetime) -> DataFrame:
-    items, orders = silver["order_items"], silver["orders"]
+def _changed_orders(silver: Silver, index: OrderIndex, mark: datetime) -> DataFrame:
+    """Orders with rows past ``mark``, and those whose dimension rows changed.
+
+    Of the logs only the days past the mark are read; the index tells the other orders, and
+    is not read either unless a dimension has changed.
+    """
     found = [
-        past_mark(items, SILVER_STAMP, mark, DAY).select("order_id"),
-        past_mark(orders, SILVER_STAMP, mark, DAY).select("order_id"),
+        past_mark(silver[name], SILVER_STAMP, mark, DAY).select("order_id") for name in ("order_items", "orders")
     ]
-    late = F.col("order_date").cast("timestamp_ntz") >= F.col("_changed_from")
-    for name, key in (("customers", "customer_id"), ("staffs", "staff_id")):
-        changes = changed_keys(silver.history(name).since(mark), key, mark)
-        found.append(orders.join(changes, (F.col(key) == F.col("_changed_key")) & late, "left_semi").select("order_id"))
-    changes = changed_keys(silver.history("products").since(mark), "product_id", mark)
-    sold = (
-        items.join(changes, F.col("product_id") == F.col("_changed_key"))
-        .groupBy(F.col("order_id").alias("_sold_order"))
-        .agg(F.min("_changed_from").alias("_changed_from"))
-    )
-    sold = stored(sold, "sold")
-    found.append(orders.join(sold, (F.col("order_id") == F.col("_sold_order")) & late, "left_semi").select("order_id"))
+    for name, key in (("customers", "customer_id"), ("staffs", "staff_id"), ("products", "product_id")):
+        if (silver.history(name).run or mark) > mark:
+            found.append(index.sold(changed_keys(silver.history(name).since(mark), key, mark), key))
     return reduce(DataFrame.union, found).distinct()
 
 

@@ -161,7 +161,7 @@ class _Bronze:
 
 
 def save_history(
-    spark: SparkSession, lake: Lake, name: str, rows: DataFrame, as_of: str | datetime, batch_kind: str
+    spark: SparkSession, lake: Lake, name: str, rows: DataFrame, as_of: str | datetime, batch_kind: str = "delta"
 ) -> None:
     store, (key,) = lake.history(spark, "silver", name), TABLES[name].key
     if not store.exists():
