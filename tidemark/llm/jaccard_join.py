@@ -9,7 +9,7 @@ spare most of the work that is left:
   relation to their hub. Blocks are held against blocks, and a pair of blocks whose sizes or
   positions leave too little room for common tokens is skipped as a whole.
 * *Answer skipping.* Every set is first compared with one *hub*, a set of one of its lists
-  that has fewest tokens of its own; this gives the number ``c`` of their common tokens. The
+  that has fewest tokens of its own and then most tokens; this gives the number ``c`` of their common tokens. The
   answers of two sets of one hub follow from the hub's: they have at least ``c1 + c2 - hub``
   and at most ``min(c1, c2)`` tokens of the hub in common, and others only as far as both
   have tokens outside the hub that are not theirs alone. Pairs that this decides, and those
@@ -127,7 +127,8 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
     """``(u, v)``: each set ``u`` with one hub ``v`` of its lists, of another label."""
-    order = F.struct("own", "n", F.col("cls").alias("hub"), "label")
+    # no tokens of its own, and none lost: the likeliest middle of a group of copies
+    order = F.struct("own", (-F.col("n")).alias("less"), F.col("cls").alias("hub"), "label")
     hubs = stored(entries.groupBy("token").agg(F.min(order).alias("best")), "hubs")
     return (
         entries.join(hubs, "token").where("label <> best.label")
