@@ -91,7 +91,7 @@ def test_publication_copies_new_folders_only(spark, lake):
 
 def test_a_run_reads_the_days_of_changed_orders_only(spark, lake):
     shop = Shop()
-    for n in range(10, 16):
+    for n in (10, 12, 15):
         shop.order(n, 1, f"2016-02-{n}", created_at=at(f"2016-02-{n}"), updated_at=at(f"2016-02-{n}"))
         shop.item(n, 1, 1, 1, created_at=at(f"2016-02-{n}"), updated_at=at(f"2016-02-{n}"))
         go(spark, lake, shop, f"2016-02-{n} 12:00:00")
@@ -111,9 +111,9 @@ def test_a_run_reads_the_days_of_changed_orders_only(spark, lake):
     shop.put("products", product_id=1, list_price=11.0, updated_at=at("2016-02-14"))
     refine(spark, lake, shop, "2016-02-16 00:00:00")
     found = gold._changed_orders(silver_tables, index, mark).orderBy("order_id").collect()
-    assert [r.order_id for r in found] == [4, 13, 14, 15]
+    assert [r.order_id for r in found] == [4, 15]
     gold.load_sales(spark, lake, "2016-02-16 00:00:00")
     assert content(spark, lake.table("gold", "fact_sales")) == rebuilt_sales(spark, lake)
     rows = spark.table(index.table).where("order_id IN (4, 50)").orderBy("order_id").collect()
     assert [(r.order_id, sorted(r.product_ids), r.customer_id) for r in rows] == [(4, [1, 2], 1), (50, [3], None)]
-    assert spark.table(index.table).count() == spark.table(index.table).select("order_id").distinct().count() == 11
+    assert spark.table(index.table).count() == spark.table(index.table).select("order_id").distinct().count() == 8
