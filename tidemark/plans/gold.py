@@ -14,7 +14,7 @@ from tidemark.lake import Lake
 from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, spread_left_join, stored
 from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY
-from tidemark.plans.orders import SALES_PARTITIONS, OrderIndex, of_days
+from tidemark.plans.orders import SALES_PARTITIONS, OrderIndex, changed_orders, of_days
 from tidemark.plans.progress import Silver, is_current, mark_of, newest_log_rows, set_mark
 from tidemark.plans.silver import STAMP as SILVER_STAMP
 from tidemark.plans.together import together
@@ -178,9 +178,7 @@ def _changed_orders(silver: Silver, index: OrderIndex, mark: datetime) -> DataFr
     Of the logs only the days past the mark are read; the index tells the other orders, and
     is not read either unless a dimension has changed.
     """
-    found = [
-        past_mark(silver[name], SILVER_STAMP, mark, DAY).select("order_id") for name in ("order_items", "orders")
-    ]
+    found = [changed_orders(silver["order_items"], silver["orders"], mark)]
     for name, key in (("customers", "customer_id"), ("staffs", "staff_id"), ("products", "product_id")):
         if (silver.history(name).run or mark) > mark:
             found.append(index.sold(changed_keys(silver.history(name).since(mark), key, mark), key))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import with_calendar
 from tidemark.lake import Lake
-from tidemark.operators import stored
+from tidemark.operators import past_mark, stored
 from tidemark.plans.bronze import DAY
 from tidemark.plans.progress import newest_log_rows
 from tidemark.sinks import overwrite_partitions, partitions_of, replace_rows
@@ -28,6 +28,12 @@ def of_days(log: DataFrame, days: Sequence[date]) -> DataFrame:
     return log.where(F.col(DAY).isin(list(days)))
 
 
+def changed_orders(items_log: DataFrame, orders_log: DataFrame, mark: datetime) -> DataFrame:
+    """``order_id`` of the orders with rows past ``mark``; older days are not read."""
+    found = [past_mark(log, "extraction_bronze", mark, DAY).select("order_id") for log in (items_log, orders_log)]
+    return found[0].union(found[1]).distinct()
+
+
 class OrderIndex:
     """``order_id, customer_id, staff_id, order_date, product_ids, days`` by month of the order."""
 

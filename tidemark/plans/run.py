@@ -26,16 +26,17 @@ def run_lake(
     ``batch_kinds`` names the history tables to take whole (``"snapshot"``), so that
     keys gone from the source close; the others send their changes only. A run that
     broke off is continued by the next one: every step picks up from what the tables
-    hold. Marts, dimensions and facts read silver only and are built side by side; what a
+    hold. Dimensions and facts are built side by side; what a
     run keeps between its steps is deleted at its end.
     """
     whole = [name for name, kind in (batch_kinds or {}).items() if kind == "snapshot"]
     with scratch_scope(spark):
         bronze.load_all(spark, lake, sources, as_of, whole)
         silver.refine_all(spark, lake, as_of, batch_kinds)
+        # reads the index of orders that the sales bring up to date
+        marts.build_marts(spark, lake)
         together(
             [
-                lambda: marts.build_marts(spark, lake),
                 lambda: gold.publish_dimensions(spark, lake),
                 lambda: gold.load_sales(spark, lake, as_of),
                 lambda: gold.load_stocks(spark, lake, as_of),
