@@ -5,9 +5,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import frequent_values, join_as_of, spread_left_join
+from tidemark.operators import frequent_values, join_as_of, long_histories, spread_left_join
 
-T0 = datetime(2020, 1, 1)
+T0 = EPOCH = datetime(2020, 1, 1)
 VERSIONS = "k long, start_date timestamp_ntz, end_date timestamp_ntz, sk long"
 
 
@@ -150,3 +150,32 @@ def test_hot_keys_are_dealt_out_by_the_engine_itself(spark):
 
     plan = QUERIES["fact_sales_hot_keys"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "_piece" in plan
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_long_histories_are_met_bin_by_bin(spark, inclusive):
+    rng = random.Random(11)
+    rows = []
+    for key, n in ((1, 3000), (2, 500), (3, 3), (None, 2)):
+        start = 0
+        for i in range(n):
+            end = start + rng.choice([1, 2, 60, 3600, 86_400, 400_000])
+            # some versions overlap, one of each key stays open
+            last = datetime(9999, 12, 31) if i == n - 1 else EPOCH + timedelta(seconds=end + rng.choice([0, 0, 0, 50_000]))
+            rows.append((key, EPOCH + timedelta(seconds=start), last, i))
+            start = end
+    history = spark.createDataFrame(rows, "k long, start_date timestamp_ntz, end_date timestamp_ntz, version int")
+    spread = 3000 * 80_000
+    made = [(i, rng.choice([1, 1, 1, 2, 3, 4, None]), EPOCH + timedelta(seconds=rng.randrange(-10**6, spread))) for i in range(4000)]
+    made += [(4000 + i, r[0], r[1], ) for i, r in enumerate(rows[:50])]
+    facts = spark.createDataFrame(made, "id long, k long, at timestamp_ntz")
+    long = long_histories(history, "k")
+    assert {r._long_key for r in long.collect()} == {1, 2}
+    plain = join_as_of(facts, history, "k", "at", ["version"], inclusive=inclusive)
+    binned = join_as_of(facts, history, "k", "at", ["version"], inclusive=inclusive, long=long)
+    spread_too = join_as_of(facts, history, "k", "at", ["version"], {1: 0.5, None: 0.1}, inclusive, long)
+    wanted = Counter(map(tuple, plain.collect()))
+    assert Counter(map(tuple, binned.collect())) == wanted and Counter(map(tuple, spread_too.collect())) == wanted
+    assert long_histories(history.where("k = 3"), "k") is None
+    plan = binned._jdf.queryExecution().optimizedPlan().toString()
+    assert "_fact_bin" in plan and "_version_bin" in plan

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import latest_per_key, newer_than, number_rows
+from tidemark.operators import latest_per_key, newer_than, newest_of_runs, number_rows
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
@@ -52,3 +52,18 @@ def test_newer_than_is_strict_and_distinct(spark):
     )
     assert [r.id for r in newer_than(rows, "at", "2020-01-01 00:00:00").collect()] == [2]
     assert newer_than(rows, "at", None).count() == 3
+
+
+def test_newest_of_runs_neither_sorts_nor_touches_a_single_run(spark):
+    first = spark.range(1000).select(F.col("id").alias("k"), F.lit("1").alias("v"), F.lit("2020-01-01").cast("timestamp_ntz").alias("run"))
+    assert newest_of_runs(first, ["k"], "run") is first
+    second = first.where("k < 30").withColumns({"v": F.lit("2"), "run": F.lit("2020-01-02").cast("timestamp_ntz")})
+    third = second.where("k < 10").union(second.where("k = 20").withColumn("k", F.lit(5000))).withColumns(
+        {"v": F.lit("3"), "run": F.lit("2020-01-03").cast("timestamp_ntz")}
+    )
+    newest = newest_of_runs(first.union(second).union(third), ["k"], "run")
+    assert {r.k: r.v for r in newest.collect()} == {
+        k: "3" if k < 10 or k == 5000 else "2" if k < 30 else "1" for k in [*range(1000), 5000]
+    }
+    assert newest.count() == 1001
+    assert "SortAggregate" not in newest._jdf.queryExecution().executedPlan().toString()

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import partial, reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +23,13 @@ from tidemark.operators import (
     frequent_values,
     join_as_of,
     latest_per_key,
+    long_histories,
     merge_versions,
     newer_than,
+    newest_of_runs,
     number_rows,
 )
-from tidemark.operators.staging import scratch_path
+from tidemark.operators.staging import scratch_path, stored
 from tidemark.plans import bronze, gold, marts, silver
 from tidemark.plans.run import run_lake
 from tidemark.plans.together import together
@@ -326,6 +328,15 @@ def newest_per_key(spark, retail):
     return latest_per_key(both, ["order_id"], ["updated_at"]).select("order_id", "order_date", "store_id", "updated_at")
 
 
+@query
+def newest_rows_of_log(spark, retail):
+    """A log of three runs: all orders, those changed since, and some of these once more."""
+    changed = retail.orders(2).where("order_id % 50 = 0")
+    runs = [(retail.orders(1), FIRST_RUN), (changed, "1999-01-01 00:00:00"), (changed.where("order_id % 100 = 0"), SECOND_RUN)]
+    log = reduce(DataFrame.union, [df.withColumn("run", instant(at)) for df, at in runs])
+    return newest_of_runs(log, ["order_id"], "run").select("order_id", "order_date", "store_id", "run")
+
+
 @query
 def scd2_initial(spark, retail):
     return first_versions(_customers(retail, 1), "customer_id").drop("extraction_closed")
@@ -444,6 +455,20 @@ def pit_join_inclusive(spark, retail):
     return gaps(joined, "sk_customer_id")
 
 
+@query
+def pit_join_long_history(spark, retail):
+    """Items of three keys whose price has a version for every order date."""
+    dates = retail.orders().select((F.col("order_id") % 3).alias("price_id"), F.col("order_date").cast("timestamp_ntz").alias("start_date"))
+    following = F.lead("start_date").over(Window.partitionBy("price_id").orderBy("start_date"))
+    end = F.coalesce(following, instant("9999-12-31")).alias("end_date")
+    prices = dates.distinct().select("*", end, F.dayofyear("start_date").alias("price"))
+    items = retail.order_items().select("order_id", (F.col("order_id") % 3).alias("price_id"), "shipped_at")
+    hot = frequent_values(items, ["price_id"])["price_id"]
+    prices = stored(prices, "prices")
+    joined = join_as_of(items, prices, "price_id", "shipped_at", ["price"], hot, long=long_histories(prices, "price_id"))
+    return gaps(joined, "price")
+
+
 def _sales_facts(retail: Retail, items: DataFrame) -> DataFrame:
     orders = retail.orders()
     hot = {

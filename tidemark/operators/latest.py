@@ -23,6 +23,21 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return grouped.select(*[F.col(c) if c in key else F.col(f"newest.{c}").alias(c) for c in df.columns])
 
 
+def newest_of_runs(log: DataFrame, key: Sequence[str], run: str) -> DataFrame:
+    """The newest row per key of a log in which a run has each key once at most.
+
+    Nothing to do for a log of one run. Else the keys of the later runs, which are few,
+    tell which rows are out of date: a hash aggregate of their stamps and one join, so
+    the rows of the first run are neither sorted nor, beside few keys, moved.
+    """
+    first, last = log.agg(F.min(run), F.max(run)).first()
+    if first == last:
+        return log
+    later = log.where(F.col(run) > F.lit(first)).groupBy(*key).agg(F.max(run).alias("_newest"))
+    kept = log.join(later, list(key), "left").where(F.col("_newest").isNull() | (F.col(run) == F.col("_newest")))
+    return kept.select(log.columns)
+
+
 def past_mark(df: DataFrame, column: str, mark: datetime | str | None, day: str | None = None) -> DataFrame:
     """The rows strictly past ``mark``; all rows if there is none.
 

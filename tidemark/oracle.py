@@ -283,6 +283,9 @@ ANSWERS["surrogate_keys"] = """SELECT order_id, CAST(order_date AS VARCHAR) AS o
        100 + row_number() OVER (ORDER BY order_date, order_id) AS sk_order_id FROM v_orders_1"""
 ANSWERS["newest_per_key"] = """SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, store_id,
        CASE WHEN order_id % 50 = 0 THEN '1998-06-01 00:00:00' ELSE '1990-01-01 00:00:00' END AS updated_at FROM v_orders_2"""
+ANSWERS["newest_rows_of_log"] = """SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, store_id,
+       CASE WHEN order_id % 100 = 0 THEN '1999-06-01 00:00:00' WHEN order_id % 50 = 0 THEN '1999-01-01 00:00:00'
+            ELSE '1998-01-01 00:00:00' END AS run FROM v_orders_2"""
 _INTERVAL = f"{_time('start_date')} AS start_date, {_time('end_date')} AS end_date, current_flag"
 ANSWERS["scd2_initial"] = f"SELECT {_CUSTOMER}, {_INTERVAL}, sk_customer_id FROM first_customers"
 ANSWERS["scd2_actions"] = "SELECT customer_id, action FROM customer_actions"
@@ -338,6 +341,13 @@ SELECT o.order_id, o.customer_id, CAST(o.order_date AS VARCHAR) AS order_date,
        CAST(c.sk_customer_id AS DOUBLE) AS sk_customer_id
 FROM v_orders_1 o LEFT JOIN customer_history c
   ON o.customer_id = c.customer_id AND o.order_date BETWEEN c.start_date AND c.end_date"""
+ANSWERS["pit_join_long_history"] = f"""
+SELECT i.order_id, i.order_id % 3 AS price_id, {_time('i.shipped_at')} AS shipped_at, CAST(p.price AS DOUBLE) AS price
+FROM v_items_1 i LEFT JOIN (
+  SELECT price_id, start_date, dayofyear(start_date) AS price,
+         coalesce(lead(start_date) OVER (PARTITION BY price_id ORDER BY start_date), DATE '9999-12-31') AS end_date
+  FROM (SELECT DISTINCT order_id % 3 AS price_id, order_date AS start_date FROM v_orders_1)) p
+  ON i.order_id % 3 = p.price_id AND i.shipped_at >= p.start_date AND i.shipped_at < p.end_date"""
 ANSWERS["fact_sales"] = f"""SELECT order_id, CAST(sk_customer_id AS DOUBLE) AS sk_customer_id, store_id,
        CAST(sk_staff_id AS DOUBLE) AS sk_staff_id, CAST(order_date AS VARCHAR) AS order_date,
        CAST(sk_product_id AS DOUBLE) AS sk_product_id, {_MONEY}, CAST(discount AS DOUBLE) AS discount, CAST(total AS DOUBLE) AS total, year, quarter, month, day

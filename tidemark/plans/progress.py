@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.lake import Lake
-from tidemark.operators import latest_per_key
+from tidemark.operators import newest_of_runs
 from tidemark.plans.bronze import DAY
 from tidemark.plans.silver import STAMP as SILVER_STAMP
 from tidemark.sources import latest_of, layer_mark, record_mark, recorded_mark
@@ -39,9 +39,8 @@ class Silver:
 
 
 def newest_log_rows(log: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The present rows of an appended silver table."""
-    order = [c for c in ("raw_extraction_time", SILVER_STAMP) if c not in key]
-    return latest_per_key(log.drop(DAY), key, order)
+    """The present rows of an appended silver table; each run appends a key once."""
+    return newest_of_runs(log.drop(DAY), key, SILVER_STAMP)
 
 
 def mark_of(spark: SparkSession, table: str) -> datetime | None:
