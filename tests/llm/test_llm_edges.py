@@ -131,6 +131,33 @@ def test_chats_of_edges(spark):
     assert format_chats(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_chats_with_crowded_numbers(spark):
+    """Unnumbered turns, and many of one number, go in short stretches and in the same order."""
+    from tidemark.llm import chat_format
+
+    def row(i):
+        return (1, None if i < 3000 else 7 if i < 6000 else i % 20, ("user", "assistant", "Bot", None)[i % 4], f"t{i}")
+
+    turns = spark.createDataFrame([row(i) for i in range(6500)], "conv_id long, turn long, role string, text string")
+    longest = (
+        chat_format._with_stretches(
+            turns.selectExpr(
+                "'c' key", "coalesce(floor(turn / 16), -1) block", "struct(conv_id, turn, role AS given_role) row",
+                "lower(role) name", "text", "xxhash64(text) print",
+            ), 100,
+        ).groupBy("stretch").count().agg({"count": "max"}).first()[0]
+    )
+    assert longest <= 100
+    whole, cut = (format_chats(turns, stretch).collect() for stretch in (100_000, 100))
+
+    def told(rows):
+        return sorted((r.turn if r.turn is not None else -1, str(r.given_role), r.role, r.merged, str(r.inserted_role), r.rendered) for r in rows)
+
+    assert len(whole) == 6500 and whole[0].conversation_cost == cut[0].conversation_cost
+    assert sum(r.rendered.count("<|end|>") for r in whole) == sum(r.rendered.count("<|end|>") for r in cut)
+    assert [x[:2] for x in told(whole)] == [x[:2] for x in told(cut)]
+
+
 def test_every_stage_keeps_edges_alive(spark):
     """Stages run on rows with nulls and on no rows at all, and return the columns of documents."""
     folder = "/root/testdata/sf0.001"

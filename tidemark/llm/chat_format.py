@@ -7,7 +7,9 @@ the automaton of legal turns finds the cheapest way.
 Turns before another only matter by the state they end in, so a stretch of turns is a small
 table: the cheapest cost from every state to every state. Long conversations are cut into
 stretches: tables of all stretches are made side by side, chained, and the choices inside
-each stretch follow from the states at its ends. No task holds more than one stretch.
+each stretch follow from the states at its ends. No task holds more than one stretch. Where
+very many rows share a number, or have none, their stretches are cut by role and content,
+in the order of the turns, so a stretch is short there too.
 """
 
 from __future__ import annotations
@@ -121,11 +123,20 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
         yield held
 
 
+#: A stretch: turns of one block of numbers; where a number of the block is crowded, one
+#: number, and where it is that number itself, a role and a range of contents.
+_STRETCH = pa.struct(
+    [("block", pa.int64()), ("turn", pa.int64()), ("name", pa.string()), ("given", pa.string()), ("part", pa.int64())]
+)
+_STRETCH_TYPE = "struct<block: long, turn: long, name: string, given: string, part: long>"
+
+
 def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _groups(batches, 2):
         table = stretch_table([name for _, _, name, *_ in rows]).reshape(-1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([rows[0][0]]), pa.array([rows[0][1]]), pa.array([table.tolist()])], ["key", "stretch", "table"]
+            [pa.array([rows[0][0]]), pa.array([rows[0][1]], _STRETCH), pa.array([table.tolist()])],
+            ["key", "stretch", "table"],
         )
 
 
@@ -136,7 +147,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([row[0] for row in rows]),
-                pa.array([row[1] for row in rows]),
+                pa.array([row[1] for row in rows], _STRETCH),
                 pa.array(states[:-1], pa.int32()),
                 pa.array(states[1:], pa.int32()),
                 pa.array([cost] * n),
@@ -179,6 +190,32 @@ def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _with_stretches(keyed: DataFrame, stretch: int) -> DataFrame:
+    """``stretch`` of each turn, in the order of turn, name, given role and print."""
+    place = ["key", "block", F.col("row.turn").alias("turn")]
+    counted = keyed.groupBy(*place).agg(F.count("*").alias("rows")).where(F.col("rows") > stretch)
+    crowded = stored(counted, "crowded")
+    # numbers of the blocks that hold a crowded one stand alone, so that the order is kept
+    blocks = crowded.select("key", "block").distinct().withColumn("cut", F.lit(True))
+    turns = crowded.select("key", F.col("turn").alias("crowded_turn"), "block", "rows")
+    same = [keyed["key"] == turns["key"], keyed["block"] == turns["block"], F.col("row.turn").eqNullSafe(F.col("crowded_turn"))]
+    wide = keyed.join(turns, same, "left").select(keyed["*"], "rows").join(blocks, ["key", "block"], "left")
+    crowd = F.col("rows").isNotNull()
+    # prints are even over all 64-bit numbers: as many ranges as hold half a stretch each
+    ranges = F.floor(2 * F.col("rows") / stretch) + 1
+    share = (F.col("print").cast("double") + float(1 << 63)) / float(1 << 64)
+    return wide.withColumn(
+        "stretch",
+        F.struct(
+            "block",
+            F.when(F.col("cut"), F.col("row.turn")).alias("turn"),
+            F.when(crowd, F.col("name")).alias("name"),
+            F.when(crowd, F.col("row.given_role")).alias("given"),
+            F.when(crowd, F.floor(share * ranges)).cast("long").alias("part"),
+        ),
+    ).drop("block", "rows", "cut")
+
+
 def format_chats(turns: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """``(conv_id, turn, given_role, role, merged, inserted_role, conversation_cost,
     rendered)``, one row per different turn.
@@ -199,21 +236,22 @@ def format_chats(turns: DataFrame, stretch: int = STRETCH) -> DataFrame:
         F.when(F.col("conv_id").isNotNull(), F.concat(F.lit("c"), F.col("conv_id").cast("string")))
         .otherwise(F.concat(F.lit("n"), F.sha2(F.to_json(F.struct("turn", "role", "text")), 256)))
         .alias("key"),
-        F.coalesce(F.floor(F.col("turn") / stretch), F.lit(-(1 << 62))).cast("long").alias("stretch"),
+        F.coalesce(F.floor(F.col("turn") / stretch), F.lit(-(1 << 62))).cast("long").alias("block"),
         F.struct("conv_id", "turn", F.col("role").alias("given_role")).alias("row"),
         F.coalesce(names[role], role).alias("name"),
         "text",
         F.xxhash64("text").alias("print"),
     )
+    keyed = _with_stretches(keyed, stretch)
     order = ["key", "stretch", "row.turn", "name", "row.given_role", "print"]
     tables = (
         keyed.drop("text").repartition("key", "stretch").sortWithinPartitions(*order)
         .select("key", "stretch", "name", "row", "print")
-        .mapInArrow(_tables, "key string, stretch long, table array<double>")
+        .mapInArrow(_tables, f"key string, stretch {_STRETCH_TYPE}, table array<double>")
     )
     states = stored(
         tables.repartition("key").sortWithinPartitions("key", "stretch")
-        .mapInArrow(_chains, "key string, stretch long, entry int, leave int, cost double, ends boolean"),
+        .mapInArrow(_chains, f"key string, stretch {_STRETCH_TYPE}, entry int, leave int, cost double, ends boolean"),
         "states",
     )
     # the states of a stretch travel as a row before its turns, so that the texts move once

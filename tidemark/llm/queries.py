@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.chat_format import format_chats
 from tidemark.llm.collocations import collocations
@@ -76,7 +77,8 @@ URL_RULES = [
 
 @query
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    rows = [F.struct(*(F.lit(x).alias(n) for n, x in zip(("verdict", "host", "path"), rule))) for rule in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*rows)))
     return judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 

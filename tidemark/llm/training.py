@@ -15,7 +15,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """``(doc_id, text, label)`` of at most ``most`` documents outside the fold ``held_out``.
 
     The ids are those of the least hashes, the same ones at every run. Null labels teach
-    nothing; of several labels of a document the least counts, and equal texts count once.
+    nothing; of several labels of a document the least counts. Equal texts count once, as
+    the document of the least id labels them.
     """
     chosen = (
         labels.where((fold(folds) != held_out) & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -25,5 +26,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     # at most ``most`` rows of two numbers: Spark broadcasts them by their size
     return (
         docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id")
-        .dropDuplicates(["text"])
+        .groupBy("text").agg(F.min(F.struct("doc_id", "label")).alias("row"))
+        .select("row.doc_id", "text", "row.label")
     )
