@@ -137,16 +137,24 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
     )
 
 
-def _block_pairs(entries: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(entries: DataFrame, hubs: DataFrame, percent: int, few_lists: bool) -> DataFrame:
     """``(u, v, sure)``: pairs of sets that the index and the hubs' answers leave over;
-    ``sure`` ones are similar by their hub's answers alone."""
+    ``sure`` ones are similar by their hub's answers alone.
+
+    Where a set is in ``few_lists``, entries carry them all, and a pair is told in the first
+    list that both are in."""
     relation = hubs.select(
         F.col("u").alias("cls"), F.col("v").alias("hub"), F.col("n_v").alias("n_hub"), F.col("common").alias("c"),
         F.expr(_enough(percent, "n_u", "n_v", "common")).alias("near"),
     )
     kind = ["token", "n", "own", "pos", "hub", "n_hub", "c", "near"]
     entries = entries.join(relation, "cls", "left")
-    entries = stored(entries.withColumn("block", F.xxhash64(*kind)).select("block", "cls", "label", *kind), "blocked")
+    lists = F.lit(None).cast("array<long>")
+    if few_lists:
+        own_lists = entries.groupBy("cls").agg(F.sort_array(F.collect_set("token")).alias("all_lists"))
+        entries, lists = entries.join(own_lists, "cls"), F.col("all_lists")
+    entries = entries.select(F.xxhash64(*kind).alias("block"), "cls", "label", lists.alias("lists"), *kind)
+    entries = stored(entries, "blocked")
     blocks = stored(entries.select("block", *kind).distinct(), "blocks")
     one = blocks.select([F.col(c).alias(f"{c}_a") for c in blocks.columns])
     two = blocks.select([F.col(c).alias(f"{c}_b") for c in blocks.columns])
@@ -167,23 +175,27 @@ def _block_pairs(entries: DataFrame, hubs: DataFrame, percent: int) -> DataFrame
     )
     met = stored(met, "met")
     side = {
-        s: entries.select(*(F.col(c).alias(f"{c}_{s}") for c in ("token", "block", "cls", "label"))) for s in "ab"
+        s: entries.select(*(F.col(c).alias(f"{c}_{s}") for c in ("token", "block", "cls", "label", "lists"))) for s in "ab"
     }
+    apart = "label_a <> label_b"
+    if few_lists:
+        apart += " AND array_min(array_intersect(lists_a, lists_b)) = token_a"
     return (
         met.join(side["a"], ["token_a", "block_a"]).join(side["b"], ["token_b", "block_b"])
-        .where("label_a <> label_b")
+        .where(apart)
         .select(F.least("cls_a", "cls_b").alias("u"), F.greatest("cls_a", "cls_b").alias("v"), "sure")
         .groupBy("u", "v").agg(F.bool_or("sure").alias("sure"))
     )
 
 
-def similar_sets(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def similar_sets(postings: DataFrame, sets: DataFrame, percent: int, few_lists: bool = False) -> DataFrame:
     """Links ``(u, v)`` of the sets ``(cls, n, tokens)`` that meet in a list of the index
     ``postings``: enough for all components of the relation ``100 * intersection >=
     percent * union``, and none that is not in it.
 
     ``postings`` are ``(token, cls, n, own, pos)``: the list, and how many tokens of a set
-    come before its entry there or are no other set's.
+    come before its entry there or are no other set's. ``few_lists``: a set has a bounded
+    number of them, and its places in them all stand for the same.
     """
     links, hubs = None, None
     for _ in range(HUB_ROUNDS):
@@ -204,7 +216,7 @@ def similar_sets(postings: DataFrame, sets: DataFrame, percent: int) -> DataFram
         F.col("v").alias("u"), "v", F.col("n_v").alias("n_u"), "n_v", F.col("n_v").alias("common")
     )
     itself = itself.join(hubs.select("u"), "u", "left_anti").select("u", "v", "n_u", "n_v", "common")
-    pairs = stored(_block_pairs(entries, hubs.select(itself.columns).union(itself), percent), "pairs")
+    pairs = stored(_block_pairs(entries, hubs.select(itself.columns).union(itself), percent, few_lists), "pairs")
     links = links.union(pairs.where("sure").select("u", "v"))
     compared = _compare(pairs.where("NOT sure").select("u", "v"), sets)
     return links.union(stored(compared.where(_enough(percent, "n_u", "n_v", "common")).select("u", "v"), "similar"))

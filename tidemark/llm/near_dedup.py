@@ -110,7 +110,7 @@ def near_duplicates(
     candidates = stored(candidates, "candidates")
     sets = stored(without_strangers(stored(sets_of(docs, candidates, k), "candidate-sets"), percent), "sets")
     lists = members.join(sets.select("cls", "n", "own", F.col("own").alias("pos")), "cls")
-    links = similar_sets(stored(lists.select("token", "cls", "n", "own", "pos"), "lists"), sets, percent)
+    links = similar_sets(stored(lists.select("token", "cls", "n", "own", "pos"), "lists"), sets, percent, few_lists=True)
     found = by_document(scanned.drop("bands"), classes, links)
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").withColumn(
         "kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))
