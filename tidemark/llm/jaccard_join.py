@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shingle_sets import (
-    SET,
     SLICE_BYTES,
     by_document,
     classes_of,
