@@ -21,13 +21,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.exchange import OWNER, PACKED, Sender, bucket_count, shared_spots, with_owner
 from tidemark.llm.recompression import covering, recompress
 from tidemark.llm.words import U64, Words, signed, slices, texts_of
-from tidemark.operators.staging import stored
+from tidemark.operators.staging import outlasting, scratch_scope, stored
 
 
 def _rounds(window: int) -> tuple[int, int]:
@@ -115,8 +116,10 @@ def _send_windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """``row``, spots, whether all windows repeat and, if the row lacks it, the text."""
     for batch in batches:
-        texts, spots, whole = batch.column(1), batch.column(2), batch.column(3).to_pylist()
+        spots, whole = batch.column(1), batch.column(2).to_pylist()
+        texts = batch.column(3) if batch.num_columns > 3 else pc.struct_field(batch.column(0), "text")
         n_words, n_removed, kept, digests = [], [], [], []
         for i in range(len(texts)):
             words = (texts[i].as_py() or "").encode().split()
@@ -153,14 +156,15 @@ def repeated_windows(docs: DataFrame, repeated: DataFrame, window: int = 35) ->
     keyed = with_owner(docs.where("text IS NOT NULL"), F.col("text"))
     buckets = bucket_count(docs)
     sent = keyed.mapInArrow(partial(_send_names, window=window, buckets=buckets), PACKED)
-    names = stored(shared_spots(sent, buckets, repeated), "names").withColumnRenamed("spots", "names")
-    one_each = keyed.join(repeated, OWNER, "left_semi").dropDuplicates(OWNER)
-    likely = (
-        keyed.join(names, OWNER).select(*OWNER, "text", "names")
-        .union(one_each.select(*OWNER, "text", F.lit(None).cast("array<long>")))
-    )
-    sent = likely.mapInArrow(partial(_send_windows, window=window, buckets=buckets), PACKED)
-    return stored(shared_spots(sent, buckets, repeated), "windows")
+    with scratch_scope(docs.sparkSession):
+        names = stored(shared_spots(sent, buckets, repeated), "names").withColumnRenamed("spots", "names")
+        one_each = keyed.join(repeated, OWNER, "left_semi").dropDuplicates(OWNER)
+        likely = (
+            keyed.join(names, OWNER).select(*OWNER, "text", "names")
+            .union(one_each.select(*OWNER, "text", F.lit(None).cast("array<long>")))
+        )
+        sent = likely.mapInArrow(partial(_send_windows, window=window, buckets=buckets), PACKED)
+        return outlasting(shared_spots(sent, buckets, repeated), "windows")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, row: list[str] | None = None) -> DataFrame:
@@ -178,11 +182,14 @@ def remove_repeats(docs: DataFrame, window: int = 35, row: list[str] | None = No
     owners = with_owner(docs.where("text IS NOT NULL")).groupBy(*OWNER).agg(F.count("*").alias("rows"))
     repeated = stored(owners.where("rows > 1").select(*OWNER), "repeated")
     spots = repeated_windows(docs, repeated, window)
-    keyed = with_owner(docs, F.struct(*(row or docs.columns)).alias("row"), F.col("text"))
+    kept = row or docs.columns
+    # the text moves once, as a part of the row if it is one
+    text = [] if "text" in kept else ["text"]
+    keyed = with_owner(docs, F.struct(*kept).alias("row"), *map(F.col, text))
     return (
         keyed.join(spots, OWNER, "left")
         .join(repeated.withColumn("whole", F.lit(True)), OWNER, "left")
-        .select("row", "text", "spots", F.coalesce("whole", F.lit(False)).alias("whole"))
+        .select("row", "spots", F.coalesce("whole", F.lit(False)).alias("whole"), *text)
         .mapInArrow(
             partial(_cut, window=window),
             keyed.select("row").schema.add("n_words", "long").add("n_removed", "long")
