@@ -21,8 +21,6 @@ from tidemark.llm.decontamination import benchmark_passages, local_alignment
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import BestFit
 from tidemark.llm.queries import QUERIES
-from tidemark.llm.toxicity import ANALYSES, Grammar, compose
-from tidemark.llm.words import texts_of
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -78,38 +76,6 @@ def test_held_out_rows(spark, name, label):
     assert hit > 0.85
 
 
-def test_grammar_reads_clauses():
-    grammar = Grammar()
-    hashes = {w: h for w, h in zip(["moron", "clown"], _hashes(["moron", "clown"]))}
-    grammar = Grammar(words=np.array(list(hashes.values())), weights=np.array([2.0, 2.0]))
-
-    def found(text):
-        row = grammar.analyse(texts_of(_array([text])))[0, : len(ANALYSES)]
-        return {ANALYSES[i] for i in np.flatnonzero(row)}
-
-    assert found("What a moron.") == {"plain"}
-    assert found("You are a moron.") == {"targeted"}
-    assert found("You are not a moron.") == {"negated"}
-    assert found("He said you are a clown.") == {"reported"}
-    assert found("I will hurt them.") == {"threat"}
-    assert found("It may hurt. You left, a moron") == {"targeted"}
-    assert found("Nothing here.") == set()
-    follow, output = compose()
-    assert follow.shape == output.shape and follow.min() >= 0
-
-
-def _array(texts):
-    import pyarrow as pa
-
-    return pa.array(texts, pa.string())
-
-
-def _hashes(words):
-    from tidemark.llm.words import Words
-
-    return Words.of(texts_of(_array(words))).hashes()
-
-
 def _shingles(text, k):
     words = WORD.findall((text or "").encode().lower())
     if not words:

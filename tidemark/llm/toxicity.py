@@ -1,21 +1,24 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five transducers read a clause word by word. The *lexicon* rewrites words to classes:
-insults, with weights learned from labelled documents, and fixed lists of threat verbs,
-announcing words, targets, negations and speech verbs. The *negation* transducer marks
-what stands in its reach, *target* and *speech* remember that the clause has addressed
-somebody or reports another's words, and *threat* asks for an announced act against a
-target. Their composition is one machine whose states are the products of theirs; it
-gives every clause an analysis and the sum of its weights. A document's score comes from
-the analyses of its clauses, by a logistic model fitted to the same labelled documents.
+The *lexicon* rewrites the words of a clause to classes: insults, with weights learned
+from labelled documents, and fixed lists of threat verbs, announcing words, targets,
+negations and speech verbs. Five transducers then read the classes one after another.
+*Negation* marks what stands in its reach, *speech* what follows a speech verb, *target*
+everything in a clause that addresses or names somebody, before or after; *threat* marks
+threat verbs that are announced and have a target after the announcement, on either side
+of the verb; *analysis* turns the marks into one of five analyses with its own weight.
+:func:`grammar` composes them into one machine, which gives each clause its heaviest
+path. A document's score comes from the analyses of its clauses, by a logistic model: its
+weights per analysis start from those of the grammar, and labelled documents move them as
+far as they hold such clauses. A threat verb or insult outside of any analysis counts
+nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
-from itertools import product
+from functools import cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import Lookup, bare_words
 from tidemark.llm.training import fold, labelled_sample
+from tidemark.llm.transducers import Transducer, compose
 from tidemark.llm.words import U64, Words, slices, texts_of
 from tidemark.operators.staging import stored
 
@@ -46,32 +50,126 @@ CLASSES = {
 REACH = 3
 #: Bytes of the word beginnings that may be insults.
 STEMS = (4, 5, 6)
-ANALYSES = ("plain", "targeted", "negated", "reported", "threat")
+#: Weights by which the grammar ranks the analyses of a clause.
+ANALYSES = {"plain": 1.0, "targeted": 1.5, "negated": 0.25, "reported": 0.25, "threat": 2.0}
 _STOPS = np.zeros(256, bool)
 _STOPS[[ord(c) for c in ".!?;:\n"]] = True
 
 
-def compose() -> tuple[np.ndarray, np.ndarray]:
-    """The product machine: next state and output (an analysis, or -1) per state and class.
+def negation_machine(alphabet) -> Transducer:
+    """Marks the words that a negation reaches; a state is how many it still does."""
 
-    A state is (words the negation still reaches, target seen, speech seen, announced).
-    """
-    states = list(product(range(REACH + 1), (0, 1), (0, 1), (0, 1)))
-    number = {state: i for i, state in enumerate(states)}
-    follow, output = np.zeros((len(states), 7), np.int64), np.full((len(states), 7), -1)
-    for state, class_ in product(states, range(7)):
-        reach, target, speech, announced = state
-        if class_ == INSULT:
-            output[number[state], class_] = 3 if speech else 2 if reach else 1 if target else 0
-        if class_ == THREAT and announced:
-            output[number[state], class_] = 3 if speech else 2 if reach else 4
-        follow[number[state], class_] = number[
-            REACH if class_ == NEGATION else max(0, reach - 1),
-            target | (class_ == TARGET),
-            speech | (class_ == SPEECH),
-            announced | (class_ == ANNOUNCE),
-        ]
-    return follow, output
+    def step(reach, symbol):
+        yield symbol | {"negated"} if reach else symbol, 0.0, REACH if NEGATION in symbol else max(0, reach - 1)
+
+    return Transducer.of(alphabet, [0], step)
+
+
+def speech_machine(alphabet) -> Transducer:
+    """Marks the words after a speech verb."""
+
+    def step(reported, symbol):
+        yield symbol | {"reported"} if reported else symbol, 0.0, reported or SPEECH in symbol
+
+    return Transducer.of(alphabet, [False], step)
+
+
+def target_machine(alphabet) -> Transducer:
+    """Marks all words of a clause with a target: guesses at the start whether one comes."""
+
+    def step(state, symbol):
+        if state != "none":
+            yield symbol | {"targeted"}, 0.0, "seen" if TARGET in symbol else state
+        elif TARGET not in symbol:
+            yield symbol, 0.0, state
+
+    return Transducer.of(alphabet, ["none", "awaited"], step, lambda state: state != "awaited")
+
+
+def threat_machine(alphabet) -> Transducer:
+    """Marks announced threat verbs: guesses at the announcement whether a target comes."""
+
+    def step(state, symbol):
+        if state == "idle":
+            for follow in ("none", "awaited") if ANNOUNCE in symbol else ("idle",):
+                yield symbol, 0.0, follow
+        elif state != "none":
+            yield symbol | {"announced"}, 0.0, "seen" if TARGET in symbol else state
+        elif TARGET not in symbol:
+            yield symbol, 0.0, state
+
+    return Transducer.of(alphabet, ["idle"], step, lambda state: state != "awaited")
+
+
+def analysis_machine(alphabet) -> Transducer:
+    """Writes the analysis that the marks of a word come to, or None."""
+
+    def step(state, symbol):
+        said = next((x for x in ("reported", "negated") if x in symbol), None)
+        out = None
+        if INSULT in symbol:
+            out = said or ("targeted" if "targeted" in symbol else "plain")
+        elif THREAT in symbol and "announced" in symbol:
+            out = said or "threat"
+        yield out, ANALYSES.get(out, 0.0), state
+
+    return Transducer.of(alphabet, [0], step)
+
+
+MACHINES = (negation_machine, speech_machine, target_machine, threat_machine, analysis_machine)
+
+
+def cascade() -> list[Transducer]:
+    """The transducers, each made for what the one before it writes."""
+    made, alphabet = [], [frozenset([class_]) for class_ in range(7)]
+    for machine in MACHINES:
+        made.append(machine(alphabet))
+        alphabet = made[-1].writes()
+    return made
+
+
+@cache
+def grammar() -> tuple[list[int], set[int], list[list[list[tuple[int, float, int]]]]]:
+    """The composed machine with states and analyses as numbers: its starts, its final
+    states, and per state and class the ``(analysis or -1, weight, next state)`` of its arcs."""
+    whole = reduce(compose, cascade())
+    number = {state: i for i, state in enumerate(whole.arcs)}
+    names = list(ANALYSES)
+    table = [[[] for _ in range(7)] for _ in number]
+    for state, arcs in whole.arcs.items():
+        for symbol, out, weight, follow in arcs:
+            (class_,) = symbol
+            table[number[state]][class_].append((-1 if out is None else names.index(out), weight, number[follow]))
+    return [number[s] for s in whole.starts], {number[s] for s in whole.finals}, table
+
+
+def read_clause(classes: list[int], weights: list[float]) -> list[tuple[int, float]]:
+    """``(analysis, word weight)`` along the heaviest path of a clause through the grammar."""
+    starts, finals, table = grammar()
+    live = {state: (0.0, None) for state in starts}
+    others = 0
+    for class_, weight in zip(classes, weights):
+        others = others + 1 if class_ == OTHER else 0
+        if others > REACH:
+            continue  # no state changes at further ones
+        after: dict = {}
+        for state, (total, path) in live.items():
+            for analysis, more, follow in table[state][class_]:
+                score = total + more * weight
+                if follow not in after or score > after[follow][0]:
+                    after[follow] = (score, path if analysis < 0 else (path, analysis, weight))
+        live = after
+    _, path = max((live[s] for s in live if s in finals), key=lambda found: found[0])
+    found = []
+    while path:
+        path, analysis, weight = path
+        found.append((analysis, weight))
+    return found[::-1]
+
+
+#: The model before labels move it: logarithms of the weights per analysis, then the factors
+#: of the whole text and of its best clauses, and the bias.
+PRIOR = np.array([*np.log(list(ANALYSES.values())), 1.5, 1.5, -3.0])
 
 
 @dataclass
@@ -82,11 +180,10 @@ class Grammar:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     stems: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
     stem_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    #: of the logistic model: one per analysis, of sums and of best clauses, and the bias
-    model: np.ndarray = field(default_factory=lambda: np.append(np.ones(2 * len(ANALYSES)), -2.0))
+    #: as :data:`PRIOR`
+    model: np.ndarray = field(default_factory=PRIOR.copy)
 
     def __post_init__(self) -> None:
-        self.follow, self.output = compose()
         fixed = [bare_words(texts_of(pa.array(words))).hashes() for words in CLASSES.values()]
         self.fixed = [Lookup(x) for x in fixed]
         order = np.argsort(self.words)
@@ -95,11 +192,12 @@ class Grammar:
         self.beginnings, self.stem_weights = Lookup(self.stems), self.stem_weights[order]
 
     def classify(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """The lexicon transducer: class and weight of each word."""
+        """The lexicon: class and weight of each word. Insults are learned; of the fixed
+        lists only the threat verbs may be learned as insults."""
         hashes = words.hashes()
         classes, weights = np.zeros(len(hashes), np.int8), np.zeros(len(hashes))
-        for class_, lookup in zip(CLASSES, self.fixed):
-            classes[lookup.find(hashes)[0]] = class_
+        fixed = dict(zip(CLASSES, (lookup.find(hashes)[0] for lookup in self.fixed)))
+        classes[fixed[THREAT]] = THREAT
         for n in STEMS:
             which, stems = stems_of(words, n)
             at, number = self.beginnings.find(stems)
@@ -108,6 +206,9 @@ class Grammar:
         at, number = self.lexicon.find(hashes)
         classes[at] = INSULT
         weights[at] = np.maximum(weights[at], self.weights[number])
+        for class_, at in fixed.items():
+            if class_ != THREAT:
+                classes[at] = class_
         weights[classes == THREAT] = 1.0
         return classes, weights
 
@@ -127,20 +228,33 @@ class Grammar:
         hot = np.unique(clause[(classes == INSULT) | (classes == THREAT)])
         first = np.searchsorted(clause, hot, "left")
         last = np.searchsorted(clause, hot, "right")
-        follow, output, n = self.follow, self.output, len(ANALYSES)
+        n = len(ANALYSES)
         for begin, end in zip(first.tolist(), last.tolist()):
-            sums, state = np.zeros(n), 0
-            for class_, weight in zip(classes[begin:end].tolist(), weights[begin:end].tolist()):
-                if (analysis := output[state, class_]) >= 0:
-                    sums[analysis] += weight
-                state = follow[state, class_]
+            sums = np.zeros(n)
+            for analysis, weight in read_clause(classes[begin:end].tolist(), weights[begin:end].tolist()):
+                sums[analysis] += weight
             row = out[text[begin]]
             row[:n] += sums
             row[n:] = np.maximum(row[n:], sums)
-        return np.log1p(out)
+        return out
 
     def scores(self, analyses: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(analyses @ self.model[:-1] + self.model[-1])))
+        return 1 / (1 + np.exp(-_odds(analyses, self.model)[0]))
+
+
+def _odds(analyses: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of texts, and their slopes by each number of the model.
+
+    The weighted analyses of a text are added up, and so are those of its best clauses;
+    what counts is the logarithm of either sum.
+    """
+    n = len(ANALYSES)
+    weighted = [part * np.exp(model[:n]) for part in (analyses[:, :n], analyses[:, n:])]
+    sums = [part.sum(1) for part in weighted]
+    logs = [np.log1p(x) for x in sums]
+    slopes = sum(f * part / (1 + x)[:, None] for f, part, x in zip(model[n:], weighted, sums))
+    odds = model[n] * logs[0] + model[n + 1] * logs[1] + model[n + 2]
+    return odds, np.column_stack([slopes, *logs, np.ones(len(odds))])
 
 
 def stems_of(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,14 +323,29 @@ def _analyse(batches: Iterator[pa.RecordBatch], grammar: Grammar) -> Iterator[pa
             )
 
 
-def fit(analyses: np.ndarray, labels: np.ndarray, steps: int = 400, rate: float = 0.5) -> np.ndarray:
-    """Logistic weights by gradient descent, slightly shrunk; the bias stands last."""
-    data = np.column_stack([analyses, np.ones(len(analyses))])
-    weights = np.zeros(data.shape[1])
+def fit(analyses: np.ndarray, labels: np.ndarray, pull: float = 1e-4, steps: int = 60) -> np.ndarray:
+    """The model that tells the labels best, drawn towards :data:`PRIOR`; by Gauss-Newton steps.
+
+    Analyses that the labelled rows don't hold keep the weights of the grammar.
+    """
+
+    def loss(model):
+        odds = _odds(analyses, model)[0]
+        return np.mean(np.logaddexp(0, odds) - labels * odds) + pull / 2 * ((model - PRIOR) ** 2).sum()
+
+    model, held = PRIOR.copy(), loss(PRIOR)
     for _ in range(steps):
-        gradient = data.T @ (1 / (1 + np.exp(-data @ weights)) - labels) / max(len(labels), 1)
-        weights -= rate * (gradient + 1e-4 * weights)
-    return weights
+        odds, slopes = _odds(analyses, model)
+        right = 1 / (1 + np.exp(-odds))
+        gradient = slopes.T @ (right - labels) / len(labels) + pull * (model - PRIOR)
+        curve = (slopes * (right * (1 - right))[:, None]).T @ slopes / len(labels) + pull * np.eye(len(model))
+        step = np.linalg.solve(curve, gradient)
+        while (new := loss(model - step)) > held and np.abs(step).max() > 1e-9:
+            step /= 2
+        if held - new < 1e-10:
+            break
+        model, held = model - step, new
+    return model
 
 
 def _score(batches: Iterator[pa.RecordBatch], grammar: Grammar) -> Iterator[pa.RecordBatch]:
