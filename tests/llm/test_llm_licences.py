@@ -7,7 +7,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
-from tidemark.llm.license_scan import Templates, _matches, scan_licenses, templates
+from tidemark.llm.license_scan import NOTICES, Templates, _matches, scan_licenses, telling, templates
 from tidemark.llm.words import texts_of
 
 WORDINGS = {
@@ -78,6 +78,8 @@ def test_units_and_windows_by_brute_force(seed):
             at = rng.randrange(len(words) + 1)
             words[at:at] = copy
         texts.append("".join(w + rng.choice([" ", " ", ", ", "\n"]) for w in words))
+    everywhere = Counter(p for _, t in held for p in bag(t))
+    telling_pairs = {p for p in everywhere if sum(p in bag(t) for _, t in held) == 1}
     wanted = {}
     for i, text in enumerate(texts):
         words = text.replace(",", " ").split()
@@ -88,11 +90,30 @@ def test_units_and_windows_by_brute_force(seed):
                 score = dice(bag(u.replace(",", " ").split()), bag(template))
                 wanted[i, name] = max(wanted.get((i, name), 0.0), score)
             size = len(template) - 1
-            for s in range(size, int(size * 1.5 + 1e-9) + 1) if size else ():
+            for s in range(1, int(size * 1.5 + 1e-9) + 1) if size else ():
                 for a in range(len(words) - s):
-                    wanted[i, name] = max(wanted[i, name], dice(bag(words[a : a + s + 1]), bag(template)))
+                    window = bag(words[a : a + s + 1])
+                    if s >= size or any(p in telling_pairs for p in window & bag(template)):
+                        wanted[i, name] = max(wanted[i, name], dice(window, bag(template)))
     got = {}
-    blocks = [Templates([n for n, _ in half], [" ".join(t) for _, t in half], least) for half in (held[:5], held[5:])]
+    parts = [[*map(list, zip(*((n, " ".join(t)) for n, t in half)))] for half in (held, held[:5], held[5:])]
+    apart = telling(*parts[0])
+    blocks = [Templates(*half, least, apart) for half in parts[1:]]
     for i, name, _, score in _matches(texts_of(pa.array(texts)), blocks):
         got[i, name] = max(got.get((i, name), 0.0), score)
     assert got == {k: v for k, v in wanted.items() if v >= least} and got
+
+
+@pytest.mark.parametrize("share", [0.72, 0.8, 0.9])
+def test_beginnings_of_a_notice_inline(spark, share):
+    """What scores as a line of its own does so inside a line; words that all notices share don't."""
+    rng, words = random.Random(3), NOTICES["MIT"][0].split()
+    part = " ".join(words[: round(share * len(words))])
+    shared = "this work is licensed under the"
+    docs = [(0, f"{prose(rng, 60)}\n{part}\n{prose(rng, 60)}"), (1, f"{prose(rng, 60)} {part} {prose(rng, 60)}"),
+            (2, f"{prose(rng, 60)} {shared} {prose(rng, 60)}")]
+    found = {(r.doc_id, r.license): r.dice for r in
+             scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), templates(spark)).collect()}
+    size, own = len(words) - 1, len(part.split()) - 1
+    assert found[0, "MIT"] == found[1, "MIT"] == 2 * own / (own + size)
+    assert not any(doc_id == 2 for doc_id, _ in found)

@@ -192,10 +192,20 @@ def plain_words(texts: pa.Array) -> Words:
     return Words.of(texts, lower=True, apart=_APART)
 
 
+def telling(names: list[str], texts: list[str]) -> np.ndarray:
+    """The bigrams that stand in templates of one licence only."""
+    words = plain_words(texts_of(pa.array(texts, pa.string())))
+    pairs, whole = words.runs(words.hashes(), 2), words.full_runs(2)
+    licences = np.unique(names, return_inverse=True)[1][words.text_of_words()]
+    held = np.unique(np.stack([pairs[whole], licences[whole].astype(np.uint64)]), axis=1)[0]
+    bigrams, times = np.unique(held, return_counts=True)
+    return bigrams[times == 1]
+
+
 class Templates:
     """A block of templates: how often each holds the bigrams of all."""
 
-    def __init__(self, names: list[str], texts: list[str], least: float):
+    def __init__(self, names: list[str], texts: list[str], least: float, apart: np.ndarray | None = None):
         words = plain_words(texts_of(pa.array(texts, pa.string())))
         hashes, bounds = words.hashes(), words.first
         pairs = words.runs(hashes, 2)
@@ -209,6 +219,8 @@ class Templates:
         for row, (_, bag) in zip(self.counts, bags):
             row[np.searchsorted(self.lookup.numbers, np.array(list(bag), np.uint64))] = list(bag.values())
         self.sizes = self.counts.sum(1, dtype=np.int64)
+        #: The bigrams that tell a licence apart, see :func:`telling`.
+        self.telling = np.isin(self.lookup.numbers, telling(names, texts) if apart is None else apart)
         #: Of each template the rarest bigrams, one of which every match holds.
         self.anchors = np.zeros(self.counts.shape, bool)
         common = self.counts.sum(0, dtype=np.int64)
@@ -235,11 +247,12 @@ class Templates:
         match = np.flatnonzero(fits & (dice >= self.least))
         return zip(match, dice[match])
 
-    def window_scores(self, t: int, at: np.ndarray, pair: np.ndarray, text: np.ndarray):
-        """Per text ``(text, dice, word)`` of the best window that is no shorter than the
-        template, with the first word of the template's bigrams in it."""
+    def window_scores(self, t: int, at: np.ndarray, pair: np.ndarray, text: np.ndarray, long: np.ndarray):
+        """Per text ``(text, dice, word)`` of the best window, with the first word of the
+        template's bigrams in it. One shorter than the template must hold a telling bigram.
+        ``long`` tells whether a match's text has more words than the template has bigrams."""
         size, counts, least = int(self.sizes[t]), self.counts[t].astype(np.int64), self.least
-        need, most = ceil(least * size - 1e-9), floor(size * (2 - least) / least + 1e-9)
+        need, most = ceil(least * size / (2 - least) - 1e-9), floor(size * (2 - least) / least + 1e-9)
         n = len(at)
         if n < need:
             return
@@ -263,15 +276,19 @@ class Templates:
             stop = np.searchsorted(at, at[first] + 2 * most)
             stop = min(stop, np.searchsorted(text, doc, "right"))
             both = np.cumsum(full[first:stop] < first)
-            dice = 2.0 * both / (size + np.maximum(at[first:stop] - at[first] + 1, size))
+            length = at[first:stop] - at[first] + 1
+            dice = 2.0 * both / (size + length)
             top = float(dice.max())
-            if top > best:
-                best, word = top, int(at[first])
+            # without a telling bigram the window is as long as the template, if its text is
+            told = np.logical_or.accumulate(self.telling[pair[first:stop]])
+            longer = 2.0 * both / (size + np.maximum(length, size)) * (long[first] | (length >= size))
+            if (here := float(np.where(told, dice, longer).max())) > best:
+                best, word = here, int(at[first])
             if best >= 1.0:
                 nth = np.searchsorted(text[starts], doc, "right")
                 continue
-            # d words on, no window is better than this one's score times 1 + d / (2 size)
-            step = min((max(best, least) / top - 1) * 2 * size - 1e-6, most)
+            # d words on, no window of ``need`` bigrams is better than the top times 1 + d / (size + need)
+            step = min((max(best, least) / top - 1) * (size + need) - 1e-6, most)
             nth = max(nth + 1, int(np.searchsorted(at[starts], at[first] + step)))
         if best >= least:
             yield doc, best, word
@@ -334,9 +351,7 @@ def _matches(texts: pa.Array, blocks: list[Templates]) -> Iterator[tuple[int, st
             for begin, end, called in units:
                 for u, dice in held.unit_scores(t, here, what, begin, end):
                     yield int(text[begin[u]]), held.names[t], int(called[u]), float(dice)
-            roomy = words.counts()[text[here]] > held.sizes[t]
-            here, what = here[roomy], what[roomy]
-            for i, dice, word in held.window_scores(t, here, what, text[here]):
+            for i, dice, word in held.window_scores(t, here, what, text[here], words.counts()[text[here]] > held.sizes[t]):
                 yield int(i), held.names[t], -int(number[word]), dice
 
 
@@ -345,9 +360,10 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, least: float = 0.8, blo
 
     ``docs`` needs ``doc_id`` and ``text``, ``templates`` ``license`` and ``template``. The
     units of a document are its lines, numbered from 1, the whole text, 0, and all windows
-    of words of it, whatever its line breaks, from the template's size up to the most that
-    can reach ``least``. A window is told by minus the number of the line in which the
-    notice begins. Of equal scores lines and whole texts go before windows, then the least
+    of words of it, whatever its line breaks, of every size that can reach ``least``. A
+    window shorter than the template counts only with a bigram that no other licence's
+    templates hold, as the words that all notices share name no licence. A window is told
+    by minus the number of the line in which the notice begins. Of equal scores lines and whole texts go before windows, then the least
     number is told. Bigrams are counted as often as they stand. Only scores of ``least`` or
     more are matches. Notices that differ in few words, such as versions of one licence,
     match together; the best score tells which one it is.
@@ -358,7 +374,8 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, least: float = 0.8, blo
     """
     rows = templates.where("license IS NOT NULL AND template IS NOT NULL").select("license", "template")
     held = sorted(tuple(r) for r in rows.distinct().collect())
-    blocks = [Templates(*map(list, zip(*held[i : i + block])), least) for i in range(0, len(held), block)]
+    apart = telling(*map(list, zip(*held))) if held else None
+    blocks = [Templates(*map(list, zip(*held[i : i + block])), least, apart) for i in range(0, len(held), block)]
     kind = docs.schema["doc_id"].dataType.simpleString()
     scores = (
         docs.where("text IS NOT NULL")
