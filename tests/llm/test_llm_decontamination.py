@@ -41,3 +41,21 @@ def test_evenly_edited_items_are_found(spark, vocabulary):
     if vocabulary == 3000:
         assert got == wanted and len(found) == len(wanted)
     assert all(r.score >= 0.5 for r in found)
+
+
+@pytest.mark.parametrize("between", [0, 1, 4, 40])
+def test_passages_side_by_side_are_told_one_by_one(spark, between):
+    rng = random.Random(between)
+    items = [(i, " ".join(f"q{i}x{rng.randrange(90)}" for _ in range(24))) for i in range(4)]
+    docs, wanted = [], set()
+    for i, text in items:
+        words = [f"w{rng.randrange(4000)}" for _ in range(30)]
+        for n in range(3):
+            wanted.add((i, i, len(words), len(words) + 24))
+            words += text.split() + [f"w{rng.randrange(4000)}" for _ in range(between)]
+        docs.append((i, " ".join(words)))
+    found = benchmark_passages(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {(r.doc_id, r.item_id, r.start_word, r.end_word) for r in found} == wanted and len(found) == len(wanted)
+    assert all(r.score == 1.0 for r in found)

@@ -243,21 +243,24 @@ def _joined(
         yield held
 
 
-def _passage(items: Items, item: int, passage: np.ndarray, least: float) -> tuple[float, int, int] | None:
-    """Score, begin and end of the best alignment of an item, if it is good enough."""
+def _passages(items: Items, item: int, passage: np.ndarray, least: float) -> Iterator[tuple[float, int, int]]:
+    """Score, begin and end of the alignments of an item that are good enough: the best
+    one, then those of what stands before and after it, and so on."""
     whole = items.words_of(item)
-    if MATCH * np.isin(passage, whole).sum() < least * MATCH * len(whole):
-        return None
-    score, stop = local_alignment(whole, passage)
-    if score < least * MATCH * len(whole):
-        return None
-    # the same alignment read backwards ends where this one starts
-    back = local_alignment(whole[::-1], passage[:stop][::-1])[1]
-    return score / (MATCH * len(whole)), stop - back, stop
-
-
-def _placed(row: tuple[float, int, int], begin: int) -> tuple[float, int, int]:
-    return row[0], begin + row[1], begin + row[2]
+    full = MATCH * len(whole)
+    parts = [(0, len(passage))]
+    while parts:
+        begin, end = parts.pop()
+        part = passage[begin:end]
+        if MATCH * np.isin(part, whole).sum() < least * full:
+            continue
+        score, stop = local_alignment(whole, part)
+        if score < least * full:
+            continue
+        # the same alignment read backwards ends where this one starts
+        start = stop - local_alignment(whole[::-1], part[:stop][::-1])[1]
+        yield score / full, begin + start, begin + stop
+        parts += [(begin, begin + start), (begin + stop, end)]
 
 
 def _align(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Iterator[pa.RecordBatch]:
@@ -269,9 +272,10 @@ def _align(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Ite
             hashes = words.hashes()
             told: dict[tuple[int, int], list[tuple[int, int]]] = {}
             for text, item, begin, end in _regions(items, words, items.hits(words, hashes)):
-                if row := _passage(items, item, hashes[begin:end], least):
+                here = begin - words.first[text]
+                for score, start, stop in _passages(items, item, hashes[begin:end], least):
                     told.setdefault((text, item), []).append((begin, end))
-                    rows.append((first + text, items.ids[item], *_placed(row, begin - words.first[text])))
+                    rows.append((first + text, items.ids[item], score, here + start, here + stop))
             for text, item, begin, end in _joined(*items.crowded(words, hashes)):
                 passage = hashes[begin:end]
                 # what a seed has told isn't told again
@@ -279,8 +283,9 @@ def _align(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Ite
                     if passage.base is not None:
                         passage = passage.copy()
                     passage[max(start - begin, 0) : max(stop - begin, 0)] = 0
-                if row := _passage(items, item, passage, least):
-                    rows.append((first + text, items.ids[item], *_placed(row, begin - words.first[text])))
+                here = begin - words.first[text]
+                for score, start, stop in _passages(items, item, passage, least):
+                    rows.append((first + text, items.ids[item], score, here + start, here + stop))
         if rows:
             at, item_id, score, start, stop = zip(*rows)
             yield pa.RecordBatch.from_arrays(
@@ -302,7 +307,7 @@ def benchmark_passages(
     with a benchmark item at ``least`` of the item's own score, or better.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``. Each
-    passage is one row; its words are counted among the bare words of the document (see
+    passage is one row, also where several of one item stand side by side; its words are counted among the bare words of the document (see
     :func:`bare_words`). A match scores 2, another word or a gap -1.
 
     Null and empty texts, and items without words, match nothing. Null and repeated ids
