@@ -110,23 +110,32 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance of two histograms of counts; 0 if one is empty."""
+def _shares(counts: Column) -> Column:
+    """Each cell's part of the sum, NULL where that is 0."""
+    total = F.aggregate(counts, F.lit(0.0), lambda sum_, n: sum_ + n)
+    # a one-element array binds the sum: inside the inner function it would be made anew for every cell
+    return F.transform(F.array(F.nullif(total, F.lit(0.0))), lambda all_: F.transform(counts, lambda n: n / all_))[0]
+
 
-    def share(array: Column) -> Column:
-        total = F.aggregate(array, F.lit(0.0), lambda sum_, n: sum_ + n)
-        return F.transform(array, lambda n: n / total)
+def _distance(counts: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance of a histogram of counts from the shares of another; 0 if one is empty."""
 
     def term(x: Column, mean: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / mean)).otherwise(0.0)
 
     terms = F.zip_with(
-        share(counts), share(reference), lambda p, q: (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2
+        _shares(counts), reference, lambda p, q: (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2
     )
     divergence = F.aggregate(terms, F.lit(0.0), lambda sum_, x: sum_ + x)
     return F.coalesce(F.sqrt(F.greatest(divergence, F.lit(0.0))), F.lit(0.0))
 
 
+def _shares_of(counts: list[int]) -> Column:
+    """:func:`_shares` of known numbers."""
+    total = float(sum(counts))
+    return F.array(*(F.lit(n / total if total else None).cast("double") for n in counts))
+
+
 def _with_distances(counted: DataFrame, typical: Column, least_words: int) -> DataFrame:
     """Add both distances from the references: sums over the ``typical`` documents of a
     language, or of all languages where these have fewer than ``least_words`` words."""
@@ -141,12 +150,13 @@ def _with_distances(counted: DataFrame, typical: Column, least_words: int) -> Da
         .groupBy("lang")
         .agg(*(x.alias(f"all_{name}") for name, x in sums.items()), F.sum("n_words").alias("all_words"))
         .where(F.col("all_words") >= least_words)
-        .drop("all_words")
+        .select("lang", *(_shares(F.col(f"all_{name}")).alias(f"all_{name}") for name in sums))
     )
+    every = {name: _shares_of(total[name]) for name in sums}
     return counted.join(references, "lang", "left").select(
         *(F.col(c) for c in counted.columns),
         *(
-            _distance(F.col(part), F.coalesce(f"all_{part}", F.lit(total[part]))).alias(name)
+            _distance(F.col(part), F.coalesce(f"all_{part}", every[part])).alias(name)
             for part, name in (("classes", "class_distance"), ("common", "word_distance"))
         ),
     )
