@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import latest_per_key, newer_than, newest_of_runs, number_rows
+from tidemark.operators import latest_of_few_repeats, latest_per_key, newer_than, newest_of_runs, number_rows
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
@@ -67,3 +67,20 @@ def test_newest_of_runs_neither_sorts_nor_touches_a_single_run(spark):
     }
     assert newest.count() == 1001
     assert "SortAggregate" not in newest._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("keys", [3000, 1450, 40])
+def test_latest_of_few_repeats_equals_latest_per_key(spark, keys):
+    """No key twice, a few, and nearly all; NULL is a key as well."""
+    rows = spark.range(1500).select(
+        F.when(F.col("id") % keys != 7, F.col("id") % keys).alias("k"), F.lit("a").alias("j"),
+        (F.col("id") * 7 % 11).alias("at"), F.col("id").alias("v"),
+    )
+    got, want = latest_of_few_repeats(rows, ["k", "j"], ["at"]), latest_per_key(rows, ["k", "j"], ["at"])
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_rows_without_rivals_do_not_move(spark):
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("at"))
+    assert "Exchange" not in latest_of_few_repeats(rows, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import instant
+from tidemark.operators.staging import stored
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -23,6 +24,26 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return grouped.select(*[F.col(c) if c in key else F.col(f"newest.{c}").alias(c) for c in df.columns])
 
 
+def latest_of_few_repeats(df: DataFrame, key: Sequence[str], order: Sequence[str], most: float = 0.1) -> DataFrame:
+    """:func:`latest_per_key` of a stored frame in which few keys come more than once.
+
+    Only a hash of the keys moves; it tells which rows may have a rival. The others stay
+    where they are, neither sorted nor shuffled. If more than ``most`` of the rows have a
+    hash that repeats, all rows go the plain way. Equal hashes of unequal keys do no harm.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*key))
+    twice = hashed.groupBy("_hash").agg(F.count("*").alias("_times")).where("_times > 1")
+    twice = stored(twice, "repeated-keys")
+    repeated = twice.agg(F.sum("_times")).first()[0]
+    if not repeated:
+        return df
+    if repeated > most * df.count():
+        return latest_per_key(df, key, order)
+    single = hashed.join(twice, "_hash", "left_anti").select(df.columns)
+    rivals = hashed.join(twice, "_hash", "left_semi").select(df.columns)
+    return single.unionByName(latest_per_key(rivals, key, order))
+
+
 def newest_of_runs(log: DataFrame, key: Sequence[str], run: str) -> DataFrame:
     """The newest row per key of a log in which a run has each key once at most.
 

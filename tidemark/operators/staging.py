@@ -10,6 +10,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _SHED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Of all files the lake writes: about a quarter smaller than Spark's default, snappy.
+COMPRESSION = "zstd"
 #: Folders written inside each scratch scope, the innermost last.
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
@@ -53,7 +55,7 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     if scopes := _scopes.get():
         scopes[-1].append(path)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import instant, line_total, with_calendar
@@ -77,11 +77,23 @@ def stock_facts(
     rows = rows.join(names, F.col("store_id") == F.col("_store_id"), "left").drop("_store_id")
     rows = rows.select(
         "store_id", "sk_product_id", "store_name", "quantity", "list_price",
-        (F.col("quantity") * F.col("list_price")).alias("value_stocked"), "snapshot_time",
+        _value_stocked().alias("value_stocked"), "snapshot_time",
     )
     return with_calendar(rows, "snapshot_time", quarter=False)
 
 
+def _value_stocked() -> Column:
+    return F.col("quantity") * F.col("list_price")
+
+
+def _sales_derived() -> dict[str, Column]:
+    return {"total": line_total(), "day": F.dayofmonth("order_date")}
+
+
+def _stock_derived() -> dict[str, Column]:
+    return {"value_stocked": _value_stocked(), "day": F.dayofmonth("snapshot_time")}
+
+
 def changed_keys(history: DataFrame, key: str, mark: datetime) -> DataFrame:
     """Keys whose versions changed after ``mark``, and from which instant on."""
     opened = F.when(F.col(SILVER_STAMP) > instant(mark), F.col("start_date"))
@@ -155,14 +167,16 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     ).withColumn(STAMP, instant(as_of))
     if mark is None:
         # A table without a mark is the remains of a first load that broke off.
-        overwrite_partitions(facts, table, path, SALES_PARTITIONS, _all_partitions(spark, table, SALES_PARTITIONS))
+        present = _all_partitions(spark, table, SALES_PARTITIONS)
+        overwrite_partitions(facts, table, path, SALES_PARTITIONS, present, _sales_derived())
         index.rebuild(items_log, orders_log)
     else:
         # Every header an order ever had tells a month its rows may lie in; without a
         # header they lie in the month NULL.
         dated = with_calendar(orders_log.select("order_date"), "order_date")
         months = sorted({*partitions_of(dated, SALES_PARTITIONS), (None,) * len(SALES_PARTITIONS)}, key=str)
-        replace_rows(stored(facts, "sales"), changed, ["order_id"], table, path, SALES_PARTITIONS, months)
+        fresh = stored(facts, "sales")
+        replace_rows(fresh, changed, ["order_id"], table, path, SALES_PARTITIONS, months, derived=_sales_derived())
         index.replace(changed, items_log, orders_log, months)
     set_mark(spark, table, reached)
 
@@ -204,18 +218,22 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
         changed = stored(_changed_snapshots(silver, mark), "changed-snapshots")
         log = stored(log.join(changed, key, "left_semi"), "changed-stocks")
     hot = frequent_values(log, ["product_id"])
-    rows = latest_per_key(
-        log.select(*key, "product_id", "quantity", SILVER_STAMP), [*key, "product_id"], [SILVER_STAMP]
-    )
+    rows = log.select(*key, "product_id", "quantity", SILVER_STAMP)
+    # A run has a key once at most, so only snapshots that came by several runs can repeat one.
+    several = F.countDistinct(SILVER_STAMP) > 1
+    if not log.groupBy("snapshot_time").agg(several.alias("several")).where("several").isEmpty():
+        rows = latest_per_key(rows, [*key, "product_id"], [SILVER_STAMP])
     stores = newest_log_rows(silver["stores"], ["store_id"])
     facts = stock_facts(rows, silver["products"], stores, hot).withColumn(STAMP, instant(as_of))
     if mark is None:
-        overwrite_partitions(facts, table, path, STOCK_PARTITIONS, _all_partitions(spark, table, STOCK_PARTITIONS))
+        present = _all_partitions(spark, table, STOCK_PARTITIONS)
+        overwrite_partitions(facts, table, path, STOCK_PARTITIONS, present, _stock_derived())
     else:
         months = partitions_of(with_calendar(changed, "snapshot_time", quarter=False), ["year", "month"])
         if months:
             replace_rows(
-                stored(facts, "stock-facts"), changed, key, table, path, STOCK_PARTITIONS, months, by=["year", "month"]
+                stored(facts, "stock-facts"), changed, key, table, path, STOCK_PARTITIONS, months, by=["year", "month"],
+                derived=_stock_derived(),
             )
     set_mark(spark, table, reached)
 

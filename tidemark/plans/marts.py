@@ -77,12 +77,17 @@ SUMS = ("product_id", "store_id", "customer_id")
 _REACHED = "reached"
 
 
-def _lines(items_log: DataFrame, orders_log: DataFrame) -> DataFrame:
-    """The present items with the keys of ``SUMS``. Totals are added up per order first."""
+def _lines(items_log: DataFrame, orders_log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The present items, ``total`` and number of ``lines``: per order, with the keys of its
+    header, and one by one, with their product.
+
+    An order's items combine on the map side and meet the header where they are added up, so
+    only a row per order moves for the header's keys.
+    """
     items = newest_log_rows(items_log, ["order_id", "item_id"])
-    orders = newest_log_rows(orders_log, ["order_id"])
-    sums = items.groupBy("order_id", "product_id").agg(F.sum("total").alias("total"), F.count("*").alias("lines"))
-    return sums.join(orders.select("order_id", "store_id", "customer_id"), "order_id", "left").drop("order_id")
+    orders = newest_log_rows(orders_log, ["order_id"]).select("order_id", "store_id", "customer_id")
+    sums = items.groupBy("order_id").agg(F.sum("total").alias("total"), F.count("*").alias("lines"))
+    return sums.join(orders, "order_id", "left").drop("order_id"), items.select("product_id", "total", F.lit(1).alias("lines"))
 
 
 class Sums:
@@ -120,20 +125,26 @@ class Sums:
         sales = mark_of(self.spark, self.lake.table("gold", "fact_sales"))
         if mark is None or not index.exists() or sales is None or sales < mark:
             # the index knows no orders after the last sales
-            self._save({key: self._added(_lines(items, orders), key) for key in SUMS}, reached)
+            per_order, per_item = _lines(items, orders)
+            per_order = stored(per_order, "order-sums")
+            self._save({key: self._added(per_item if key == "product_id" else per_order, key) for key in SUMS}, reached)
             return
         changed = stored(changed_orders(items, orders, mark), "changed-orders")
         days = index.days_of(changed, mark)
         items = stored(of_days(items, days).join(changed, "order_id", "left_semi"), "changed-items")
         orders = stored(of_days(orders, days).join(changed, "order_id", "left_semi"), "changed-headers")
         seen = F.col("extraction_bronze") <= instant(mark)
-        now, then = _lines(items, orders), _lines(items.where(seen), orders.where(seen))
-        then = then.withColumns({"total": -F.col("total"), "lines": -F.col("lines")})
-        change = stored(now.unionByName(then), "changed-sums")
+
+        def change(now: DataFrame, then: DataFrame) -> DataFrame:
+            then = then.withColumns({"total": -F.col("total"), "lines": -F.col("lines")})
+            return stored(now.unionByName(then), "changed-sums")
+
+        per_order, per_item = map(change, _lines(items, orders), _lines(items.where(seen), orders.where(seen)))
+        changes = {key: per_item if key == "product_id" else per_order for key in SUMS}
         columns = ["total", "lines"]
         self._save(
             {
-                key: self._added(self.spark.table(self.tables[key]).select(key, *columns).union(change.select(key, *columns)), key)
+                key: self._added(self.spark.table(self.tables[key]).select(key, *columns).union(changes[key].select(key, *columns)), key)
                 for key in SUMS
             },
             reached,

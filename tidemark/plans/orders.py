@@ -50,7 +50,8 @@ class OrderIndex:
         days = orders_log.select("order_id", F.lit(None).cast("long").alias("product_id"), DAY).union(
             items_log.select("order_id", "product_id", DAY)
         )
-        held = days.groupBy("order_id").agg(
+        # rows move as they are, which is less than sets begun on the map side
+        held = days.repartition("order_id").groupBy("order_id").agg(
             F.collect_set("product_id").alias("product_ids"), F.collect_set(DAY).alias("days")
         )
         return with_calendar(held.join(headers, "order_id", "left"), "order_date")

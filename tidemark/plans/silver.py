@@ -12,7 +12,7 @@ from tidemark.functions import instant, line_total, or_label, proper_name
 from tidemark.lake import Lake
 from tidemark.operators import (
     first_versions,
-    latest_per_key,
+    latest_of_few_repeats,
     merge_open,
     past_mark,
     stored,
@@ -157,7 +157,7 @@ class _Bronze:
         # Every snapshot of a snapshot table counts, not just the last one.
         key = [*table.key, RAW_STAMP] if table.snapshot else list(table.key)
         order = [c for c in ("updated_at", RAW_STAMP) if c not in key]
-        return latest_per_key(rows, key, order).withColumn(STAMP, instant(self.as_of))
+        return latest_of_few_repeats(rows, key, order).withColumn(STAMP, instant(self.as_of))
 
 
 def save_history(

@@ -163,12 +163,10 @@ class Retail:
 
     def stocks(self, round_: int = 1) -> DataFrame:
         supplier = self.raw("supplier").select("s_suppkey", "s_nationkey")
-        # One row per supplier and product before the suppliers are looked up.
-        per_supplier = self.raw("lineitem").groupBy("l_suppkey", "l_partkey").agg(
-            F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("pieces")
-        )
+        # A supplier seldom delivers a product twice, so lines are added up per store only.
         rows = (
-            per_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            self.raw("lineitem").select("l_suppkey", "l_partkey", F.col("l_quantity").cast("decimal(12,2)").alias("pieces"))
+            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
             .groupBy(F.col("s_nationkey").cast("long").alias("store_id"), F.col("l_partkey").alias("product_id"))
             .agg(F.sum("pieces").cast("decimal(12,2)").alias("quantity"))
         )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.staging import discard
+from tidemark.operators.staging import COMPRESSION, discard
 
 # Spark's folder name for NULL as a partition value.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -31,7 +31,7 @@ def append_table(
     spark, counted = df.sparkSession, Observation()
     exists = spark.catalog.tableExists(table)
     rows = df if known_rows else df.observe(counted, F.count("*").alias("rows"))
-    writer = rows.write.mode("append").format("parquet").option("path", path)
+    writer = rows.write.mode("append").format("parquet").option("path", path).option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
@@ -60,7 +60,7 @@ def replace_table(df: DataFrame, table: str, path: str) -> None:
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
     idle = f"{path}/{'b' if exists and _location(spark, table).endswith('/a') else 'a'}"
-    df.write.mode("overwrite").parquet(idle)
+    df.write.mode("overwrite").option("compression", COMPRESSION).parquet(idle)
     if exists and spark.table(table).schema.simpleString() == df.schema.simpleString():
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{idle}'")
         spark.catalog.refreshTable(table)
@@ -70,20 +70,25 @@ def replace_table(df: DataFrame, table: str, path: str) -> None:
     spark.catalog.createTable(table, path=idle, source="parquet", schema=df.schema)
 
 
-def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _balanced(df: DataFrame, partition_by: Sequence[str], derived: Mapping[str, Column] | None = None) -> DataFrame:
     """Gather rows by table partition into files of even size.
 
+    Columns that are ``derived`` from others of the row are not moved but made where the
+    row arrives.
+
     Adaptive execution splits a partition that is too large for one task and joins the
     small ones, which a plain repartition by the same columns would not.
     """
-    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    derived = dict(derived or {})
+    return df.drop(*derived).hint("rebalance", *[F.col(c) for c in partition_by]).withColumns(derived).select(df.columns)
 
 
 def append_partitions(
-    df: DataFrame, table: str, path: str, partition_by: Sequence[str], known_rows: bool = False
+    df: DataFrame, table: str, path: str, partition_by: Sequence[str], known_rows: bool = False,
+    derived: Mapping[str, Column] | None = None,
 ) -> bool:
     """:func:`append_table` with the rows gathered by partition."""
-    return append_table(_balanced(df, partition_by), table, path, partition_by, known_rows)
+    return append_table(_balanced(df, partition_by, derived), table, path, partition_by, known_rows)
 
 
 def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
@@ -123,7 +128,8 @@ def _one_of(column: str, members: Sequence) -> Column:
 
 
 def overwrite_partitions(
-    df: DataFrame, table: str, path: str, partition_by: Sequence[str], touched: Sequence[tuple] = ()
+    df: DataFrame, table: str, path: str, partition_by: Sequence[str], touched: Sequence[tuple] = (),
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Replace exactly the partitions ``df`` has rows for, and empty the rest of ``touched``.
 
@@ -131,13 +137,14 @@ def overwrite_partitions(
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        append_partitions(df, table, path, partition_by, known_rows=True)
+        append_partitions(df, table, path, partition_by, known_rows=True, derived=derived)
         return
     columns = spark.table(table).columns
     emptied = set(touched) - set(partitions_of(df, partition_by)) if touched else set()
     # the option, not the session's setting, which other threads see too
-    writer = _balanced(df, partition_by).select(*columns).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    writer = _balanced(df, partition_by, derived).select(*columns).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+    writer.partitionBy(*partition_by).parquet(path)
     spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
     if emptied:
@@ -153,6 +160,7 @@ def replace_rows(
     partition_by: Sequence[str],
     candidates: Sequence[tuple],
     by: Sequence[str] | None = None,
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Put ``fresh`` in the place of the rows whose key is in ``stale``.
 
@@ -166,12 +174,12 @@ def replace_rows(
     present = in_partitions(whole, by or partition_by, candidates)
     holding = partitions_of(present.join(stale, list(key), "left_semi"), partition_by)
     if not holding:
-        append_partitions(fresh, table, path, partition_by)
+        append_partitions(fresh, table, path, partition_by, derived=derived)
         return
     kept = in_partitions(whole, partition_by, holding).join(stale, list(key), "left_anti")
     inside = _in_partitions(partition_by, holding)
-    overwrite_partitions(kept.unionByName(fresh.where(inside)), table, path, partition_by, holding)
-    append_partitions(fresh.where(~inside), table, path, partition_by)
+    overwrite_partitions(kept.unionByName(fresh.where(inside)), table, path, partition_by, holding, derived)
+    append_partitions(fresh.where(~inside), table, path, partition_by, derived=derived)
 
 
 def _empty_partitions(spark: SparkSession, table: str, path: str, partition_by: Sequence[str], values: set[tuple]) -> None:

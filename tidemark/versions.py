@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.staging import discard
+from tidemark.operators.staging import COMPRESSION, discard
 
 PART = "part"
 _RUN, _HIGHEST = "tidemark.run", "tidemark.highest"
@@ -103,7 +103,7 @@ class VersionStore:
             self.spark.sql(f"CREATE TABLE {self.table} ({columns}) USING parquet PARTITIONED BY ({PART}) LOCATION '{self.path}'")
         # only folders that are written are replaced: those of a broken attempt of this run
         columns = self.spark.table(self.table).columns
-        writer = rows.select(columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.select(columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
         writer.partitionBy(PART).parquet(self.path)
         self.spark.sql(f"MSCK REPAIR TABLE {self.table}")
         self.spark.catalog.refreshTable(self.table)
