@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import FAR_FUTURE, fingerprint, instant
 from tidemark.operators.keys import number_rows
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.staging import stored
+from tidemark.operators.staging import right_side, stored
 
 _STAMPS = ("updated_at", "raw_extraction_time", "extraction_bronze")
 
@@ -121,8 +121,9 @@ def merge_open(
     surrogate = f"sk_{key}"
     batch = stored(newest_of_batch(batch, key), "batch")
     run = instant(as_of)
-    kept = _close_changed(current, batch, key, tracked, run, batch_kind)
-    fresh = _new_versions(current, closed, batch, key, tracked, run, version_start)
+    rows = batch.count()
+    kept = _close_changed(current, batch, key, tracked, run, batch_kind, rows)
+    fresh = _new_versions(current, closed, batch, key, tracked, run, version_start, rows)
     fresh = number_rows(fresh, ["_rank", key], surrogate, start=highest, drop=["_rank"])
     added = fresh.count()
     if not added and (batch_kind == "delta" or kept.where(~F.col("current_flag")).isEmpty()):
@@ -153,11 +154,12 @@ def _change_instant(updated_at: Column, start: Column, run: Column) -> Column:
     return F.greatest(F.coalesce(updated_at, run), start)
 
 
-def _close_changed(current, batch, key, tracked, run, batch_kind) -> DataFrame:
+def _close_changed(current, batch, key, tracked, run, batch_kind, rows) -> DataFrame:
     incoming = batch.select(
         F.col(key).alias("_key"), F.struct(F.lit(1), *tracked).alias("_new"), F.col("updated_at").alias("_updated_at")
     )
     held = current.withColumn("_old", F.struct(F.lit(1), *tracked))
+    incoming = right_side(incoming, rows)
     joined = held.join(incoming, held[key] == incoming["_key"], "left")
     changed_end = _change_instant(F.col("_updated_at"), F.col("start_date"), run)
     end = F.when(F.col("_key").isNotNull() & ~_agree(tracked, "_old", "_new"), changed_end)
@@ -176,8 +178,10 @@ def _close_changed(current, batch, key, tracked, run, batch_kind) -> DataFrame:
     )
 
 
-def _new_versions(current, closed, batch, key, tracked, run, version_start) -> DataFrame:
-    keys = batch.select(F.col(key).alias("_batch_key"))
+def _new_versions(current, closed, batch, key, tracked, run, version_start, rows_of_batch) -> DataFrame:
+    # A key has one row in the batch and one open version, so none of the right sides below
+    # has more rows than the batch.
+    keys = right_side(batch.select(F.col(key).alias("_batch_key")), rows_of_batch)
     # Narrow the history to the batch's keys before anything wide is joined.
     open_now = current.join(keys, current[key] == keys["_batch_key"], "left_semi").select(
         F.col(key).alias("_key"), F.struct(F.lit(1), *tracked).alias("_old"), F.col("start_date").alias("_start")
@@ -187,6 +191,7 @@ def _new_versions(current, closed, batch, key, tracked, run, version_start) -> D
         .groupBy(F.col(key).alias("_ended_key"))
         .agg(F.max("end_date").alias("_last_end"))
     )
+    open_now, ended = right_side(open_now, rows_of_batch), right_side(ended, rows_of_batch)
     rows = batch.withColumn("_new", F.struct(F.lit(1), *tracked))
     rows = (
         rows.join(open_now, rows[key] == open_now["_key"], "left")

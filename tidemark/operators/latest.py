@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import instant
-from tidemark.operators.staging import stored
+from tidemark.operators.staging import right_side, stored
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -34,11 +34,12 @@ def latest_of_few_repeats(df: DataFrame, key: Sequence[str], order: Sequence[str
     hashed = df.withColumn("_hash", F.xxhash64(*key))
     twice = hashed.groupBy("_hash").agg(F.count("*").alias("_times")).where("_times > 1")
     twice = stored(twice, "repeated-keys")
-    repeated = twice.agg(F.sum("_times")).first()[0]
+    repeated, hashes = twice.agg(F.sum("_times"), F.count("*")).first()
     if not repeated:
         return df
     if repeated > most * df.count():
         return latest_per_key(df, key, order)
+    twice = right_side(twice, hashes)
     single = hashed.join(twice, "_hash", "left_anti").select(df.columns)
     rivals = hashed.join(twice, "_hash", "left_semi").select(df.columns)
     return single.unionByName(latest_per_key(rivals, key, order))
@@ -54,7 +55,9 @@ def newest_of_runs(log: DataFrame, key: Sequence[str], run: str) -> DataFrame:
     first, last = log.agg(F.min(run), F.max(run)).first()
     if first == last:
         return log
-    later = log.where(F.col(run) > F.lit(first)).groupBy(*key).agg(F.max(run).alias("_newest"))
+    since = log.where(F.col(run) > F.lit(first))
+    later = since.groupBy(*key).agg(F.max(run).alias("_newest"))
+    later = right_side(later, since.count())
     kept = log.join(later, list(key), "left").where(F.col("_newest").isNull() | (F.col(run) == F.col("_newest")))
     return kept.select(log.columns)
 

@@ -8,8 +8,11 @@ from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _SHED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes that a join's right side may take in the driver, and those a row takes beside its columns.
+MOST_BROADCAST, ROW_OVERHEAD = 16 << 20, 48
 #: Of all files the lake writes: about a quarter smaller than Spark's default, snappy.
 COMPRESSION = "zstd"
 #: Folders written inside each scratch scope, the innermost last.
@@ -59,6 +62,27 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def right_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` as the right side of a join, marked to be shuffled if it is large in memory.
+
+    Spark takes a scan for as large as its files, but keys and times that compress well are
+    twenty and more times as large when they are broadcast, and a broadcast is built in the
+    driver's memory. So the number of ``rows`` decides, or one that they cannot exceed; without
+    one they are counted, which reads only the footers of files. Small sides are left to Spark.
+
+    The mark passes through projections, filters and aggregates to the next join above.
+    """
+    rows = df.count() if rows is None else rows
+    return df.hint("merge") if rows * (ROW_OVERHEAD + _width(df.schema)) > MOST_BROADCAST else df
+
+
+def _width(kind: T.DataType) -> int:
+    """About the bytes of a value in memory; texts and lists at 20, as Spark estimates texts."""
+    if isinstance(kind, T.StructType):
+        return sum(_width(field.dataType) for field in kind)
+    return 20 if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 8
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it is in."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

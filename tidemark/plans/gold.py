@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import instant, line_total, with_calendar
 from tidemark.lake import Lake
-from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, spread_left_join, stored
+from tidemark.operators import frequent_values, join_as_of, latest_per_key, past_mark, right_side, spread_left_join, stored
 from tidemark.operators.skew import Shares
 from tidemark.plans.bronze import DAY
 from tidemark.plans.orders import SALES_PARTITIONS, OrderIndex, changed_orders, of_days
@@ -37,11 +37,13 @@ def sales_facts(
     staffs: DataFrame,
     hot: Hot | None = None,
     inclusive: bool = False,
+    most_headers: int = 0,
 ) -> DataFrame:
     """One row per order item, with the dimension versions valid on the order date.
 
     Customer and staff hang on the order, so they are joined to the order headers, which
     are few and narrow; the items then move once by order and once by product.
+    ``most_headers``, if known, is what the headers number at most.
     """
     hot = hot or {}
     headers = orders.select("order_id", "customer_id", "staff_id", "store_id", "order_date")
@@ -53,7 +55,7 @@ def sales_facts(
         F.col("order_id").alias("_order_id"), "sk_customer_id", "store_id", "sk_staff_id", "order_date"
     )
     lines = items.select("order_id", "product_id", "quantity", "list_price", "discount")
-    lines = spread_left_join(lines, headers, "order_id", "_order_id", hot.get("order_id"))
+    lines = spread_left_join(lines, right_side(headers, most_headers), "order_id", "_order_id", hot.get("order_id"))
     lines = join_as_of(
         lines, products, "product_id", "order_date", ["sk_product_id"], hot.get("product_id"), inclusive
     )
@@ -102,7 +104,7 @@ def changed_keys(history: DataFrame, key: str, mark: datetime) -> DataFrame:
     changes = history.where(since.isNotNull()).groupBy(F.col(key).alias("_changed_key")).agg(F.min(since).alias("_changed_from"))
     # Written out, so that a join to it shuffles both sides and adaptive execution can
     # split a key that is frequent in the facts.
-    return stored(changes, "changed-keys")
+    return right_side(stored(changes, "changed-keys"))
 
 
 # --- jobs -----------------------------------------------------------------------------
@@ -153,8 +155,11 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
         mark = None
     items_log, orders_log = silver["order_items"], silver["orders"]
     if mark is not None:
-        changed = stored(_changed_orders(silver, index, mark), "changed-orders")
-        days = index.days_of(changed, mark)
+        changed = right_side(stored(_changed_orders(silver, index, mark), "changed-orders"))
+        days, stamps = index.days_of(changed, mark), [SILVER_STAMP, DAY]
+        # what the facts and the index take; nothing else has to move
+        items_log = items_log.select("order_id", "item_id", "product_id", "quantity", "list_price", "discount", *stamps)
+        orders_log = orders_log.select("order_id", "customer_id", "staff_id", "store_id", "order_date", *stamps)
         items_log = stored(of_days(items_log, days).join(changed, "order_id", "left_semi"), "changed-items")
         orders_log = stored(of_days(orders_log, days).join(changed, "order_id", "left_semi"), "changed-headers")
     hot = {
@@ -163,7 +168,7 @@ def load_sales(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     }
     facts = sales_facts(
         newest_log_rows(items_log, ["order_id", "item_id"]), newest_log_rows(orders_log, ["order_id"]),
-        silver["customers"], silver["products"], silver["staffs"], hot,
+        *(right_side(silver[name]) for name in ("customers", "products", "staffs")), hot, most_headers=orders_log.count(),
     ).withColumn(STAMP, instant(as_of))
     if mark is None:
         # A table without a mark is the remains of a first load that broke off.
@@ -215,7 +220,7 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     mark = mark_of(spark, table)
     log, key = silver["stocks"], ["store_id", "snapshot_time"]
     if mark is not None:
-        changed = stored(_changed_snapshots(silver, mark), "changed-snapshots")
+        changed = right_side(stored(_changed_snapshots(silver, mark), "changed-snapshots"))
         log = stored(log.join(changed, key, "left_semi"), "changed-stocks")
     hot = frequent_values(log, ["product_id"])
     rows = log.select(*key, "product_id", "quantity", SILVER_STAMP)
@@ -224,7 +229,7 @@ def load_stocks(spark: SparkSession, lake: Lake, as_of: str | datetime) -> None:
     if not log.groupBy("snapshot_time").agg(several.alias("several")).where("several").isEmpty():
         rows = latest_per_key(rows, [*key, "product_id"], [SILVER_STAMP])
     stores = newest_log_rows(silver["stores"], ["store_id"])
-    facts = stock_facts(rows, silver["products"], stores, hot).withColumn(STAMP, instant(as_of))
+    facts = stock_facts(rows, right_side(silver["products"]), stores, hot).withColumn(STAMP, instant(as_of))
     if mark is None:
         present = _all_partitions(spark, table, STOCK_PARTITIONS)
         overwrite_partitions(facts, table, path, STOCK_PARTITIONS, present, _stock_derived())
@@ -243,8 +248,12 @@ def _changed_snapshots(silver: Silver, mark: datetime) -> DataFrame:
     stocks, key = silver["stocks"], ["store_id", "snapshot_time"]
     new = past_mark(stocks, SILVER_STAMP, mark, DAY).select(key)
     changes = changed_keys(silver.history("products").since(mark), "product_id", mark)
+    first = changes.agg(F.min("_changed_from")).first()[0]
     late = F.col("snapshot_time") >= F.col("_changed_from")
-    repriced = stocks.join(changes, (F.col("product_id") == F.col("_changed_key")) & late, "left_semi")
+    # Rows past the mark are new anyhow, and earlier snapshots keep their prices.
+    held = stocks.where((F.col(SILVER_STAMP) <= instant(mark)) & (F.col(DAY) <= instant(mark).cast("date")))
+    held = held.where(F.lit(False) if first is None else F.col("snapshot_time") >= instant(first))
+    repriced = held.join(changes, (F.col("product_id") == F.col("_changed_key")) & late, "left_semi")
     seen = silver["stores"].groupBy(F.col("store_id").alias("_store_id")).agg(
         F.max(SILVER_STAMP).alias("last"),
         F.min(SILVER_STAMP).alias("first"),

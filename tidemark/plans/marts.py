@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import instant
 from tidemark.lake import Lake
-from tidemark.operators import stored
+from tidemark.operators import right_side, stored
 from tidemark.plans.bronze import DAY
 from tidemark.plans.orders import OrderIndex, changed_orders, of_days
 from tidemark.plans.progress import Silver, is_current, mark_of, newest_log_rows, set_mark
@@ -86,6 +86,7 @@ def _lines(items_log: DataFrame, orders_log: DataFrame) -> tuple[DataFrame, Data
     """
     items = newest_log_rows(items_log, ["order_id", "item_id"])
     orders = newest_log_rows(orders_log, ["order_id"]).select("order_id", "store_id", "customer_id")
+    orders = right_side(orders, orders_log.count())
     sums = items.groupBy("order_id").agg(F.sum("total").alias("total"), F.count("*").alias("lines"))
     return sums.join(orders, "order_id", "left").drop("order_id"), items.select("product_id", "total", F.lit(1).alias("lines"))
 
@@ -129,7 +130,7 @@ class Sums:
             per_order = stored(per_order, "order-sums")
             self._save({key: self._added(per_item if key == "product_id" else per_order, key) for key in SUMS}, reached)
             return
-        changed = stored(changed_orders(items, orders, mark), "changed-orders")
+        changed = right_side(stored(changed_orders(items, orders, mark), "changed-orders"))
         days = index.days_of(changed, mark)
         items = stored(of_days(items, days).join(changed, "order_id", "left_semi"), "changed-items")
         orders = stored(of_days(orders, days).join(changed, "order_id", "left_semi"), "changed-headers")
@@ -176,11 +177,12 @@ def build_marts(spark: SparkSession, lake: Lake) -> None:
         return
     sums = Sums(spark, lake, silver)
     sums.bring_up_to(reached)
+    products, customers = right_side(silver["products"]), right_side(silver["customers"])
     rows = {
-        "sales_by_category": sales_by_category(sums["product_id"], silver["products"]),
-        "most_sold_products": most_sold_products(sums["product_id"], silver["products"]),
+        "sales_by_category": sales_by_category(sums["product_id"], products),
+        "most_sold_products": most_sold_products(sums["product_id"], products),
         "sales_by_store": _by_store(sums["store_id"], newest_log_rows(silver["stores"], ["store_id"])),
-        "sales_by_state": _by_state(sums["customer_id"], silver["customers"], True),
+        "sales_by_state": _by_state(sums["customer_id"], customers, True),
     }
 
     def build(name: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import with_calendar
 from tidemark.lake import Lake
-from tidemark.operators import past_mark, stored
+from tidemark.operators import past_mark, right_side, stored
 from tidemark.plans.bronze import DAY
 from tidemark.plans.progress import newest_log_rows
 from tidemark.sinks import overwrite_partitions, partitions_of, replace_rows
@@ -54,6 +54,7 @@ class OrderIndex:
         held = days.repartition("order_id").groupBy("order_id").agg(
             F.collect_set("product_id").alias("product_ids"), F.collect_set(DAY).alias("days")
         )
+        headers = right_side(headers, orders_log.count())
         return with_calendar(held.join(headers, "order_id", "left"), "order_date")
 
     def rebuild(self, items_log: DataFrame, orders_log: DataFrame) -> None:

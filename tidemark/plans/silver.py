@@ -15,6 +15,7 @@ from tidemark.operators import (
     latest_of_few_repeats,
     merge_open,
     past_mark,
+    right_side,
     stored,
 )
 from tidemark.plans.bronze import DAY, whole_load_mark
@@ -71,7 +72,7 @@ def denormalise_staffs(staffs: DataFrame, stores: DataFrame) -> DataFrame:
     the newest of the three.
     """
     managers = {"first_name": "manager_first_name", "last_name": "manager_last_name", "updated_at": "_manager_at"}
-    named = _lookup(staffs, staffs, "manager_id", "staff_id", managers)
+    named = _lookup(staffs, right_side(staffs), "manager_id", "staff_id", managers)
     named = _lookup(named, stores, "store_id", "store_id", {"store_name": "store_name", "updated_at": "_store_at"})
     return (
         named.withColumn("updated_at", F.greatest("updated_at", "_manager_at", "_store_at"))
